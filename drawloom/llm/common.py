@@ -1,9 +1,7 @@
-"""What the operators of this subpackage share: shared-folder tables, row keys, batch helpers."""
+"""What the operators of this subpackage share: row keys and batch helpers."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,33 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from drawloom.tables import cut, drop, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where it is unset (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not at:
-        at = getattr(spark.sparkContext, "_drawloom_dir", None) or tempfile.mkdtemp(prefix="drawloom-")
-        spark.sparkContext._drawloom_dir = at
-    return at.rstrip("/")
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it again: short lineage, and lost executors cost no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._cut_path = path
-    return out
-
-
-def drop(df: DataFrame) -> None:
-    """Delete a table made by cut() that no later plan reads."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._cut_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+__all__ = ["ascii_lower", "batch", "cut", "ddl", "drop", "keyed", "pieces", "raw", "shared_dir", "table"]
 
 
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

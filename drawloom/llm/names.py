@@ -23,7 +23,7 @@ def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     y = b ^ _C2
     y *= _C3
     y ^= y >> _S29
-    x += y
+    x = x + y
     x ^= x >> _S32
     x *= _C3
     x ^= x >> _S29

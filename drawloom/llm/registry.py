@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from drawloom.llm import suffix_dedup
+from drawloom.llm import exact_dedup, ngram_join, suffix_dedup
 
 QUERIES = {
+    "op2_ngram_jaccard_join": ngram_join.query,
     "op6_suffix_array_dedup": suffix_dedup.query,
+    "op10_chunk_exact_dedup": exact_dedup.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op10_chunk_exact_dedup": exact_dedup.ORACLE,
+}
