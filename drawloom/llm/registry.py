@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from drawloom.llm import exact_dedup, ngram_join, suffix_dedup
+import corpus_pipeline
+from drawloom.llm import exact_dedup, ngram_join, packing, suffix_dedup, toxicity
 
 QUERIES = {
+    "op1_toxicity_severity": toxicity.query,
     "op2_ngram_jaccard_join": ngram_join.query,
     "op6_suffix_array_dedup": suffix_dedup.query,
+    "op8_sum_of_squares_packing": packing.query,
     "op10_chunk_exact_dedup": exact_dedup.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
     "op10_chunk_exact_dedup": exact_dedup.ORACLE,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

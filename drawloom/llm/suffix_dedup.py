@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -218,6 +219,43 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.join(spans, ["k1", "k2"], "left").select("id", "text", "spans").mapInArrow(_removed, ddl(_OUT)).withColumnRenamed("id", id_col)
 
 
+def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars", length: int = 200) -> DataFrame:
+    """The rows of df with what stays of their texts (bytes of characters cut in two left out) and its length in chars_col, if df has that column.
+
+    Rows of which no more than white space is left go, unless their text was
+    that already. Rows that lose nothing stay as they are, null texts too.
+    """
+    docs = keyed(df, id_col, text_col)
+    spans = repeated_spans(docs, length).groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "z")).alias("_x_spans"))
+    spans = spans.select(F.col("k1").alias("_x_k1"), F.col("k2").alias("_x_k2"), "_x_spans")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    marked = df.withColumns({"_x_k1": F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(2**63))), "_x_k2": F.xxhash64(text)}).join(spans, ["_x_k1", "_x_k2"], "left")
+
+    @F.pandas_udf("string")
+    def left(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        out = []
+        for t, s in zip(texts, spans):
+            if s is None:
+                out.append(t)
+                continue
+            raw_text, kept, end = t.encode(), [], 0
+            for a, z in sorted((x["a"], x["z"]) for x in s):
+                if a > end:
+                    kept.append(raw_text[end:a].decode(errors="ignore"))
+                end = max(end, z)
+            kept.append(raw_text[end:].decode(errors="ignore"))
+            out.append("".join(kept))
+        return pd.Series(out, dtype=object)
+
+    changed = marked.where("_x_spans is not null").withColumn(text_col, left(F.col(f"`{text_col}`"), F.col("_x_spans")))
+    changed = changed.where(F.col(f"`{text_col}`").rlike(r"\S"))
+    if chars_col in df.columns:
+        changed = changed.withColumn(chars_col, F.char_length(F.col(f"`{text_col}`")).cast(df.schema[chars_col].dataType))
+    whole = marked.where("_x_spans is null")
+    names = [F.col(f"`{c}`") for c in df.columns]
+    return whole.select(*names).unionByName(changed.select(*names))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """op6: see remove_repeats; digest columns only."""
     out = remove_repeats(table(spark, sf_dir, "documents"))
