@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from drawloom.llm import exact_dedup, ngram_join, packing, suffix_dedup, toxicity
+from drawloom.llm import exact_dedup, ngram_join, packing, revisits, suffix_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_toxicity_severity": toxicity.query,
     "op2_ngram_jaccard_join": ngram_join.query,
+    "op3_revisit_resolution": revisits.query,
+    "op4_url_bloom_cascade": url_filter.query,
     "op6_suffix_array_dedup": suffix_dedup.query,
     "op8_sum_of_squares_packing": packing.query,
     "op10_chunk_exact_dedup": exact_dedup.query,
@@ -15,6 +17,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_revisit_resolution": revisits.ORACLE,
+    "op4_url_bloom_cascade": url_filter.ORACLE,
     "op10_chunk_exact_dedup": exact_dedup.ORACLE,
 }
 if corpus_pipeline.ORACLE_SQL:
