@@ -61,3 +61,23 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = int(counts.sum())
     ends = np.cumsum(counts)
     return np.arange(total) + np.repeat(starts - (ends - counts), counts)
+
+
+SPACES = np.array([9, 10, 11, 12, 13, 32], np.uint8)
+_BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(1), np.full(256, 77, np.uint64))
+
+
+def word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names of all words (runs of bytes other than white space) in order, and each text's first one and their number."""
+    buf, starts, lens = joined([t + b" " for t in texts])
+    b = buf[: int(starts[-1] + lens[-1]) if len(texts) else 0]
+    at = np.flatnonzero(~np.isin(b, SPACES))
+    if not len(at):
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    first = np.flatnonzero(np.concatenate(([True], np.diff(at) > 1)))
+    word_len = np.diff(np.append(first, len(at)))
+    place = np.arange(len(at)) - np.repeat(first, word_len)
+    power = np.cumprod(np.full(int(place.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
+    names = mix(np.add.reduceat(_BYTE[b[at]] * power[place], first), word_len.astype(np.uint64))
+    edge = np.searchsorted(at[first], starts)
+    return names, edge, np.diff(np.append(edge, len(first)))

@@ -26,12 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drawloom.llm.common import batch, cut, ddl, keyed, pieces, raw, table
-from drawloom.llm.names import joined, mix
+from drawloom.llm.names import mix, word_names
 from drawloom.operators.graph import connected_components
 
 WORDS = 5
-_SPACES = np.array([9, 10, 11, 12, 13, 32], np.uint8)
-_BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(1), np.full(256, 77, np.uint64))
 _ODD = 0x9E3779B97F4A7C15
 _SET = pa.schema([("id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int32()), ("f1", pa.int64()), ("f2", pa.int64()), ("paths", pa.list_(pa.int64()))])
 _TOKENS = pa.schema([("c", pa.int64()), ("tokens", pa.list_(pa.int64()))])
@@ -53,21 +51,9 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
     Words are runs of bytes other than white space, with A-Z lower-cased. A text
     of fewer words is one shingle, one without words has none.
     """
-    buf, starts, lens = joined([t.lower() + b" " for t in texts])
-    end = int(starts[-1] + lens[-1]) if len(texts) else 0
-    b = buf[:end]
-    solid = ~np.isin(b, _SPACES)
-    at = np.flatnonzero(solid)
-    if not len(at):
-        return [np.empty(0, np.uint64) for _ in texts]
-    new = np.concatenate(([True], np.diff(at) > 1))
-    first = np.flatnonzero(new)
-    word_len = np.diff(np.append(first, len(at)))
-    place = np.arange(len(at)) - np.repeat(first, word_len)
-    power = np.cumprod(np.full(int(place.max()) + 1, _ODD, np.uint64))
-    names = mix(np.add.reduceat(_BYTE[b[at]] * power[place], first), word_len.astype(np.uint64))
-    edge = np.searchsorted(at[first], starts)
-    counts = np.diff(np.append(edge, len(first)))
+    names, edge, counts = word_names([t.lower() for t in texts])
+    if not len(names):
+        return [names for _ in texts]
     grams = names
     for k in range(1, words):
         grams = mix(grams[:-1], names[k:]) if len(names) > k else grams[:0]

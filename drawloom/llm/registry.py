@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from drawloom.llm import exact_dedup, ngram_join, packing, revisits, suffix_dedup, toxicity, url_filter
+from drawloom.llm import exact_dedup, ngram_join, packing, quality_rules, revisits, suffix_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_toxicity_severity": toxicity.query,
     "op2_ngram_jaccard_join": ngram_join.query,
     "op3_revisit_resolution": revisits.query,
     "op4_url_bloom_cascade": url_filter.query,
+    "op5_quality_cascade": quality_rules.query,
     "op6_suffix_array_dedup": suffix_dedup.query,
     "op8_sum_of_squares_packing": packing.query,
     "op10_chunk_exact_dedup": exact_dedup.query,
@@ -19,6 +20,7 @@ QUERIES = {
 ORACLES = {
     "op3_revisit_resolution": revisits.ORACLE,
     "op4_url_bloom_cascade": url_filter.ORACLE,
+    "op5_quality_cascade": quality_rules.ORACLE,
     "op10_chunk_exact_dedup": exact_dedup.ORACLE,
 }
 if corpus_pipeline.ORACLE_SQL:
