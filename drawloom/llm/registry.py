@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from drawloom.llm import exact_dedup, html_text, ngram_join, packing, quality_rules, revisits, suffix_dedup, toxicity, url_filter
+from drawloom.llm import exact_dedup, gumbel_segments, html_text, ngram_join, packing, quality_rules, revisits, suffix_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_toxicity_severity": toxicity.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op4_url_bloom_cascade": url_filter.query,
     "op5_quality_cascade": quality_rules.query,
     "op6_suffix_array_dedup": suffix_dedup.query,
+    "op7_gumbel_segmentations": gumbel_segments.query,
     "op8_sum_of_squares_packing": packing.query,
     "op9_composite_text_density": html_text.query,
     "op10_chunk_exact_dedup": exact_dedup.query,
