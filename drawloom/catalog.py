@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from drawloom.plans import change
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+for module in (change,):
+    QUERIES |= module.QUERIES
+    ORACLES |= module.ORACLES

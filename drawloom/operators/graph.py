@@ -42,3 +42,69 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", r
         raise RuntimeError("connected_components: no fixed point within the given rounds")
     roots = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
     return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("component"))
+
+
+def neighbours(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """(node, neighbour) both ways, each once, without self loops."""
+    e = edges.select(F.col(f"`{src}`").alias("node"), F.col(f"`{dst}`").alias("neighbour"))
+    return e.unionByName(e.select(F.col("neighbour").alias("node"), F.col("node").alias("neighbour"))).where("node <> neighbour").distinct()
+
+
+def flow_between(edges: DataFrame, pairs: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """pairs (a, b) with flow none, forward, reverse or both, by directed edges."""
+    e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).distinct()
+    f, r = e.withColumn("_f", F.lit(True)), e.select(F.col("b").alias("a"), F.col("a").alias("b"), F.lit(True).alias("_r"))
+    j = pairs.join(f, ["a", "b"], "left").join(r, ["a", "b"], "left")
+    flow = F.when(F.col("_f") & F.col("_r"), "both").when(F.col("_f"), "forward").when(F.col("_r"), "reverse").otherwise("none")
+    return j.withColumn("flow", flow).drop("_f", "_r")
+
+
+def descendants(edges: DataFrame, roots: DataFrame, child: str = "child", parent: str = "parent", rounds: int = 100) -> DataFrame:
+    """(root, node) for every node under each root, the root included: a frontier joined with the tree until it is empty.
+
+    Only the size of the frontier reaches the driver; cycles end because found pairs are not followed again.
+    """
+    e = edges.select(F.col(parent).alias("up"), F.col(child).alias("node")).distinct()
+    front = roots.select(F.col(roots.columns[0]).alias("root"), F.col(roots.columns[0]).alias("node")).distinct()
+    seen = cut(front, "closure")
+    front = seen
+    for _ in range(rounds):
+        front = front.select("root", F.col("node").alias("up")).join(e, "up").select("root", "node").distinct()
+        front = cut(front.join(seen, ["root", "node"], "left_anti"), "closure")
+        if front.isEmpty():
+            return seen
+        seen = cut(seen.unionByName(front), "closure")
+    raise RuntimeError("descendants: the frontier is not empty after the given rounds")
+
+
+def closure_check(expected: DataFrame, inferred: DataFrame, asserted: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: pairs in both, only expected, only inferred, and directly asserted."""
+    j = expected.select(*keys).distinct().withColumn("_e", F.lit(1)).join(inferred.select(*keys).distinct().withColumn("_i", F.lit(1)), keys, "full_outer")
+    j = j.join(asserted.select(*keys).distinct().withColumn("_a", F.lit(1)), keys, "left")
+    n = lambda c: F.count_if(c)
+    e, i = F.col("_e").isNotNull(), F.col("_i").isNotNull()
+    return j.agg(n(e & i).alias("n_agree"), n(e & ~i).alias("n_only_expected"), n(~e & i).alias("n_only_inferred"), n(F.col("_a").isNotNull()).alias("n_asserted"))
+
+
+def partition_systems(nodes: DataFrame, edges: DataFrame, self_owning: list[str]) -> DataFrame:
+    """(node, system) for nodes (node, fluid, fluid_class, is_boundary, anchor): fragments of one fluid cut at boundaries, named.
+
+    Fragments of a self-owning class are the system of their fluid (utility) or
+    part; others take the least anchor that touches them (the consumer), and
+    fragments of the same name are one system. Fragments without anchor are named
+    by their fluid as pending.
+    """
+    n = nodes.select("node", "fluid", "fluid_class", "is_boundary", "anchor")
+    e = edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
+    side = lambda c: n.select(F.col("node").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in ("fluid", "is_boundary", "anchor")])
+    e = e.join(side("a"), "a").join(side("b"), "b")
+    same = e.where("a_fluid = b_fluid and not a_is_boundary and not b_is_boundary")
+    inner = n.where("not is_boundary")
+    parts = connected_components(same, "a", "b")
+    frag = inner.join(parts, "node", "left").withColumn("fragment", F.coalesce("component", "node")).drop("component")
+    near = e.select(F.col("a").alias("node"), F.col("b_anchor").alias("touch")).unionByName(e.select(F.col("b").alias("node"), F.col("a_anchor").alias("touch")))
+    touch = near.where("touch is not null").join(frag.select("node", "fragment"), "node").groupBy("fragment").agg(F.min("touch").alias("consumer"))
+    owner = cut(frag.groupBy("fragment").agg(F.first("fluid").alias("f_fluid"), F.first("fluid_class").alias("f_class"), F.min("anchor").alias("own_anchor")).join(touch, "fragment", "left"), "fragments")
+    anchor = F.coalesce("own_anchor", "consumer")
+    name = F.when(F.col("f_class").isin(self_owning), F.concat_ws(":", F.lit("utility"), "f_fluid")).when(anchor.isNotNull(), F.concat_ws(":", F.lit("process"), anchor)).otherwise(F.concat_ws(":", F.lit("pending"), "f_fluid"))
+    return frag.select("node", "fragment").join(owner.select("fragment", name.alias("system")), "fragment").select("node", "system")
