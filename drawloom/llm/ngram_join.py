@@ -3,17 +3,19 @@
 Each set chooses, in each of several runs, those of its shingles whose hash for
 that run is below 1 / (threshold * size), so sets that are alike choose shared
 ones. Rows that chose the same shingle form a bucket; buckets over `small` rows
-choose again on a hash of the path, up to `depth` times. What remains is
-compared in full: buckets of over `block` rows block by block, so that no task
-holds an unbounded one. A pair as similar as the threshold survives a level
-with the probability of a critical branching process; the number of runs
-follows from that and the target recall. Frequent shingles need no special care:
-a bucket grows only by sets that chose the shingle, that is with 1 / size.
-
-Sets that are equal are one representative with a size, so copies are never
-expanded. Pairs never leave a task: a bucket gives for each member the number of
-documents linked to it there and one edge of a spanning forest. A pair found in
-several buckets counts in the least one that both members share.
+split again, up to `depth` times, on sampled coordinates of the rows' min-hash
+sketches. A pair as similar as the threshold survives a level with the
+probability of a critical branching process; the number of runs follows from
+that and the target recall. Frequent shingles need no special care: a bucket
+grows only by sets that chose the shingle, that is with 1 / size.
+
+Inside the buckets all sketches are compared; pairs that are surely below the
+threshold end here. What they link are clusters; each set goes to one cluster
+once, whatever the number of runs, and there all sets are compared exactly.
+Buckets and clusters of over `block` rows are compared block by block, so that no
+task holds an unbounded one. Sets that are equal are one representative with a
+size, so copies are never expanded. Pairs never leave a task: it gives for each
+member the number of documents linked to it there and one edge of a spanning forest.
 """
 
 from __future__ import annotations
@@ -31,9 +33,13 @@ from drawloom.operators.graph import connected_components
 
 WORDS = 5
 _ODD = 0x9E3779B97F4A7C15
-_SET = pa.schema([("id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int32()), ("f1", pa.int64()), ("f2", pa.int64()), ("paths", pa.list_(pa.int64()))])
-_TOKENS = pa.schema([("c", pa.int64()), ("tokens", pa.list_(pa.int64()))])
-_PATH = pa.schema([("c", pa.int64()), ("p", pa.int64())])
+COORDINATES = 64
+_SET = pa.schema([
+    ("id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int32()), ("f1", pa.int64()), ("f2", pa.int64()), ("paths", pa.list_(pa.int64())), ("sketch", pa.binary()),
+])
+_TOKENS = pa.schema([("c", pa.int64()), ("cluster", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+_PATH = pa.schema([("c", pa.int64()), ("p", pa.int64()), ("sketch", pa.binary())])
+_EDGE = pa.schema([("c", pa.int64()), ("root", pa.int64())])
 _LINK = pa.schema([("c", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
 
@@ -71,26 +77,28 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def _chosen(tokens: np.ndarray, seeds: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Which seeds choose which tokens of one set."""
-    limit = min(2**64 - 1, int(2**64 / (threshold * len(tokens))))
-    return np.nonzero(mix(tokens[None, :], seeds[:, None]) < np.uint64(limit))
-
-
 def _sets(words, threshold, runs):
     seeds = mix(np.arange(runs, dtype=np.uint64), np.full(runs, 5, np.uint64))
-    # the first level draws for every token of the corpus: one multiplication by an odd number for each run
     odd = (seeds | np.uint64(1))[:, None]
+    spread = (mix(np.arange(COORDINATES, dtype=np.uint64), np.full(COORDINATES, 6, np.uint64)) | np.uint64(1))[:, None]
+
+    def least(s: np.ndarray) -> bytes:
+        """16 bits of each coordinate's least hash."""
+        out = np.full(COORDINATES, 2**64 - 1, np.uint64)
+        for a in range(0, len(s), 512):
+            np.minimum(out, (s[None, a : a + 512] * spread).min(axis=1), out=out)
+        return (mix(out, out) >> np.uint64(48)).astype(np.uint16).tobytes()
 
     def run(batches):
         for b in pieces(batches, size=1 << 19):
             sets = shingle_sets(raw(b.column("text")), words)
-            n, f1, f2, paths = [], [], [], []
+            n, f1, f2, paths, sketches = [], [], [], [], []
             for s in sets:
                 n.append(len(s))
                 y = mix(s, s)
                 f1.append(int(np.add.reduce(y).astype(np.int64)))
                 f2.append(int(np.bitwise_xor.reduce(y * np.uint64(_ODD)).astype(np.int64)) if len(s) else 0)
+                sketches.append(least(s))
                 if len(s):
                     limit = min(2**64 - 1, int(2**64 / (threshold * len(s))))
                     r, t = np.nonzero(s[None, :] * odd < np.uint64(limit))
@@ -99,7 +107,7 @@ def _sets(words, threshold, runs):
                     paths.append(np.empty(0, np.int64))
             offsets = pa.array(np.concatenate(([0], np.cumsum([len(p) for p in paths]))).astype(np.int32))
             lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(paths)))
-            yield batch(_SET, b.column("id"), b.column("k1"), b.column("k2"), np.array(n, np.int32), f1, f2, lists)
+            yield batch(_SET, b.column("id"), b.column("k1"), b.column("k2"), np.array(n, np.int32), f1, f2, lists, sketches)
 
     return run
 
@@ -109,20 +117,94 @@ def _tokens(words):
         for b in pieces(batches, size=1 << 19):
             sets = shingle_sets(raw(b.column("text")), words)
             offsets = pa.array(np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32))
-            yield batch(_TOKENS, b.column("c"), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets).view(np.int64))))
+            yield batch(_TOKENS, b.column("c"), b.column("cluster"), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets).view(np.int64))))
 
     return run
 
 
+def _sketches(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, COORDINATES)
+
+
 def _deeper(threshold):
+    """Each path goes on with each coordinate of probability 1 / (threshold * COORDINATES), and the value there."""
+    limit = np.uint64(int(2**64 / (threshold * COORDINATES)))
+    every = np.arange(COORDINATES, dtype=np.uint64)
+
     def run(batches):
         for b in batches:
-            for c, ps, tokens in zip(b.column("c").to_pylist(), b.column("ps"), b.column("tokens")):
-                s = tokens.values.to_numpy().view(np.uint64)
-                p = ps.values.to_numpy().view(np.uint64)
-                i, t = _chosen(s, p, threshold)
-                new = np.unique(mix(p[i], s[t]))
-                yield batch(_PATH, np.full(len(new), c), new.view(np.int64))
+            if not b.num_rows:
+                continue
+            p = b.column("p").to_numpy().view(np.uint64)
+            row, i = np.nonzero(mix(p[:, None], every[None, :]) < limit)
+            value = _sketches(b.column("sketch"))[row, i].astype(np.uint64)
+            new = mix(p[row], (i.astype(np.uint64) << np.uint64(16)) + value)
+            yield batch(_PATH, b.column("c").to_numpy()[row], new.view(np.int64), b.column("sketch").take(pa.array(row)))
+
+    return run
+
+
+def _grouped(batches, keys, columns):
+    """Lists of rows with equal keys, which come one after another."""
+    held, last = [], None
+    for b in batches:
+        for key, row in zip(zip(*(b.column(k).to_pylist() for k in keys)), zip(*(columns[c](b.column(c)) for c in columns))):
+            if key != last:
+                if len(held) > 1:
+                    yield last, held
+                held, last = [], key
+            held.append(row)
+    if len(held) > 1:
+        yield last, held
+
+
+def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
+    """The root of each of n members after joining the pairs."""
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, z in zip(i.tolist(), j.tolist()):
+        a, z = find(a), find(z)
+        if a != z:
+            root[max(a, z)] = min(a, z)
+    return [find(x) for x in range(n)]
+
+
+def _across(i, j, side):
+    """Pairs of two different blocks only, where there are two."""
+    if side.any() and not side.all():
+        ok = side[i] != side[j]
+        return i[ok], j[ok]
+    return i, j
+
+
+def _candidates(threshold, slack):
+    """Edges of a spanning forest of the pairs of each bucket whose sketches and sizes allow the threshold."""
+    least = math.ceil((threshold - slack) * COORDINATES)
+
+    def run(batches):
+        out = []
+        columns = {"c": pa.Array.to_pylist, "n": pa.Array.to_pylist, "sketch": _sketches, "side": pa.Array.to_pylist}
+        for _, rows in _grouped(batches, ("p", "b1", "b2"), columns):
+            c = [r[0] for r in rows]
+            n, side = np.array([r[1] for r in rows]), np.array([r[3] for r in rows])
+            s = np.stack([r[2] for r in rows])
+            i, j = _across(*np.triu_indices(len(c), 1), side)
+            ok = np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1
+            i, j = i[ok], j[ok]
+            same = np.concatenate([(s[i[a : a + 8192]] == s[j[a : a + 8192]]).sum(1) for a in range(0, len(i), 8192)]) if len(i) else i
+            root = _forest(len(c), i[same >= least], j[same >= least])
+            out += [(c[k], c[x]) for k, x in enumerate(root) if x != k]
+            if len(out) > 5000:
+                yield batch(_EDGE, *zip(*out))
+                out = []
+        if out:
+            yield batch(_EDGE, *zip(*out))
 
     return run
 
@@ -151,62 +233,28 @@ def _shared_tokens(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _compare(threshold):
-    def pairs(sets, side):
-        """Index pairs at or above the threshold; side: which block each is of, all 0 within one block."""
-        n = np.array([len(s) for s in sets], np.int64)
-        if len(sets) == 2:
-            both = np.array([np.isin(sets[0], sets[1], assume_unique=True).sum()])
-            i, j = np.array([0]), np.array([1])
-        else:
-            i, j = np.triu_indices(len(sets), 1)
-            keep = np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1
-            i, j = i[keep], j[keep]
-            both = np.rint(_shared_tokens(sets)[i, j]).astype(np.int64)
-        ok = both / (n[i] + n[j] - both) >= threshold
-        if side.any() and not side.all():
-            ok &= side[i] != side[j]
-        return i[ok], j[ok]
+    """Links of each member of a cluster (or of two blocks of one), and edges of a spanning forest."""
 
-    def one(p, rows):
-        c = [r[0] for r in rows]
-        size = np.array([r[1] for r in rows], np.int64)
-        where = [r[2] for r in rows]
-        i, j = pairs([r[3] for r in rows], np.array([r[4] for r in rows]))
-        links = np.zeros(len(c), np.int64)
-        root = list(range(len(c)))
-
-        def find(x):
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        for a, z in zip(i.tolist(), j.tolist()):
-            if where[a][0] == p and where[z][0] == p or min(set(where[a]) & set(where[z])) == p:
-                links[a] += size[z]
-                links[z] += size[a]
-            ra, rz = find(a), find(z)
-            if ra != rz:
-                root[max(ra, rz)] = min(ra, rz)
-        return [(c[a], int(links[a]), c[find(a)]) for a in range(len(c)) if links[a] or find(a) != a]
+    def sets_of(column):
+        flat, off = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()
+        return [flat[a:z].copy() for a, z in zip(off, off[1:])]
 
     def run(batches):
-        held, last, out = [], None, []
-        for b in batches:
-            tokens = b.column("tokens")
-            flat, off = tokens.values.to_numpy().view(np.uint64), tokens.offsets.to_numpy()
-            cols = zip(*(b.column(x).to_pylist() for x in ("p", "b1", "b2", "mine", "c", "size", "buckets")))
-            for k, (p, b1, b2, mine, c, size, buckets) in enumerate(cols):
-                if (p, b1, b2) != last:
-                    if len(held) > 1:
-                        out += one(last[0], held)
-                    held, last = [], (p, b1, b2)
-                    if len(out) > 5000:
-                        yield batch(_LINK, *zip(*out))
-                        out = []
-                held.append((c, size, buckets, flat[off[k] : off[k + 1]].copy(), int(b1 != b2 and mine == b2)))
-        if len(held) > 1:
-            out += one(last[0], held)
+        out = []
+        columns = {"c": pa.Array.to_pylist, "size": pa.Array.to_pylist, "tokens": sets_of, "side": pa.Array.to_pylist}
+        for _, rows in _grouped(batches, ("cluster", "b1", "b2"), columns):
+            c, sets = [r[0] for r in rows], [r[2] for r in rows]
+            size, side = np.array([r[1] for r in rows], np.int64), np.array([r[3] for r in rows])
+            n = np.array([len(s) for s in sets], np.int64)
+            i, j = _across(*np.triu_indices(len(c), 1), side)
+            both = np.array([np.isin(sets[0], sets[1], assume_unique=True).sum()]) if len(c) == 2 else np.rint(_shared_tokens(sets)[i, j]).astype(np.int64)
+            ok = both / (n[i] + n[j] - both) >= threshold
+            i, j = i[ok], j[ok]
+            links = np.bincount(i, size[j], len(c)) + np.bincount(j, size[i], len(c))
+            out += [(c[k], int(links[k]), c[x]) for k, x in enumerate(_forest(len(c), i, j)) if links[k]]
+            if len(out) > 5000:
+                yield batch(_LINK, *zip(*out))
+                out = []
         if out:
             yield batch(_LINK, *zip(*out))
 
@@ -214,65 +262,72 @@ def _compare(threshold):
 
 
 def _counted(members: DataFrame) -> DataFrame:
-    """Buckets of at least two members: p, their number, and two checksums of the members."""
-    return members.groupBy("p").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("c")).alias("x1"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("x2")).where("m > 1")
+    """Buckets of at least two members: p, their number, and two checksums of the members; a table of its own, so that joining it back can split a large bucket."""
+    return cut(members.groupBy("p").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("c")).alias("x1"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("x2")).where("m > 1"), "buckets")
+
+
+def _placed(rows: DataFrame, key: str, block: int) -> DataFrame:
+    """Rows of a group of m over block rows once for each pair of blocks (b1 <= b2) that theirs is in; side: 1 in the second of two."""
+    blocks = F.ceil(F.col("m") / block).cast("int")
+    mine = F.when(F.col("m") > block, F.pmod(F.xxhash64("c"), blocks).cast("int")).otherwise(0)
+    other = F.explode(F.when(F.col("m") > block, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(F.lit(0))))
+    placed = rows.withColumn("mine", mine).withColumn("other", other)
+    b1, b2 = F.least("mine", "other"), F.greatest("mine", "other")
+    placed = placed.withColumns({"b1": b1, "b2": b2, "side": ((b1 != b2) & (F.col("mine") == b2)).cast("int")}).drop("mine", "other", "m")
+    return placed.repartition(key, "b1", "b2").sortWithinPartitions(key, "b1", "b2")
 
 
 def similar_groups(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, words: int = WORDS,
-    recall: float = 0.999, small: int = 64, depth: int = 3, block: int = 512,
+    recall: float = 0.999, small: int = 64, depth: int = 3, block: int = 512, slack: float = 0.25,
 ) -> DataFrame:
     """One row per input row: id, class_id, n_links, set_size and the row key k1, k2.
 
     n_links: the other rows whose shingle sets have a Jaccard similarity of at
     least `threshold`, copies included; class_id: the least id that is reached over such
-    links (the own id where there are none). Null texts count as empty and, like
-    texts without words, link to nothing. Null ids take part; a class of null
-    ids only has class_id null. Extra columns are not carried.
-    """
-    runs = runs_for(recall, depth)
+    links (the own id where there are none). Sketches rule a pair out if their
+    estimate is below threshold - slack, five standard deviations. Null texts
+    count as empty and, like texts without words, link to nothing. Null ids take
+    part; a class of null ids only has class_id null. Extra columns are not carried.
+    """
     docs = keyed(df, id_col, text_col)
-    rows = cut(docs.mapInArrow(_sets(words, threshold, runs), ddl(_SET)), "sets")
-    kind = rows.where("n > 0").groupBy("n", "f1", "f2").agg(F.count("*").alias("size"), F.min("id").alias("least_id"), F.min(F.struct("k1", "k2", "paths")).alias("r"))
+    rows = cut(docs.mapInArrow(_sets(words, threshold, runs_for(recall, depth)), ddl(_SET)), "sets")
+    kind = rows.where("n > 0").groupBy("n", "f1", "f2").agg(F.count("*").alias("size"), F.min("id").alias("least_id"), F.min(F.struct("k1", "k2", "paths", "sketch")).alias("r"))
     kind = cut(kind.select("n", "f1", "f2", "size", "least_id", "r.*").withColumn("c", F.monotonically_increasing_id()), "kinds")
 
-    members = kind.select("c", F.explode(F.array_distinct("paths")).alias("p"))
-    counts = _counted(members)
-    level = cut(members.join(counts, "p"), "level")
-    live = level.select("c").distinct().join(kind.select("c", "k1", "k2"), "c")
-    texts = docs.join(live, ["k1", "k2"]).select("c", "text").dropDuplicates(["c"])
-    tokens = cut(texts.mapInArrow(_tokens(words), ddl(_TOKENS)), "tokens")
+    level = kind.select("c", F.explode(F.array_distinct("paths")).alias("p"), "sketch")
     leaves = []
     for d in range(1, depth + 1):
-        leaves.append(level.where(F.col("m") <= small) if d < depth else level)
-        if d == depth:
-            break
-        large = level.where(F.col("m") > small).groupBy("c").agg(F.collect_list("p").alias("ps"))
-        deeper = cut(large.join(tokens, "c").mapInArrow(_deeper(threshold), ddl(_PATH)), "paths")
-        level = cut(deeper.join(_counted(deeper), "p"), "level")
+        counted = _counted(level)
+        level = level.join(counted, "p")
+        leaves.append(level if d == depth else level.where(F.col("m") <= small))
+        if d < depth:
+            deeper = level.where(F.col("m") > small).select("c", "p", "sketch").mapInArrow(_deeper(threshold), ddl(_PATH))
+            level = cut(deeper.dropDuplicates(["c", "p"]), "paths")
     found = leaves[0]
     for x in leaves[1:]:
         found = found.unionByName(x)
+    found = cut(found, "found")
     # of buckets with the same members one is enough
-    once = found.groupBy("p").agg(F.max("m").alias("m"), F.max("x1").alias("x1"), F.max("x2").alias("x2")).groupBy("m", "x1", "x2").agg(F.min("p").alias("p"))
-    found = cut(found.select("c", "p", "m").join(once.select("p"), "p"), "buckets")
-    of = found.groupBy("c").agg(F.array_sort(F.collect_list("p")).alias("buckets"))
-    who = of.join(kind.select("c", "size"), "c").join(tokens, "c")
-    blocks = F.ceil(F.col("m") / block).cast("int")
-    placed = found.withColumn("mine", F.when(F.col("m") > block, F.pmod(F.xxhash64("c"), blocks).cast("int")).otherwise(0)).withColumn(
-        "other", F.explode(F.when(F.col("m") > block, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(F.lit(0))))
-    )
-    placed = placed.select("c", "p", "mine", F.least("mine", "other").alias("b1"), F.greatest("mine", "other").alias("b2"))
-    spread = placed.join(who, "c").repartition("p", "b1", "b2").sortWithinPartitions("p", "b1", "b2")
-    links = cut(spread.mapInArrow(_compare(threshold), ddl(_LINK)), "links")
-
-    reach = connected_components(links.where("root <> c").select(F.col("c").alias("src"), F.col("root").alias("dst")))
+    once = cut(found.groupBy("m", "x1", "x2").agg(F.min("p").alias("p")).select("p"), "once")
+    buckets = found.select("c", "p", "m", "sketch").join(once, "p").join(kind.select("c", "n"), "c")
+    edges = cut(_placed(buckets, "p", block).mapInArrow(_candidates(threshold, slack), ddl(_EDGE)), "candidates")
+    clusters = cut(connected_components(edges, "c", "root").withColumnsRenamed({"node": "c", "component": "cluster"}), "clusters")
+
+    live = clusters.join(kind.select("c", "k1", "k2"), "c").select("c", "cluster", "k1", "k2")
+    texts = docs.join(live, ["k1", "k2"]).select("c", "cluster", "text").dropDuplicates(["c"])
+    tokens = cut(texts.mapInArrow(_tokens(words), ddl(_TOKENS)), "tokens")
+    sizes = cut(clusters.groupBy("cluster").agg(F.count("*").alias("m")), "sizes")
+    members = tokens.join(kind.select("c", "size"), "c").join(sizes, "cluster")
+    links = cut(_placed(members, "cluster", block).mapInArrow(_compare(threshold), ddl(_LINK)), "links")
+
+    reach = connected_components(links.where("root <> c"), "c", "root")
     number = links.groupBy("c").agg(F.sum("links").alias("links"))
     kinds = kind.select("c", "n", "f1", "f2", "size", "least_id").join(number, "c", "left").join(reach.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
     kinds = cut(kinds, "classes")
-    least = kinds.groupBy("component").agg(F.min("least_id").alias("class_id"))
-    kinds = kinds.join(least, "component").select("n", "f1", "f2", "class_id", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"))
-    out = rows.drop("paths").join(kinds, ["n", "f1", "f2"], "left")
+    least = cut(kinds.groupBy("component").agg(F.min("least_id").alias("class_id")), "least")
+    kinds = cut(kinds.join(least, "component").select("n", "f1", "f2", "class_id", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links")), "classes")
+    out = rows.drop("paths", "sketch").join(kinds, ["n", "f1", "f2"], "left")
     return out.select(F.col("id").alias(id_col), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("n").cast("long").alias("set_size"), "k1", "k2")
 
 
