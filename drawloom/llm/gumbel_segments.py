@@ -12,8 +12,8 @@ falling order, so the first k paths are a sample without replacement, and the va
 of the next subproblem is the threshold for the scores of inclusion.
 
 All draws are hashes of the row key, so results do not depend on how rows are
-dealt. Tasks work through all rows of a batch at once; distinct units are
-prepared once while they stay in a bounded store.
+dealt. Tasks work through all rows of a batch at once and prepare
+each distinct unit of a batch once.
 """
 
 from __future__ import annotations
@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drawloom.llm.common import batch, ddl, keyed, pieces, raw, table
-from drawloom.llm.names import mix
+from drawloom.llm.names import mix, ranges
 
 SPACE = "▁"
+_STEP = 0x9E3779B97F4A7C15
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _SAMPLE = pa.schema([
     ("id", pa.int64()), ("sample", pa.int32()), ("ids", pa.binary()), ("n_pieces", pa.int64()), ("log_prob", pa.float64()), ("value", pa.float64()), ("log_inclusion", pa.float64()),
@@ -57,6 +58,22 @@ class Vocabulary:
         self.bytes = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(len(sp)) if sp.is_byte(i)}
         self.rare = float(weight.min()) - 10.0 if len(weight) else -10.0
         self.unknown = sp.unk_id()
+        # by length: hashes of all beginnings of pieces, with the id (-1: no piece itself) and weight
+        found: dict[int, dict[int, tuple[int, float]]] = {}
+        for piece, (i, w) in self.weight.items():
+            h = 0
+            for length, c in enumerate(piece, 1):
+                h = (h + ord(c) + 1) * _STEP % 2**64
+                h ^= h >> 31
+                if length == len(piece):
+                    found.setdefault(length, {})[h] = (i, w)
+                else:
+                    found.setdefault(length, {}).setdefault(h, (-1, 0.0))
+        self.nothing = (np.zeros(1, np.uint64), np.array([-1]), np.zeros(1))
+        self.by_length = {}
+        for length, x in found.items():
+            names = np.array(sorted(x), np.uint64)
+            self.by_length[length] = (names, np.array([x[int(h)][0] for h in names]), np.array([x[int(h)][1] for h in names]))
         self.whole_words = not any(SPACE in p.lstrip(SPACE) for p in self.weight)
 
     def units(self, text: str) -> list[str]:
@@ -69,84 +86,81 @@ class Vocabulary:
         return [self.unknown] if None in codes else codes
 
 
-class _Lattices:
-    """Edges of all stored units: for each state (a place in a unit) the next pieces with cumulative probability."""
-
-    def __init__(self, vocab: Vocabulary, most: int = 250_000):
-        self.vocab, self.most = vocab, most
-        self.clear()
-
-    def clear(self):
-        self.start: dict[str, int] = {}
-        self.first = [0]  # first edge of each state
-        self.target: list[int] = []
-        self.p: list[float] = []
-        self.piece: list[int] = []  # id, or -1 - index into longer
-        self.longer: list[list[int]] = []
-        self.known: dict[str, int] = {}
-        self.arrays = None
-
-    def add(self, unit: str) -> None:
-        n, vocab = len(unit), self.vocab
-        get, longest = vocab.weight.get, vocab.longest
-        out: list[list] = []
-        total = [0.0] * (n + 1)  # log of summed weights to the end of the unit
-        for i in range(n - 1, -1, -1):
-            edges = []
-            for j in range(i + 1, min(n, i + longest) + 1):
-                hit = get(unit[i:j])
-                if hit is not None:
-                    edges.append((j, hit[0], hit[1] + total[j]))
-                elif j == i + 1:
-                    ids = vocab.single(unit[i])
-                    if len(ids) > 1:
-                        at = self.known.get(unit[i])
-                        if at is None:
-                            at = self.known[unit[i]] = len(self.longer)
-                            self.longer.append(ids)
-                        code = -1 - at
-                    else:
-                        code = ids[0]
-                    edges.append((j, code, vocab.rare + total[j]))
-            if len(edges) == 1:
-                total[i] = edges[0][2]
-                out.append([(edges[0][0], edges[0][1], 1.0)])
+class _Lattice:
+    """The edges of the given units' lattices: for each state (a place in a unit) the next pieces.
+
+    Built for all units at once: substrings of one length are looked up by hash
+    together, and the backward sums go from the ends of all units to their starts.
+    """
+
+    def __init__(self, vocab: Vocabulary, units: list[str]):
+        lens = np.fromiter(map(len, units), np.int64, len(units))
+        codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        n = len(codes)
+        unit_end = np.repeat(np.cumsum(lens), lens)
+        left = unit_end - np.arange(n)  # characters to the end of the unit
+        state = np.arange(n) + np.repeat(np.arange(len(units)), lens)  # each unit has an end state too
+        self.start = np.cumsum(lens + 1) - lens - 1
+        at, h = np.arange(n), np.zeros(n, np.uint64)
+        src, size, code, weight = [], [], [], []
+        for length in range(1, min(vocab.longest, int(lens.max()) if len(lens) else 0) + 1):
+            ok = left[at] >= length
+            at, h = at[ok], h[ok]
+            if not len(at):
+                break
+            h = (h + codes[at + length - 1] + np.uint64(1)) * np.uint64(_STEP)
+            h ^= h >> np.uint64(31)
+            names, ids, weights = vocab.by_length.get(length, vocab.nothing)
+            k = np.minimum(np.searchsorted(names, h), len(names) - 1)
+            begins = names[k] == h
+            piece = np.where(begins, ids[k], -1)
+            hit = piece >= 0
+            if length == 1:
+                # a character that is no piece keeps the lattice whole, as -1 - its code
+                src.append(at)
+                code.append(np.where(hit, piece, -1 - codes[at].astype(np.int64)))
+                weight.append(np.where(hit, weights[k], vocab.rare))
+                size.append(np.ones(len(at), np.int64))
             else:
-                top = max(e[2] for e in edges)
-                w = [math.exp(e[2] - top) for e in edges]
-                s = sum(w)
-                total[i] = top + math.log(s)
-                out.append([(e[0], e[1], x / s) for e, x in zip(edges, w)])
-        base = len(self.first) - 1
-        self.start[unit] = base
-        for edges in reversed(out):
-            for j, code, p in edges:
-                self.target.append(base + j)
-                self.piece.append(code)
-                self.p.append(p)
-            self.first.append(len(self.target))
-        self.first.append(len(self.target))  # the end state has no edges
-
-    def prepare(self, units: set[str]) -> None:
-        new = units.difference(self.start)
-        if len(self.start) + len(new) > self.most:
-            self.clear()
-            new = units
-        if new or self.arrays is None:
-            for u in sorted(new):
-                self.add(u)
-            first = np.array(self.first, np.int64)
-            p = np.array(self.p)
-            state = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            run = np.cumsum(p)
-            before = np.concatenate(([0.0], run))[first[:-1]]
-            cum = np.minimum(run - before[state], 1.0)
-            cum[first[1:][np.diff(first) > 0] - 1] = 1.0
-            ends = np.diff(first) == 0
-            with np.errstate(divide="ignore"):
-                rest = np.log1p(-np.minimum(p, 1.0))
-            rest[p >= 1.0] = -np.inf
-            self.arrays = (first, np.array(self.target, np.int64), state + cum, np.log(p), rest, np.array(self.piece, np.int64), ends)
+                src.append(at[hit])
+                code.append(piece[hit])
+                weight.append(weights[k[hit]])
+                size.append(np.full(int(hit.sum()), length))
+            at, h = at[begins], h[begins]
+        src, size, code, weight = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((src, np.int64), (size, np.int64), (code, np.int64), (weight, float)))
+        order = np.argsort(src, kind="stable")
+        src, size, code, weight = src[order], size[order], code[order], weight[order]
+        states = n + len(units)
+        count = np.zeros(states, np.int64)
+        if n:
+            count[state] = np.bincount(src, minlength=n)
+        self.first = np.concatenate(([0], np.cumsum(count)))
+        self.target = state[src] + size
+        self.code = code
+        total = np.zeros(states)
+        by_left = np.argsort(left, kind="stable")
+        edges_of = np.concatenate(([0], np.cumsum(np.bincount(left)))) if n else [0, 0]
+        for d in range(1, len(edges_of) - 1):
+            s = state[by_left[edges_of[d] : edges_of[d + 1]]]
+            if not len(s):
+                continue
+            e = ranges(self.first[s], count[s])
+            begin = np.cumsum(count[s]) - count[s]
+            v = weight[e] + total[self.target[e]]
+            top = np.maximum.reduceat(v, begin)
+            total[s] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, count[s])), begin))
+        self.logp = np.minimum(weight + total[self.target] - total[state[src]], 0.0)
+        p = np.exp(self.logp)
+        run = np.concatenate(([0.0], np.cumsum(p)))
+        owner = state[src]
+        cum = np.minimum(run[1:] - run[self.first[owner]], 1.0)
+        cum[self.first[1:][count > 0] - 1] = 1.0
+        self.cum = owner + cum
+        with np.errstate(divide="ignore"):
+            self.rest = np.log1p(-p)
+        # the only edge of a state leaves nothing
+        self.rest[np.repeat(count == 1, count)] = -np.inf
+        self.ends = count == 0
 
 
 def _uniform(seed: np.ndarray, *parts: np.ndarray) -> np.ndarray:
@@ -158,7 +172,7 @@ def _uniform(seed: np.ndarray, *parts: np.ndarray) -> np.ndarray:
 
 def _walk(lat, seeds, r, unit_row, local, state, active):
     """Sample each active unit from its state to its end: the edges in order of unit, and how many each unit has."""
-    first, target, cum, _, _, _, ends = lat
+    first, target, cum, ends = lat.first, lat.target, lat.cum, lat.ends
     n, got = np.zeros(len(state), np.int64), []
     state = state.copy()
     base = mix(seeds[unit_row], mix(local.astype(np.uint64), np.full(len(local), r + 1, np.uint64))) if len(local) else seeds[:0]
@@ -178,18 +192,19 @@ def _walk(lat, seeds, r, unit_row, local, state, active):
     return out, n
 
 
-def sample_rows(texts: list[str], seeds: np.ndarray, lattices: _Lattices, k: int) -> list[list[tuple]]:
+def sample_rows(texts: list[str], seeds: np.ndarray, vocab: Vocabulary, k: int) -> list[list[tuple]]:
     """For each text up to k tuples (ids, log_prob, value, log_inclusion), values falling."""
-    units = [lattices.vocab.units(t) for t in texts]
-    lattices.prepare({u for us in units for u in us})
-    lat = lattices.arrays
-    first, target, cum, logp, rest, piece, ends = lat
+    units = [vocab.units(t) for t in texts]
+    number = {u: i for i, u in enumerate(dict.fromkeys(u for us in units for u in us))}
+    lat = _Lattice(vocab, list(number))
+    first, target, logp, rest, piece = lat.first, lat.target, lat.logp, lat.rest, lat.code
     rows = len(texts)
     n_units = np.array([len(u) for u in units], np.int64)
     unit_row = np.repeat(np.arange(rows), n_units)
     row_unit = np.cumsum(n_units) - n_units
     # units are numbered within their row, so that draws do not depend on the batch
-    start = np.fromiter((lattices.start[u] for us in units for u in us), np.int64, int(n_units.sum()))
+    kind = np.fromiter((number[u] for us in units for u in us), np.int64, int(n_units.sum()))
+    start = lat.start[kind] if len(kind) else kind
     local = np.arange(len(start)) - row_unit[unit_row] if len(start) else start
     paths: list[dict] = []
     top = -np.log(-np.log(_uniform(seeds, np.uint64(0xA))))
@@ -291,7 +306,7 @@ def sample_rows(texts: list[str], seeds: np.ndarray, lattices: _Lattices, k: int
             b, z = int(path["begin"][i]), int(path["begin"][i] + path["count"][i])
             ids = code[b:z]
             if len(long) and (ids < 0).any():
-                ids = np.array([x for c in ids.tolist() for x in ((c,) if c >= 0 else lattices.longer[-1 - c])], np.int64)
+                ids = np.array([x for c in ids.tolist() for x in ((c,) if c >= 0 else vocab.single(chr(-1 - c)))], np.int64)
             lp = float(path["log_prob"][i])
             d = lp - float(threshold[i])
             out[i].append((ids.astype(np.uint32), lp, float(path["value"][i]), _log_inclusion(d)))
@@ -307,12 +322,12 @@ def _log_inclusion(d: float) -> float:
 
 def _samples(path, alpha, k, seed):
     def run(batches):
-        lattices = _Lattices(Vocabulary(path, alpha))
+        vocab = Vocabulary(path, alpha)
         for b in pieces(batches, size=1 << 19):
             keys = [b.column(c).to_numpy().view(np.uint64) for c in ("k1", "k2")]
             seeds = mix(mix(keys[0], keys[1]), np.full(b.num_rows, seed, np.uint64))
             rows = []
-            for i, found in zip(b.column("id").to_pylist(), sample_rows([t.decode() for t in raw(b.column("text"))], seeds, lattices, k)):
+            for i, found in zip(b.column("id").to_pylist(), sample_rows([t.decode() for t in raw(b.column("text"))], seeds, vocab, k)):
                 rows += [(i, n + 1, ids.tobytes(), len(ids), lp, value, inclusion) for n, (ids, lp, value, inclusion) in enumerate(found)]
             yield batch(_SAMPLE, *zip(*rows))
 

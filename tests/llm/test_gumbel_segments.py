@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from drawloom.llm.gumbel_segments import Vocabulary, _Lattices, decode, model_path, sample_rows, sample_segmentations
+from drawloom.llm.gumbel_segments import Vocabulary, decode, model_path, sample_rows, sample_segmentations
 from drawloom.llm.names import mix
 
 
@@ -44,7 +44,7 @@ def seeds(n, s=0):
 def test_samples_follow_the_law_without_replacement(vocab, text):
     law = every_path(vocab, text)
     n, k = 6000, 3
-    got = sample_rows([text] * n, seeds(n), _Lattices(vocab), k)
+    got = sample_rows([text] * n, seeds(n), vocab, k)
     k = min(k, len(law))
     first, second = Counter(), Counter()
     for found in got:
@@ -70,8 +70,8 @@ def test_samples_follow_the_law_without_replacement(vocab, text):
 def test_few_segmentations_and_batches(vocab):
     texts = ["", "a", "ab cd efgh ijk" * 20, "x\ny\tz  w", "日本"]
     s = seeds(5)
-    together = sample_rows(texts, s, _Lattices(vocab), 4)
-    alone = [sample_rows([t], s[i : i + 1], _Lattices(vocab, most=1), 4)[0] for i, t in enumerate(texts)]
+    together = sample_rows(texts, s, vocab, 4)
+    alone = [sample_rows([t], s[i : i + 1], vocab, 4)[0] for i, t in enumerate(texts)]
     for a, b in zip(together, alone):
         assert [(x[0].tolist(), round(x[2], 9), round(x[3], 9)) for x in a] == [(x[0].tolist(), round(x[2], 9), round(x[3], 9)) for x in b]
     assert [len(x) for x in together] == [min(4, len(every_path(vocab, t))) if len(t) < 20 else 4 for t in texts]
