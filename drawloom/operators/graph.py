@@ -28,9 +28,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", r
         if not mark[0]:
             break
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # tables of their own, so that joining them back can split the rows of a node of many edges
+        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = cut(large, "large")
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         # small star: u's smaller neighbours, and u itself, point to the least of them
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         now = cut(small.where("u <> v").distinct(), "edges")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LINE = r'^\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?)\s*(?:<([^>]*)>\s*)?\.\s*$'
+_LINE = r'^\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"(.*)"(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?)\s*(?:<([^>]*)>\s*)?\.\s*$'
 
 
 def escaped(c: Column) -> Column:

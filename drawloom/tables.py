@@ -32,3 +32,53 @@ def drop(df: DataFrame) -> None:
     spark = df.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(df._cut_path)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def replace_slice(table: DataFrame, slice_of, new: DataFrame) -> DataFrame:
+    """table without the rows of the slice (null is not in it), and the new ones; running it twice changes nothing."""
+    from pyspark.sql import functions as F
+
+    return table.where(~F.coalesce(slice_of, F.lit(False))).unionByName(new)
+
+
+def create_table(spark: SparkSession, name: str, schema: str, partitions: list[str] | None = None) -> None:
+    """A Parquet table of the catalogue from a DDL schema."""
+    by = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet{by}")
+
+
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", partitions: list[str] | None = None, dynamic: bool = False) -> None:
+    w = df.write.mode(mode)
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    (w.partitionBy(*partitions) if partitions else w).parquet(path)
+
+
+def write_lists(df: DataFrame, path: str, form: str = "json") -> None:
+    """Result lists as JSON lines, or as CSV with header."""
+    df.write.json(path) if form == "json" else df.write.option("header", True).csv(path)
+
+
+def write_snapshot(df: DataFrame, path: str, note: str = "") -> int:
+    """A further version of the table at path: a folder of its own and a row in the manifest; its number from 0."""
+    spark = df.sparkSession
+    version = _versions(spark, path)
+    df.write.parquet(f"{path}/v{version:06d}")
+    spark.createDataFrame([(version, note)], "version int, note string").coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    return version
+
+
+def _versions(spark: SparkSession, path: str) -> int:
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return 0
+    return spark.read.parquet(f"{path}/manifest").count()
+
+
+def history_of(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/manifest")
+
+
+def read_as_of(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The given version, or the newest."""
+    return spark.read.parquet(f"{path}/v{_versions(spark, path) - 1 if version is None else version:06d}")
