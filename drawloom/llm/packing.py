@@ -14,7 +14,7 @@ many documents it reads.
 from __future__ import annotations
 
 import os
-from array import array
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -31,36 +31,87 @@ _PIECE = pa.schema([
 ])
 
 
+_LETTERS = "À-ÖØ-öø-ÿĀ-įĴ-ňŊ-ž"  # lower-cased to one letter each and composed already
+_PLAIN = re.compile(rf"[\t-\r\x20-~{_LETTERS}]*+")
+_PLAIN_WORD = re.compile(rf"[!-~{_LETTERS}]*+")
+_SPECIAL = "<|"  # how the names of special tokens begin
+# the tokenizer's own split pattern, over the characters of _PLAIN after lower-casing
+_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^\sa-z0-9{_LETTERS}]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable stand-in of each byte in byte-level vocabularies: itself if it is one, else the next character from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class _Store:
+    """Ids of strings, one after another in one growing array, with the place of each string."""
+
+    def __init__(self, most: int):
+        self.most, self.place = most, {}
+        self.ids, self.edge, self.n = np.empty(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0
+
+    def add(self, key, ids: list[int]) -> None:
+        k, end = len(self.place), self.n + len(ids)
+        while end > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
+        if k + 2 > len(self.edge):
+            self.edge = np.concatenate((self.edge, np.empty_like(self.edge)))
+        self.ids[self.n : end] = ids
+        self.place[key], self.edge[k + 1], self.n = k, end, end
+
+    def trim(self) -> None:
+        if len(self.place) > self.most:
+            self.place, self.n = {}, 0
+
+
 def word_tokenizer(path: str, end: int | None, words: int = 400_000):
     """A function from texts to id arrays, equal to encoding each text whole and adding `end`.
 
-    For tokenizers that never join or look across ASCII white space (such as
-    BPE with word ends), so each distinct word is encoded once while it stays in
-    the store of at most about `words` words.
+    For lower-casing word-end vocabularies, which split at white space, letters,
+    digits and other signs. Texts of plain characters are split here with the
+    same pattern and each distinct part goes to the merges once while it stays in
+    the store of about `words` parts. A word with any other character, or that may hold the name of
+    a special token, is encoded by the whole tokenizer.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
+    merges = tok.model
+    letters = _byte_letters()
     tail = np.array([] if end is None else [end], np.uint32)
-    store: dict[bytes, int] = {}
-    pool, first = array("I"), array("q", [0])
+    store = _Store(words)
+
+    def parts(text: str) -> list[str]:
+        if _PLAIN.fullmatch(text) and _SPECIAL not in text:
+            return _PARTS.findall(text.lower())
+        out = []
+        for w in text.encode().split():  # at ASCII white space only
+            w = w.decode()
+            # a blank before it marks a word for the whole tokenizer
+            out += _PARTS.findall(w.lower()) if _PLAIN_WORD.fullmatch(w) and _SPECIAL not in w else [" " + w]
+        return out
+
+    def ids_of(part: str) -> list[int]:
+        if part[0] == " ":
+            return tok.encode(part[1:], add_special_tokens=False).ids
+        if not part.isascii():
+            part = "".join(letters[b] for b in part.encode())
+        return [t.id for t in merges.tokenize(part)]
 
     def encode(texts: list[bytes]) -> list[np.ndarray]:
-        split = [t.split() for t in texts]
+        split = [parts(t.decode()) for t in texts]
         flat = [w for ws in split for w in ws]
-        if len(store) > words:
-            store.clear()
-            del pool[:], first[1:]
-        new = list(set(flat).difference(store))
-        for e, w in zip(tok.encode_batch([w.decode() for w in new], add_special_tokens=False), new):
-            store[w] = len(first) - 1
-            pool.extend(e.ids)
-            first.append(len(pool))
-        at = np.fromiter(map(store.__getitem__, flat), np.int64, len(flat))
-        ids, edge = np.array(pool, np.uint32), np.array(first, np.int64)
-        n = edge[at + 1] - edge[at] if len(at) else at
-        tokens = ids[ranges(edge[at], n)] if len(at) else ids[:0]
+        store.trim()
+        for w in set(flat).difference(store.place):
+            store.add(w, ids_of(w))
+        at = np.fromiter(map(store.place.__getitem__, flat), np.int64, len(flat))
+        first = store.edge[at]
+        n = store.edge[at + 1] - first
+        tokens = store.ids[ranges(first, n)] if len(at) else store.ids[:0]
         ends = np.concatenate(([0], np.cumsum(n)))[np.concatenate(([0], np.cumsum([len(ws) for ws in split]))).astype(np.int64)]
         return [np.concatenate((tokens[a:z], tail)) for a, z in zip(ends[:-1].tolist(), ends[1:].tolist())]
 

@@ -2,9 +2,10 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 from tokenizers import Tokenizer
 
-from drawloom.llm.packing import Packer, pack, tokenizer_path
+from drawloom.llm.packing import Packer, pack, tokenizer_path, word_tokenizer
 
 
 def test_every_id_once_and_no_padding(spark):
@@ -51,6 +52,17 @@ def test_level_choice_is_least_sum_of_squares():
         assert total(p.count) == min(options)
 
 
+def test_word_tokenizer_equals_whole_texts():
+    tok = Tokenizer.from_file(tokenizer_path())
+    texts = [t for t in pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist()]
+    texts += ["it's ''s I'LL we'Ve 'S x'dy", "e\u0301 caf\u00e9 \u0130 \u01c4 ﬁ ß ẞ ΑΣ Σ.", "a<|endoftext|>b <|x|>", "1²3 ½ ٣ x1y22", "a\x1cb\x85c\xa0d\u2003e\u200bf\x00g", "😀 日本語, ไทย", "ŉ ǅ ĳ Ĳ ſ µ ª º × ÷", "\ufeff¡¿«»"]
+    texts += ["".join(chr(c) for c in range(a, a + 40) if not 0xD800 <= c < 0xE000) for a in range(1, 0x600, 37)]
+    encode = word_tokenizer(tokenizer_path(), None, words=500)
+    for i in range(0, len(texts), 50):
+        for t, ids in zip(texts[i : i + 50], encode([t.encode() for t in texts[i : i + 50]])):
+            assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids, t[:200]
+
+
 def test_empty_and_nulls(spark):
     df = spark.createDataFrame([(None, None), (1, "a"), (1, "a")], "doc_id long, text string")
     assert sorted((str(r["doc_id"]), r["length"]) for r in pack(df, tokenizer_path()).collect()) == [("1", 2), ("1", 2), ("None", 1)]
