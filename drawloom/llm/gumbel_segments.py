@@ -19,7 +19,6 @@ each distinct unit of a batch once.
 from __future__ import annotations
 
 import math
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,6 @@ from drawloom.llm.names import mix, ranges
 
 SPACE = "▁"
 _STEP = 0x9E3779B97F4A7C15
-_UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _SAMPLE = pa.schema([
     ("id", pa.int64()), ("sample", pa.int32()), ("ids", pa.binary()), ("n_pieces", pa.int64()), ("log_prob", pa.float64()), ("value", pa.float64()), ("log_inclusion", pa.float64()),
 ])
@@ -69,23 +67,32 @@ class Vocabulary:
                     found.setdefault(length, {})[h] = (i, w)
                 else:
                     found.setdefault(length, {}).setdefault(h, (-1, 0.0))
-        self.nothing = (np.zeros(1, np.uint64), np.array([-1]), np.zeros(1))
+        last = np.array([2**64 - 1], np.uint64)  # so that a search ends
+        self.nothing = (last, np.zeros(1 << 16, np.int64), np.array([-1]), np.zeros(1))
         self.by_length = {}
         for length, x in found.items():
             names = np.array(sorted(x), np.uint64)
-            self.by_length[length] = (names, np.array([x[int(h)][0] for h in names]), np.array([x[int(h)][1] for h in names]))
+            # with the place of the first hash of each 16 leading bits
+            index = np.searchsorted(names, np.arange(1 << 16, dtype=np.uint64) << np.uint64(48))
+            self.by_length[length] = (np.append(names, last), index, np.array([*(x[int(h)][0] for h in names), -1]), np.array([*(x[int(h)][1] for h in names), 0.0]))
         self.whole_words = not any(SPACE in p.lstrip(SPACE) for p in self.weight)
 
-    def units(self, text: str) -> list[str]:
-        t = self.sp.normalize(text)
-        return _UNIT.findall(t) if self.whole_words else [t] if t else []
-
     def single(self, c: str) -> list[int]:
         """Ids for a character that is no piece: its bytes, else the unknown id."""
         codes = [self.bytes.get(b) for b in c.encode()]
         return [self.unknown] if None in codes else codes
 
 
+def _upward(values: np.ndarray, at: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """For each search the first place from `at` on with a value of at least `least`; a few steps each, in neighbouring places."""
+    at = at.copy()
+    todo = np.flatnonzero(values[at] < least)
+    while len(todo):
+        at[todo] += 1
+        todo = todo[values[at[todo]] < least[todo]]
+    return at
+
+
 class _Lattice:
     """The edges of the given units' lattices: for each state (a place in a unit) the next pieces.
 
@@ -93,13 +100,11 @@ class _Lattice:
     together, and the backward sums go from the ends of all units to their starts.
     """
 
-    def __init__(self, vocab: Vocabulary, units: list[str]):
-        lens = np.fromiter(map(len, units), np.int64, len(units))
-        codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.uint64)
-        n = len(codes)
+    def __init__(self, vocab: Vocabulary, codes: np.ndarray, lens: np.ndarray):
+        n, codes = len(codes), codes.astype(np.uint64)
         unit_end = np.repeat(np.cumsum(lens), lens)
         left = unit_end - np.arange(n)  # characters to the end of the unit
-        state = np.arange(n) + np.repeat(np.arange(len(units)), lens)  # each unit has an end state too
+        state = np.arange(n) + np.repeat(np.arange(len(lens)), lens)  # each unit has an end state too
         self.start = np.cumsum(lens + 1) - lens - 1
         at, h = np.arange(n), np.zeros(n, np.uint64)
         src, size, code, weight = [], [], [], []
@@ -110,15 +115,18 @@ class _Lattice:
                 break
             h = (h + codes[at + length - 1] + np.uint64(1)) * np.uint64(_STEP)
             h ^= h >> np.uint64(31)
-            names, ids, weights = vocab.by_length.get(length, vocab.nothing)
-            k = np.minimum(np.searchsorted(names, h), len(names) - 1)
+            names, index, ids, weights = vocab.by_length.get(length, vocab.nothing)
+            k = _upward(names, index[(h >> np.uint64(48)).astype(np.int64)], h)
             begins = names[k] == h
             piece = np.where(begins, ids[k], -1)
             hit = piece >= 0
             if length == 1:
-                # a character that is no piece keeps the lattice whole, as -1 - its code
+                # a character that is no piece keeps the lattice whole, as its one id or -1 - its code
                 src.append(at)
-                code.append(np.where(hit, piece, -1 - codes[at].astype(np.int64)))
+                odd, which = np.unique(codes[at[~hit]], return_inverse=True)
+                alone = [vocab.single(chr(c)) for c in odd.tolist()]
+                piece[~hit] = np.array([x[0] if len(x) == 1 else -1 - c for x, c in zip(alone, odd.tolist())], np.int64)[which]
+                code.append(piece)
                 weight.append(np.where(hit, weights[k], vocab.rare))
                 size.append(np.ones(len(at), np.int64))
             else:
@@ -130,7 +138,7 @@ class _Lattice:
         src, size, code, weight = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((src, np.int64), (size, np.int64), (code, np.int64), (weight, float)))
         order = np.argsort(src, kind="stable")
         src, size, code, weight = src[order], size[order], code[order], weight[order]
-        states = n + len(units)
+        states = n + len(lens)
         count = np.zeros(states, np.int64)
         if n:
             count[state] = np.bincount(src, minlength=n)
@@ -155,7 +163,7 @@ class _Lattice:
         owner = state[src]
         cum = np.minimum(run[1:] - run[self.first[owner]], 1.0)
         cum[self.first[1:][count > 0] - 1] = 1.0
-        self.cum = owner + cum
+        self.cum = cum
         with np.errstate(divide="ignore"):
             self.rest = np.log1p(-p)
         # the only edge of a state leaves nothing
@@ -179,7 +187,7 @@ def _walk(lat, seeds, r, unit_row, local, state, active):
     live, step = active[~ends[state[active]]] if len(active) else active, 0
     while len(live):
         s = state[live]
-        e = np.minimum(np.searchsorted(cum, s + _uniform(base[live], np.uint64(step))), first[s + 1] - 1)
+        e = _upward(cum, first[s], _uniform(base[live], np.uint64(step)))
         got.append((live, e))
         n[live] += 1
         state[live] = target[e]
@@ -192,18 +200,34 @@ def _walk(lat, seeds, r, unit_row, local, state, active):
     return out, n
 
 
+def _split(vocab: Vocabulary, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Characters of all normalised texts; start, length and text of each unit."""
+    normal = [vocab.sp.normalize(t) for t in texts]
+    codes = np.frombuffer("".join(normal).encode("utf-32-le"), np.uint32)
+    ends = np.cumsum([len(t) for t in normal])
+    space = codes == ord(SPACE)
+    new = space & ~np.concatenate(([False], space[:-1])) if vocab.whole_words else np.zeros(len(codes), bool)
+    some = [e - len(t) for e, t in zip(ends.tolist(), normal) if t]
+    new[some] = True
+    begin = np.flatnonzero(new)
+    return codes, begin, np.diff(np.append(begin, len(codes))), np.searchsorted(ends, begin, "right")
+
+
 def sample_rows(texts: list[str], seeds: np.ndarray, vocab: Vocabulary, k: int) -> list[list[tuple]]:
     """For each text up to k tuples (ids, log_prob, value, log_inclusion), values falling."""
-    units = [vocab.units(t) for t in texts]
-    number = {u: i for i, u in enumerate(dict.fromkeys(u for us in units for u in us))}
-    lat = _Lattice(vocab, list(number))
+    codes, begin, size, unit_row = _split(vocab, texts)
+    # units are told apart by a hash of their characters
+    place = np.arange(len(codes)) - np.repeat(begin, size)
+    power = np.cumprod(np.full(int(size.max()) + 1 if len(size) else 1, _STEP, np.uint64))
+    spread = mix(codes.astype(np.uint64), np.full(len(codes), 8, np.uint64)) * power[place]
+    names = mix(np.add.reduceat(spread, begin), size.astype(np.uint64)) if len(begin) else np.empty(0, np.uint64)
+    _, sample, kind = np.unique(names, return_index=True, return_inverse=True)
+    lat = _Lattice(vocab, codes[ranges(begin[sample], size[sample])], size[sample])
     first, target, logp, rest, piece = lat.first, lat.target, lat.logp, lat.rest, lat.code
     rows = len(texts)
-    n_units = np.array([len(u) for u in units], np.int64)
-    unit_row = np.repeat(np.arange(rows), n_units)
+    n_units = np.bincount(unit_row, minlength=rows)
     row_unit = np.cumsum(n_units) - n_units
     # units are numbered within their row, so that draws do not depend on the batch
-    kind = np.fromiter((number[u] for us in units for u in us), np.int64, int(n_units.sum()))
     start = lat.start[kind] if len(kind) else kind
     local = np.arange(len(start)) - row_unit[unit_row] if len(start) else start
     paths: list[dict] = []

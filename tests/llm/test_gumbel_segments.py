@@ -1,4 +1,5 @@
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -30,7 +31,7 @@ def every_path(vocab, text):
         return out
 
     paths = [((), 0.0)]
-    for u in vocab.units(text):
+    for u in re.findall("▁*[^▁]+|▁+", vocab.sp.normalize(text)):
         paths = [(a + b, x + y) for a, x in paths for b, y in unit(u)]
     total = np.logaddexp.reduce([w for _, w in paths])
     return {p: math.exp(w - total) for p, w in paths}
