@@ -184,13 +184,14 @@ def repeated_spans(keyed_docs: DataFrame, length: int = 200, group_rows: int = 2
     """
     docs = keyed_docs.where(F.octet_length("text") >= length).select("k1", "k2", "text")
     anchors = cut(docs.mapInArrow(_anchors(length), ddl(_ANCHOR)), "anchors")
-    often = anchors.groupBy("g").agg(F.count("*").alias("n"), (F.min("s") == F.max("s")).alias("pure")).where("n > 1")
+    # tables of their own, so that joining them back can split a frequent name's rows
+    often = cut(anchors.groupBy("g").agg(F.count("*").alias("n"), (F.min("s") == F.max("s")).alias("pure")).where("n > 1"), "names")
     alive = cut(anchors.join(often.select("g", "pure"), "g"), "alive")
     drop(anchors)
     # one row for each different surrounding of an ambiguous name
     kinds = alive.where("not pure").groupBy("g", "s").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "lo", "span")).alias("x"))
     kinds = cut(kinds.select("g", "s", "n", "x.*"), "kinds")
-    sizes = kinds.groupBy("g").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("least = 1")
+    sizes = cut(kinds.groupBy("g").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("least = 1"), "sizes")
     whole = alive.where("pure").select("k1", "k2", "lo", "span").unionByName(
         alive.where("not pure").join(kinds.where("n > 1").select("g", "s"), ["g", "s"]).select("k1", "k2", "lo", "span")
     )
