@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from drawloom.functions.text import blank, filled
 from drawloom.operators.graph import connected_components
+from drawloom.tables import cut
 
 # Element tags that are components, by dialect.
 COMPONENT_TAGS = {
@@ -155,7 +156,8 @@ def dominant(rows: DataFrame, group: list[str], value: str, order: str) -> DataF
 def down_tree(tree: DataFrame, marks: DataFrame, node: str, parent: str, mark: str, depth: int = 12) -> DataFrame:
     """(node, mark): each node's own mark or that of its nearest marked ancestor, up to `depth` levels above."""
     out = tree.select(F.col(node).alias("node"), F.col(parent).alias("up")).join(marks.select(F.col(node).alias("node"), F.col(mark).alias("mark")), "node", "left")
-    for _ in range(depth):
+    for _ in range(depth.bit_length()):  # each round doubles how far up the next one looks
+        out = cut(out, "tree")
         above = out.select(F.col("node").alias("up"), F.col("mark").alias("_m"), F.col("up").alias("_u"))
         out = out.join(above, "up", "left").select("node", F.when(F.col("mark").isNull(), F.col("_u")).alias("up"), F.coalesce("mark", "_m").alias("mark"))
     return out.select("node", "mark")
