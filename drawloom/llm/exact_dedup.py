@@ -91,7 +91,8 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     docs = keyed(df, id_col, text_col)
     how = (bits, longest, fingerprint_bytes)
     rows = cut(docs.mapInArrow(_recipes(*how), ddl(_RECIPE)).withColumn("rid", F.monotonically_increasing_id()), "recipes")
-    again = rows.groupBy("chunks").agg(F.count("*").alias("n")).where("n > 1").select("chunks")
+    # tables of their own, so that joining them back can split a frequent recipe's rows
+    again = cut(rows.groupBy("chunks").agg(F.count("*").alias("n")).where("n > 1").select("chunks"), "again")
     doubtful = rows.join(again, "chunks", "left_semi").select("k1", "k2").distinct()
     texts = docs.join(doubtful, ["k1", "k2"], "left_semi").select("k1", "k2", "text")
     kinds = texts.mapInArrow(_chunks(*how), ddl(_CHUNK)).distinct().groupBy("fp").agg(F.count("*").alias("n"))
@@ -104,6 +105,7 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         lists = lists.select("k1", "k2", F.col("x.ident").alias("exact"))
         recipes = recipes.join(lists, ["k1", "k2"], "left").withColumn("recipe", F.coalesce("exact", "recipe"))
     groups = recipes.groupBy("recipe").agg(F.count("*").alias("group_size"), F.max(F.struct("id", "rid")).alias("stays"))
+    groups = cut(groups, "groups")
     out = recipes.join(groups, "recipe")
     return out.select(
         F.col("id").alias(id_col), F.col("stays.id").alias("keep_id"), "group_size",
