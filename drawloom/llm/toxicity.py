@@ -24,7 +24,7 @@ from drawloom.llm.names import mix
 from drawloom.llm.ngram_join import shingle_sets
 
 _WORD = re.compile(r"[^\W\d_]+")
-_FEATURES = pa.schema([("grade", pa.int32()), ("words", pa.list_(pa.string())), ("least", pa.list_(pa.int64()))])
+_FEATURES = pa.schema([("grade", pa.int32()), ("words", pa.string()), ("least", pa.list_(pa.int64()))])
 _SCORE = pa.schema([("id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("expected_severity", pa.float64()), ("grade", pa.int32()), ("p_toxic", pa.float64()), ("toxic", pa.bool_())])
 
 
@@ -99,7 +99,7 @@ def _features(batches):
     for b in pieces(batches):
         texts = raw(b.column("text"))
         least = [[int((s * (z | np.uint64(1))).min().view(np.int64)) for z in seeds] if len(s) else [] for s in shingle_sets(texts)]
-        yield batch(_FEATURES, b.column("grade"), [sorted(set(_WORD.findall(t.decode().lower()))) for t in texts], least)
+        yield batch(_FEATURES, b.column("grade"), [" ".join(sorted(set(_WORD.findall(t.decode().lower())))) for t in texts], least)
 
 
 def sample_features(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, grade_col: str, max_rows: int) -> tuple[list, np.ndarray]:
@@ -107,15 +107,16 @@ def sample_features(df: DataFrame, labels: DataFrame, id_col: str, text_col: str
     lab = labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{grade_col}`").cast("int").alias("grade")).where("id is not null and grade is not null")
     lab = lab.orderBy(F.xxhash64("id"), "id", "grade").limit(max_rows)
     # at most max_rows rows of two numbers are sent to the executors
-    rows = keyed(df, id_col, text_col).join(F.broadcast(lab), "id").select("grade", "text").mapInArrow(_features, ddl(_FEATURES)).limit(max_rows).collect()
-    rows.sort(key=lambda r: (r["least"], r["words"], r["grade"]))
-    seen, words, grade = set(), [], []
-    for r in rows:
-        if not seen.intersection(r["least"]):
-            words.append(r["words"])
-            grade.append(r["grade"])
-        seen.update(r["least"])
-    return words, np.array(grade, np.int64)
+    found = keyed(df, id_col, text_col).join(F.broadcast(lab), "id").select("grade", "text").mapInArrow(_features, ddl(_FEATURES)).limit(max_rows).toArrow()
+    rows = sorted(zip(found.column("least").to_pylist(), found.column("words").to_pylist(), found.column("grade").to_pylist()))
+    del found
+    seen, same, words, grades = set(), {}, [], []
+    for least, text, grade in rows:
+        if not seen.intersection(least):
+            words.append([same.setdefault(w, w) for w in text.split()])  # each word is kept once
+            grades.append(grade)
+        seen.update(least)
+    return words, np.array(grades, np.int64)
 
 
 def _scores(model: Model):
