@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from drawloom.functions.text import blank, filled
 from drawloom.operators.topology import edge_id
+from drawloom.tables import cut, drop
 
 
 def to_from(text: Column) -> Column:
@@ -34,15 +37,25 @@ def match_by_tag(opcs: DataFrame, key: str = "opctag", id_col: str = "eid", home
 
 
 def match_by_guid(opcs: DataFrame, id_col: str = "eid", mine: str = "guid_self", mate: str = "guid_mate") -> DataFrame:
-    """(a, b, rule) of records of which one names the other, with or without SP before it; each record in at most one pair, the least partner first."""
+    """(a, b, rule) of records of which one names the other, with or without SP before it, a < b; each record in at most one pair.
+
+    Greedy in order of the naming record, then of the named one: a pair is taken
+    unless an earlier one has taken either end. Each round takes all pairs that are
+    first for both ends, so there are as many rounds as pairs that wait for each other.
+    """
     bare = lambda c: F.regexp_replace(F.col(c).cast("string"), "^SP", "")
     names = opcs.where(~blank(F.col(mate))).select(F.col(id_col).alias("x"), bare(mate).alias("g"))
     own = opcs.where(~blank(F.col(mine))).select(F.col(id_col).alias("y"), bare(mine).alias("g"))
-    p = names.join(own, "g").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    first = p.withColumn("_a", F.row_number().over(Window.partitionBy("a").orderBy("b"))).withColumn("_b", F.row_number().over(Window.partitionBy("b").orderBy("a"))).where("_a = 1 and _b = 1")
-    # a record may be the lesser of one pair and the greater of another: the pair of the lesser start wins
-    taken = first.select(F.col("a").alias("b"), F.lit(True).alias("_taken"))
-    return first.join(taken, "b", "left").where("_taken is null").select("a", "b", F.lit("guid").alias("rule"))
+    now, taken = cut(names.join(own, "g").where("x <> y").select("x", "y").distinct(), "mates"), []
+    while not now.isEmpty():
+        first = now.select(F.col("x").alias("id"), "x", "y").unionByName(now.select(F.col("y").alias("id"), "x", "y")).groupBy("id").agg(F.min(F.struct("x", "y")).alias("p"))
+        taken.append(cut(first.groupBy("p").agg(F.count("*").alias("_n")).where("_n = 2").select("p.x", "p.y"), "taken"))
+        gone = taken[-1].select(F.col("x").alias("id")).union(taken[-1].select("y"))
+        left = cut(now.join(gone, now["x"] == gone["id"], "left_anti").join(gone, now["y"] == gone["id"], "left_anti"), "mates")
+        drop(now)
+        now = left
+    pairs = reduce(DataFrame.unionByName, taken) if taken else now
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit("guid").alias("rule"))
 
 
 def match_pairs(opcs: DataFrame, id_col: str = "eid") -> tuple[DataFrame, DataFrame]:

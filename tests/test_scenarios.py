@@ -43,6 +43,28 @@ def test_guid_match_is_one_to_one(spark):
     assert len(ends) == len(set(ends)) and len(pairs) == 1
 
 
+def mates(spark, names):
+    ids = sorted({x for p in names for x in p})
+    return opc(spark, [(i, None, None, None, i, dict(names).get(i)) for i in ids])
+
+
+@pytest.mark.parametrize("names, want, left", [
+    ([("1", "2"), ("2", "3"), ("3", "4")], [("1", "2"), ("3", "4")], []),  # a chain
+    ([("1", "2"), ("2", "3"), ("3", "4"), ("4", "5"), ("5", "6"), ("6", "7")], [("1", "2"), ("3", "4"), ("5", "6")], ["7"]),
+    ([("1", "5"), ("2", "5"), ("5", "6")], [("1", "5")], ["2", "6"]),  # a shared mate
+    ([("2", "3"), ("3", "1"), ("4", "1")], [("1", "4"), ("2", "3")], []),  # by the naming record, not by the lesser end
+])
+def test_guid_match_leaves_no_pair_of_free_records(spark, names, want, left):
+    pairs, rest = stitch.match_pairs(mates(spark, names))
+    assert sorted((p["a"], p["b"]) for p in pairs.collect()) == want
+    assert sorted(r["eid"] for r in rest.collect()) == left
+
+
+def test_guid_match_of_shared_guids(spark):
+    x = opc(spark, [("1", None, None, None, "1", "S"), ("2", None, None, None, "2", "S"), ("5", None, None, None, "S", None), ("6", None, None, None, "SPS", None)])
+    assert sorted((p["a"], p["b"]) for p in stitch.match_by_guid(x).collect()) == [("1", "5"), ("2", "6")]
+
+
 def test_to_from(spark):
     df = spark.createDataFrame([("To V-101",), ("FROM: pump",), ("tower",), (None,), ("to",)], "t string")
     assert [tuple(r[0]) if r[0] else None for r in df.select(stitch.to_from(F.col("t"))).collect()] == [("TO", "V-101"), ("FROM", "pump"), (None, "tower"), (None, None), ("TO", None)]
