@@ -93,9 +93,27 @@ def current_truth(rows: DataFrame, valid: Column | None = None, tx: Column | Non
 
 
 def as_of(left: DataFrame, history: DataFrame, key: str, at: str) -> DataFrame:
-    """left with the rows of the history that hold at left.at on the valid axis (interval join on an equal key)."""
-    h = history.select(F.col(key).alias("_k"), F.col("attrs").alias("as_of_attrs"), F.col("valid_from").alias("_a"), F.col("valid_to").alias("_z"))
-    return left.join(h, (F.col(key) == F.col("_k")) & (F.col("_a") <= F.col(at)) & (F.col("_z").isNull() | (F.col(at) < F.col("_z"))), "left").drop("_k", "_a", "_z")
+    """left with all rows of the history that hold at left.at on the valid axis, on any transaction time; compared once per key and date."""
+    h = history.select(F.col(key).alias("_h"), F.col("attrs").alias("as_of_attrs"), F.col("valid_from").alias("_a"), F.col("valid_to").alias("_z"))
+    asked = left.select(F.col(key).alias("_k"), F.col(at).alias("_at")).distinct()
+    hits = asked.join(h, (F.col("_k") == F.col("_h")) & (F.col("_a") <= F.col("_at")) & (F.col("_z").isNull() | (F.col("_at") < F.col("_z")))).select("_k", "_at", "as_of_attrs")
+    return left.join(hits, (F.col(key) == F.col("_k")) & (F.col(at) == F.col("_at")), "left").drop("_k", "_at")
+
+
+def as_of_latest(left: DataFrame, history: DataFrame, key: str, at: str) -> DataFrame:
+    """Each row of left once, with the attributes that hold at left.at on the valid axis after all corrections; null where there are none.
+
+    Of rows of one valid_from the last by transaction time counts. Looked up once per
+    key and date, by union and last(), so that a key has at most two rows per date in a window.
+    """
+    latest = F.max_by(F.struct("attrs", "valid_to"), F.struct("tx_from", F.col("tx_to").isNull(), "tx_to", "attrs"))
+    h = history.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k"), F.col("valid_from").alias("_at")).agg(latest.alias("_h"))
+    asked = left.select(F.col(key).alias("_k"), F.to_date(at).alias("_at")).where("_k is not null and _at is not null").distinct()
+    # at the same date the history comes first: a row holds from its valid_from on
+    w = Window.partitionBy("_k").orderBy("_at", F.col("_ask")).rowsBetween(Window.unboundedPreceding, 0)
+    both = h.withColumn("_ask", F.lit(False)).unionByName(asked.withColumn("_ask", F.lit(True)), allowMissingColumns=True)
+    found = both.withColumn("_h", F.last("_h", ignorenulls=True).over(w)).where("_ask").select("_k", "_at", F.when(F.col("_h.valid_to").isNull() | (F.col("_at") < F.col("_h.valid_to")), F.col("_h.attrs")).alias("as_of_attrs"))
+    return left.join(found, (F.col(key) == F.col("_k")) & (F.to_date(at) == F.col("_at")), "left").drop("_k", "_at")
 
 
 def diff_snapshots(old: DataFrame, new: DataFrame, id_col: str, columns: list[str]) -> DataFrame:

@@ -71,7 +71,7 @@ def merge_same_name(rows: DataFrame, name: str, label: str, members: str) -> Dat
 
 def service_texts(opcs: DataFrame, components: DataFrame) -> DataFrame:
     """(object_id, texts): each connector's text for its segment and the components on it."""
-    t = opcs.where("description is not null and on_segment is not null").select(F.col("on_segment").alias("segment_id"), "description")
+    t = opcs.where("description is not null and on_segment is not null").select(F.col("on_segment").alias("segment_id"), "description").distinct()
     on = t.select(F.col("segment_id").alias("object_id"), "description").unionByName(t.join(components.select("segment_id", "component_id"), "segment_id").select(F.col("component_id").alias("object_id"), "description"))
     return on.groupBy("object_id").agg(F.array_sort(F.collect_set("description")).alias("texts"))
 

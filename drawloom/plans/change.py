@@ -197,6 +197,16 @@ def j09(spark, d):
     return history.as_of(o, rows, "user_id", "at").where("as_of_attrs is not null").select("o_orderkey", "user_id", F.col("as_of_attrs").alias("attrs"))
 
 
+@query("j09_as_of_join_whole", _FOLD + """, o AS (SELECT o_orderkey, o_custkey % 2000 AS user_id, make_date(2024, 1, day(o_orderdate)) AS day FROM orders),
+g AS (SELECT p.user_id, p.day, attrs, valid_to FROM (SELECT DISTINCT user_id, day FROM o) p JOIN h ON h.user_id = p.user_id AND valid_from <= p.day QUALIFY row_number() OVER (PARTITION BY p.user_id, p.day ORDER BY valid_from DESC, tx_from DESC, tx_to DESC NULLS FIRST) = 1)
+SELECT o_orderkey, o.user_id, CASE WHEN valid_to IS NULL OR o.day < valid_to THEN attrs END AS attrs FROM o LEFT JOIN g ON g.user_id = o.user_id AND g.day = o.day""")
+def j09w(spark, d):
+    """Every order at its own day, in the month of the events (orders end years before them); a quarter of the keys has no history."""
+    rows, _ = history.apply_events(event_stream(spark, d), ["user_id"])
+    o = t(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 2000).cast("long").alias("user_id"), F.make_date(F.lit(2024), F.lit(1), F.dayofmonth("o_orderdate")).alias("at"))
+    return history.as_of_latest(o, rows, "user_id", "at").select("o_orderkey", "user_id", F.col("as_of_attrs").alias("attrs"))
+
+
 @query("t04_deleted_and_collisions")
 def t04(spark, d):
     e = event_stream(spark, d).withColumn("change_type", F.when(F.hash("delta_id") % 5 == 0, "Deleted").when(F.hash("delta_id") % 5 == 1, "New").otherwise("Modified"))

@@ -202,6 +202,13 @@ def g03f(spark, d):
     return graph.flow_between(e, e.where("l_orderkey % 3 = 0").select(F.col("l_suppkey").alias("a"), F.col("l_partkey").alias("b")).distinct(), "l_partkey", "l_suppkey")
 
 
+@query("g03_flow_between_whole", """WITH e AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem), p AS (SELECT DISTINCT l_suppkey AS a, l_partkey AS b FROM lineitem)
+SELECT a, b, CASE WHEN f AND r THEN 'both' WHEN f THEN 'forward' WHEN r THEN 'reverse' ELSE 'none' END AS flow FROM (SELECT a, b, EXISTS (SELECT 1 FROM e WHERE e.a = p.a AND e.b = p.b) AS f, EXISTS (SELECT 1 FROM e WHERE e.a = p.b AND e.b = p.a) AS r FROM p)""")
+def g03fw(spark, d):
+    e = t(spark, d, "lineitem")
+    return graph.flow_between(e, e.select(F.col("l_suppkey").alias("a"), F.col("l_partkey").alias("b")).distinct(), "l_partkey", "l_suppkey")
+
+
 def tree(spark, d):
     n = t(spark, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("child"), F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("parent"))
     return n.unionByName(t(spark, d, "customer").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("child"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("parent")))
@@ -374,6 +381,12 @@ def q07(spark, d):
     return quality.violations(quality.Expectation("x", "c", "roundtrip", column="c_name"), s, {}, decode=lambda c: tags.decode(c, F.lit("x"), 2, 9, separator="#")).select("c_custkey")
 
 
+@query("q07_roundtrip_whole", "SELECT c_custkey FROM customer WHERE length(regexp_extract(c_name, '#(.*)$', 1)) < 11")
+def q07w(spark, d):
+    s = quality.Subject(t(spark, d, "customer"), "c_custkey", "customer")
+    return quality.violations(quality.Expectation("x", "c", "roundtrip", column="c_name"), s, {}, decode=lambda c: tags.decode(c, F.lit("x"), 2, 9, separator="#")).select("c_custkey")
+
+
 @query("q12_confined", "SELECT CAST(0 AS BIGINT) AS n_leaked, count(*) FILTER (WHERE c_custkey % 9 <> 0) AS n_other FROM customer")
 def q12(spark, d):
     s = subjects(spark, d)

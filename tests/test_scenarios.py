@@ -123,6 +123,25 @@ def fold(spark, *rows, prior=None):
     return sorted(((x["attrs"], x["valid_from"], x["valid_to"], x["tx_from"], x["tx_to"]) for x in r.collect()), key=key), [x["reason"] for x in odd.collect()]
 
 
+def test_as_of_latest_answers_every_row_once(spark):
+    h = spark.createDataFrame([
+        ("K", "a", D(2024, 1, 1), D(2024, 2, 1), T(2024, 1, 2), None), ("K", "b", D(2024, 2, 1), None, T(2024, 2, 2), T(2024, 2, 5)), ("K", "c", D(2024, 2, 1), D(2024, 3, 1), T(2024, 2, 5), T(2024, 3, 2)),
+    ], "k string, attrs string, valid_from date, valid_to date, tx_from timestamp, tx_to timestamp")
+    x = spark.createDataFrame([(1, "K", D(2023, 1, 1)), (2, "K", D(2024, 1, 1)), (3, "K", D(2024, 1, 31)), (4, "K", D(2024, 2, 1)), (5, "K", D(2024, 2, 1)), (6, "K", D(2024, 3, 1)), (7, "other", D(2024, 2, 1)), (8, None, D(2024, 2, 1)), (9, "K", None)], "i int, k string, at date")
+    got = sorted(tuple(r) for r in history.as_of_latest(x, h, "k", "at").select("i", "as_of_attrs").collect())
+    assert got == [(1, None), (2, "a"), (3, "a"), (4, "c"), (5, "c"), (6, None), (7, None), (8, None), (9, None)]
+
+
+def test_whole_queries_have_no_filter_on_their_input(spark):
+    from drawloom import catalog
+
+    d = "/root/testdata/sf0.001"
+    rows = lambda q: catalog.QUERIES[q](spark, d)
+    assert rows("j09_as_of_join_whole").select("o_orderkey").distinct().count() == spark.read.parquet(f"{d}/orders.parquet").count()
+    assert rows("g03_flow_between_whole").count() == spark.read.parquet(f"{d}/lineitem.parquet").select("l_partkey", "l_suppkey").distinct().count()
+    assert rows("q07_roundtrip_whole").where("c_custkey % 2 = 1").count() > 0
+
+
 def test_forward_change_closes_valid_time_only(spark):
     rows, odd = fold(spark, ("New", "a", D(2024, 1, 1), T(2024, 1, 2)), ("Modified", "b", D(2024, 3, 1), T(2024, 3, 2)))
     assert rows == [("a", D(2024, 1, 1), D(2024, 3, 1), T(2024, 1, 2), None), ("b", D(2024, 3, 1), None, T(2024, 3, 2), None)] and not odd
