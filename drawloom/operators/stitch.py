@@ -12,10 +12,16 @@ from drawloom.operators.topology import edge_id
 from drawloom.tables import cut, drop
 
 
+#: White space of any script, as signs of a class that reads the same in Java and RE2.
+SPACE = r"\s\x0B\x1C-\x1F\x{85}\p{Z}"
+
+
 def to_from(text: Column) -> Column:
-    """struct(dir TO|FROM|null, text): the leading word in any case, and the rest trimmed."""
-    word = F.upper(F.regexp_extract(text, r"(?i)^\s*(to|from)\b", 1))
-    return F.struct(F.nullif(word, F.lit("")).alias("dir"), filled(F.trim(F.regexp_replace(text, r"(?i)^\s*(to|from)\b[\s:]*", ""))).alias("text"))
+    """struct(dir TO|FROM|null, text): the leading word in any case, and the rest of the whole text without white space around it."""
+    lead = rf"(?i)\A[{SPACE}]*(to|from)(?![\p{{L}}\p{{M}}\p{{N}}_])"
+    word = F.upper(F.regexp_extract(text, lead, 1))
+    rest = F.regexp_replace(F.regexp_replace(text, rf"{lead}[{SPACE}:]*", ""), rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.struct(F.nullif(word, F.lit("")).alias("dir"), filled(rest).alias("text"))
 
 
 def harvest(nodes: DataFrame, tag: str = "PipeOffPageConnector") -> DataFrame:

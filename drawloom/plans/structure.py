@@ -289,6 +289,12 @@ def o02(spark, d):
     return x.select("doc_id", "x.dir", F.col("x.text").alias("rest"))
 
 
+@query("o02_to_from_whole", """WITH x AS (SELECT doc_id, text, upper(nullif(regexp_extract(text, '(?i)\\A[{S}]*(to|from)([^\\p{L}\\p{M}\\p{N}_]|\\z)', 1), '')) AS dir FROM documents)
+SELECT doc_id, dir, nullif(regexp_replace(regexp_replace(CASE WHEN dir IS NULL THEN text ELSE regexp_replace(text, '(?i)\\A[{S}]*(to|from)[{S}:]*', '') END, '\\A[{S}]+', ''), '[{S}]+\\z', ''), '') AS rest FROM x""".replace("{S}", stitch.SPACE))
+def o02w(spark, d):
+    return t(spark, d, "documents").select("doc_id", stitch.to_from(F.col("text")).alias("x")).select("doc_id", "x.dir", F.col("x.text").alias("rest"))
+
+
 def subjects(spark, d):
     return {
         "lines": quality.Subject(t(spark, d, "lineitem").withColumn("id", F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])), "id", "line"),

@@ -70,6 +70,21 @@ def test_to_from(spark):
     assert [tuple(r[0]) if r[0] else None for r in df.select(stitch.to_from(F.col("t"))).collect()] == [("TO", "V-101"), ("FROM", "pump"), (None, "tower"), (None, None), ("TO", None)]
 
 
+def test_to_from_of_whole_texts(spark):
+    x = ["To flare,\nsheet 2, Größe\n", "\u00a0from\t: Kühler, a", "Toön, b", "\n\t tower,\n x \n", " \n\u2003", "To", "from\u0301 x", None]
+    df = spark.createDataFrame([(t,) for t in x], "t string").select(stitch.to_from(F.col("t")).alias("x")).select("x.*")
+    assert [tuple(r) for r in df.collect()] == [("TO", "flare,\nsheet 2, Größe"), ("FROM", "Kühler, a"), (None, "Toön, b"), (None, "tower,\n x"), (None, None), ("TO", None), (None, "from\u0301 x"), (None, None)]
+
+
+def test_to_from_of_every_document(spark):
+    from drawloom import catalog
+
+    d = "/root/testdata/sf0.001"
+    got = catalog.QUERIES["o02_to_from_whole"](spark, d)
+    assert got.count() == spark.read.parquet(f"{d}/documents.parquet").count()
+    assert got.where("contains(rest, ',')").count() > 0
+
+
 # ---- change ----
 
 
