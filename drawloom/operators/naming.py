@@ -115,20 +115,28 @@ def label_match(rows: DataFrame, label: str, reference: DataFrame, ref_label: st
     return rows.withColumn("_key", normal_label(F.col(label))).join(r, "_key", "left").drop("_key")
 
 
-def fuzzy_candidates(rows: DataFrame, label: str, reference: DataFrame, ref_label: str, least: float = 0.5) -> DataFrame:
-    """For each distinct label the most similar reference label (1 - edits / longer length) of at least `least`, for review.
+def fuzzy_candidates(rows: DataFrame, label: str, reference: DataFrame, ref_label: str, least: float = 0.5, block: int = 1000) -> DataFrame:
+    """For each distinct label the most similar reference label (1 - edits / longer length) of at least `least`, for review; of equally similar ones the lowest.
 
-    Only labels that share a trigram or a word are compared, so nothing is
-    compared with everything; labels that are at least half alike share one.
+    Distinct labels are compared with all reference labels of a length that allows
+    `least`, as edits are at least the difference of lengths: the result is that of all
+    with all. The comparisons are dealt out in blocks of about `block` by `block` labels.
     """
-    grams = lambda c: F.array_distinct(F.concat(F.split(c, " "), F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substr(c, i, F.lit(3)))))
-    a = rows.select(normal_label(F.col(label)).alias("a")).distinct()
-    b = reference.select(normal_label(F.col(ref_label)).alias("b")).distinct()
-    pairs = a.select("a", F.explode(grams(F.col("a"))).alias("g")).join(b.select("b", F.explode(grams(F.col("b"))).alias("g")), "g").select("a", "b").distinct()
-    score = 1 - F.levenshtein("a", "b") / F.greatest(F.length("a"), F.length("b"))
-    s = pairs.withColumn("similarity", F.round(score, 6)).where(F.col("similarity") >= least)
-    w = Window.partitionBy("a").orderBy(F.col("similarity").desc(), "b")
-    return s.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(F.col("a").alias("label"), F.col("b").alias("suggested"), "similarity")
+    a = rows.select(normal_label(F.col(label)).alias("a")).distinct().withColumn("la", F.length("a"))
+    b = reference.select(normal_label(F.col(ref_label)).alias("b")).distinct().withColumn("lb", F.length("b"))
+    blocks = lambda df, n: df.groupBy(f"l{n}").agg(F.ceil(F.count("*") / block).alias(f"n{n}"))
+    # similarity is rounded to 6 digits
+    near = F.abs(F.col("la") - F.col("lb")) <= F.greatest("la", "lb") * (1 - least + 1e-6)
+    both = blocks(a, "a").join(blocks(b, "b"), near)
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    both = both.withColumn("ba", numbers("na")).withColumn("bb", numbers("nb"))
+    deal = lambda n: both.select("la", "lb", "ba", "bb", f"n{n}")
+    left = a.join(deal("a"), "la").where(F.pmod(F.xxhash64("a"), "na") == F.col("ba")).drop("na")
+    right = b.join(deal("b"), "lb").where(F.pmod(F.xxhash64("b"), "nb") == F.col("bb")).drop("nb")
+    score = 1 - F.levenshtein("a", "b") / F.nullif(F.greatest("la", "lb"), F.lit(0))
+    s = left.join(right, ["la", "lb", "ba", "bb"]).withColumn("similarity", F.round(score, 6)).where(F.col("similarity") >= least)
+    best = s.groupBy("a").agg(F.min(F.struct((-F.col("similarity")).alias("order"), "b", "similarity")).alias("best"))
+    return best.select(F.col("a").alias("label"), F.col("best.b").alias("suggested"), "best.similarity")
 
 
 def gap_ranking(used: DataFrame, covered: DataFrame, code: str, boundary: Column | None = None) -> DataFrame:

@@ -85,6 +85,51 @@ def test_to_from_of_every_document(spark):
     assert got.where("contains(rest, ',')").count() > 0
 
 
+# ---- naming ----
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        row, up = [i + 1], row
+        for j, y in enumerate(b):
+            row.append(min(up[j + 1] + 1, row[j] + 1, up[j] + (x != y)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("least, block", [(0.5, 1000), (0.5, 3), (0.7, 3), (0.0, 7)])
+def test_fuzzy_candidates_are_those_of_all_with_all(spark, least, block):
+    import random
+
+    r = random.Random(7)
+    words = ["valve", "abcdefgh", "gate valve", "heat exchanger", "pump", "x", "ab", "reducer", "elbow", "check valve"]
+    other = ["vlave", "abxdexgh", "y", "ba", "", "###"]
+    for w in words:
+        for _ in range(3):
+            c = list(w)
+            for _ in range(1 + len(c) // 4):
+                i = r.randrange(len(c))
+                k = r.randrange(3)
+                if k == 0:
+                    c[i] = r.choice("abcdexyz")
+                elif k == 1 and i + 1 < len(c):
+                    c[i], c[i + 1] = c[i + 1], c[i]
+                elif len(c) > 1:
+                    del c[i]
+            other.append(" ".join("".join(c).split()))
+    want = {}
+    for a in {"" if w == "###" else w for w in other}:
+        best = min(((-round(1 - edits(a, b) / max(len(a), len(b)), 6), b) for b in words), default=None)
+        if -best[0] >= least:
+            want[a] = (best[1], -best[0])
+    x = spark.createDataFrame([(w,) for w in other], "l string")
+    ref = spark.createDataFrame([(w,) for w in words], "r string")
+    got = {t["label"]: (t["suggested"], t["similarity"]) for t in naming.fuzzy_candidates(x, "l", ref, "r", least, block).collect()}
+    assert got == want
+    assert least > 0.6 or got["vlave"] == ("valve", 0.6)
+    assert got["abxdexgh"] == ("abcdefgh", 0.75)
+
+
 # ---- change ----
 
 
