@@ -55,27 +55,39 @@ def by_size(files: DataFrame, partitions: int, size: str = "length") -> DataFram
     return files.repartitionByRange(partitions, size)
 
 
-def header_signals(nodes: DataFrame, budget: int = 6000, segment_budget: int = 60_000) -> DataFrame:
+def header_signals(nodes: DataFrame, budget: int = 6000, segment_budget: int | None = None, marker: str = "dexpi") -> DataFrame:
     """One row per content_hash: what the format, number and revision are told from.
 
-    Elements up to `budget` count for attributes, up to segment_budget for segments.
+    Where the application has the marker, elements up to `budget` count, as its
+    history is in the title block; in other drawings all of them, as labels are
+    anywhere. segment_budget: where to stop reading any drawing; None reads all.
     """
-    n = nodes.where("error is null").where(F.col("ord") < segment_budget)
-    near = F.col("ord") < budget
-    first = lambda v, when: F.min_by(F.when(when & near, v), F.when(when & near & v.isNotNull(), F.col("ord")))
+    n = nodes.where("error is null")
+    if segment_budget is not None:
+        n = n.where(F.col("ord") < segment_budget)
+    first = lambda v, when: F.min(F.when(when & v.isNotNull(), F.struct("ord", v.alias("value"))))
     a = lambda name: F.col("attrs").getItem(name)
     info, drawing = F.col("tag") == "PlantInformation", F.col("tag") == "Drawing"
     segment = (F.col("tag") == SEGMENT) & ~F.col("in_catalogue")
     rows = F.filter(F.map_entries("ga"), lambda e: e["key"].rlike(r"^RevRow\d+(No|Date)$"))
     label = F.map_contains_key("ga", F.lit("Revision.RevisionNumber"))
+    values = {
+        "originating_system": first(a("OriginatingSystem"), info), "application": first(a("Application"), info),
+        "drawing_number_attr": first(a("DrawingNumber"), drawing), "drawing_name": first(a("Name"), drawing), "drawing_revision_attr": first(a("Revision"), drawing),
+        "operation_doc_no": first(F.col("ga").getItem("OperationCenterDocNo"), F.lit(True)),
+    }
     out = n.groupBy("content_hash").agg(
-        first(a("OriginatingSystem"), info).alias("originating_system"), first(a("Application"), info).alias("application"),
-        first(a("DrawingNumber"), drawing).alias("drawing_number_attr"), first(a("Name"), drawing).alias("drawing_name"), first(a("Revision"), drawing).alias("drawing_revision_attr"),
-        first(F.col("ga").getItem("OperationCenterDocNo"), F.lit(True)).alias("operation_doc_no"),
-        F.flatten(F.collect_list(F.when(near & (F.size(rows) > 0), rows))).alias("rev_rows"),
-        F.array_sort(F.collect_list(F.when(near & label, F.struct(F.col("ord"), F.col("ga").getItem("Revision.RevisionNumber").alias("number"), F.col("ga").getItem("Revision.TP_RevisionData").alias("date"))))).alias("labels"),
+        *[v.alias(k) for k, v in values.items()],
+        F.array_sort(F.collect_list(F.when(F.size(rows) > 0, F.struct("ord", rows.alias("rows"))))).alias("rev_rows"),
+        F.array_sort(F.collect_list(F.when(label, F.struct(F.col("ord"), F.col("ga").getItem("Revision.RevisionNumber").alias("number"), F.col("ga").getItem("Revision.TP_RevisionData").alias("date"))))).alias("labels"),
         F.coalesce(F.bool_or(segment), F.lit(False)).alias("segment_seen"), F.coalesce(F.bool_or(segment & ~blank(a("TagName"))), F.lit(False)).alias("segment_tagged"),
     )
+    short = F.coalesce(F.contains(F.lower("application.value"), F.lit(marker.lower())), F.lit(False))
+    counts = lambda x: ~F.col("_short") | (x["ord"] < budget)
+    out = out.withColumn("_short", short).withColumns({
+        **{k: F.when(counts(F.col(k)), F.col(k)["value"]) for k in values},
+        "rev_rows": F.flatten(F.transform(F.filter("rev_rows", counts), lambda x: x["rows"])), "labels": F.filter("labels", counts),
+    }).drop("_short")
     broken = nodes.where("error is not null").select("content_hash").distinct().withColumn("parsed", F.lit(False))
     good = out.withColumn("parsed", F.lit(True))
     return good.unionByName(broken, allowMissingColumns=True)
@@ -139,4 +151,4 @@ def project_code_mismatches(rows: DataFrame) -> DataFrame:
 def bronze(files: DataFrame, nodes: DataFrame, run_id: str, gate: int = 20_000_000, **how) -> DataFrame:
     """The landing table of a batch of files: payload, stamps and header."""
     f = stamp_ingestion(files, run_id).withColumns({"content_hash": content_hash(F.col("content")), "content_text": size_gated_text(F.col("content"), F.col("length"), gate)})
-    return f.join(headers(header_signals(nodes), **how), "content_hash", "left")
+    return f.join(headers(header_signals(nodes, marker=how.get("marker", "dexpi")), **how), "content_hash", "left")

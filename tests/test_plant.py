@@ -88,3 +88,20 @@ def test_shred_marks_broken_payloads_and_catalogue(spark):
     got = xml.shred(df).collect()
     assert [(r["document"], r["ord"]) for r in got if r["error"]] == [("b", -1), ("d", -1)]
     assert sorted((r["document"], r["node_id"], r["in_catalogue"], r["ga"].get("n")) for r in got if r["tag"] == "X") == [("a", "1", False, "v"), ("a", "1", True, None), ("c", "2", False, None)]
+
+
+def test_revision_labels_count_wherever_they_are(spark, tmp_path):
+    def late(name, application, n):
+        label = "".join(f"<Label>{generic(**{'Revision.RevisionNumber': r, 'Revision.TP_RevisionData': d})}</Label>{'<X/>' * n}" for r, d in (("A", "2024/01/01"), ("B", "2024/02/01")))
+        row = f"<Drawing>{generic(RevRow2No='R2')}</Drawing>"
+        return f'<PlantModel><PlantInformation Application="{application}"/><Drawing Name="{name}">{generic(RevRow1No="R1")}</Drawing>{label}{row}<PipingNetworkSegment ID="S" TagName="T"/><Note>{generic(OperationCenterDocNo="N-1")}</Note></PlantModel>'
+
+    sheets = {"post": late("post", "Other", 7000), "long": late("long", "Other", 61_000), "dexpi": late("dexpi", "Some Dexpi Tool", 7000), "short": late("short", "Some Dexpi Tool", 10)}
+    n = nodes_of(spark, tmp_path / "x", sheets)
+    signals = landing.header_signals(n)
+    by = {r["drawing_name"]: r for r in signals.collect()}
+    assert {k: ({e["number"] for e in r["labels"]}, {e["value"] for e in r["rev_rows"]}, r["operation_doc_no"], r["segment_tagged"]) for k, r in by.items()} == {
+        "post": ({"A", "B"}, {"R1", "R2"}, "N-1", True), "long": ({"A", "B"}, {"R1", "R2"}, "N-1", True), "dexpi": ({"A"}, {"R1"}, None, True), "short": ({"A", "B"}, {"R1", "R2"}, "N-1", True),
+    }
+    got = {r["client_document_number"]: tuple(r)[2:] for r in landing.headers(signals).select("client_document_number", "content_hash", "source_format", "drawing_revision", "drawing_revision_date", "header_parse_ok").collect()}
+    assert got == {"post": ("POSTPROC", "B", "2024/02/01", True), "long": ("POSTPROC", "B", "2024/02/01", True), "dexpi": ("DEXPI", "R1", "2024/01/01", True), "short": ("DEXPI", "R2", "2024/02/01", True)}
