@@ -389,6 +389,6 @@ def model_path() -> str:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """op7: see sample_segmentations; two samples of each document, the pieces as their CRC-32."""
-    out = sample_segmentations(table(spark, sf_dir, "documents"), model_path())
+    """op7: see sample_segmentations; four samples of each document, the pieces as their CRC-32."""
+    out = sample_segmentations(table(spark, sf_dir, "documents"), model_path(), k=4)
     return out.select("doc_id", "sample", F.crc32("ids").alias("ids_crc32"), "n_pieces", F.round("log_prob", 6).alias("log_prob"), F.round("value", 6).alias("value"), F.round("log_inclusion", 6).alias("log_inclusion"))

@@ -89,3 +89,12 @@ def test_round_trip(spark, vocab):
     got = sample_segmentations(odd, model_path()).collect()
     assert len({bytes(r["ids"]) for r in got if r["doc_id"] == 1}) == 2 and len(got) == 5
     assert sample_segmentations(odd.limit(0), model_path()).count() == 0
+
+
+def test_query_branches_more_than_once(spark):
+    from pyspark.sql import functions as F
+
+    from drawloom.llm.gumbel_segments import query
+
+    out = query(spark, "/root/testdata/sf0.001").groupBy("doc_id").agg(F.max("sample").alias("k"), F.countDistinct("ids_crc32").alias("n"))
+    assert out.where("k = 4 and n = 4").count() > 0 and out.where("k > 4").count() == 0
