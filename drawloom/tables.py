@@ -4,29 +4,61 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's own setting: shuffle files go when the query that wrote them ends, not when the driver happens to collect garbage.
+_SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a new local folder where that is unset (tests)."""
+    """spark.checkpoint.dir; where that is unset, a new folder if all executors are in this process, else an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = getattr(spark.sparkContext, "_drawloom_dir", None) or tempfile.mkdtemp(prefix="drawloom-")
-        spark.sparkContext._drawloom_dir = at
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        at = getattr(context, "_drawloom_dir", None) or tempfile.mkdtemp(prefix="drawloom-")
+        context._drawloom_dir = at
     return at.rstrip("/")
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it again: short lineage, and lost executors cost no recomputation."""
+    """Write df as a Parquet table in the shared folder and read it again: short lineage, and lost executors cost no recomputation.
+
+    The shuffle files of the query go as soon as its table is complete.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_SHUFFLES_GO, None)
+    spark.conf.set(_SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_SHUFFLES_GO, before) if before is not None else spark.conf.unset(_SHUFFLES_GO)
     out = spark.read.schema(df.schema).parquet(path)
     out._cut_path = path
     return out
 
 
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """cut() for tables that are deleted at the end of the block."""
+    held: list[DataFrame] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        held.append(cut(df, name))
+        return held[-1]
+
+    try:
+        yield keep
+    finally:
+        for t in held:
+            drop(t)
+
+
 def drop(df: DataFrame) -> None:
     """Delete a table made by cut() that no later plan reads."""
     spark = df.sparkSession
