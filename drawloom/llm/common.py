@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from drawloom.tables import cut, drop, shared_dir
+from drawloom.tables import cut, drop, scratch, shared_dir
 
-__all__ = ["ascii_lower", "batch", "cut", "ddl", "drop", "keyed", "pieces", "raw", "shared_dir", "table"]
+__all__ = ["ascii_lower", "batch", "cut", "ddl", "drop", "fresh_names", "keyed", "pieces", "raw", "scratch", "shared_dir", "table", "with_key"]
 
 
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -28,6 +28,18 @@ def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return d.select("id", "text", F.coalesce("id", F.lit(-(2**63))).alias("k1"), F.xxhash64("text").alias("k2"))
 
 
+def fresh_names(df: DataFrame, n: int) -> list[str]:
+    """n column names that df does not have, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    return [x for x in (f"key_{i}" for i in range(len(taken) + n)) if x not in taken][:n]
+
+
+def with_key(df: DataFrame, id_col: str, text_col: str, k1: str, k2: str) -> DataFrame:
+    """df with the row key of keyed() in the columns k1 and k2."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return df.withColumns({k1: F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(2**63))), k2: F.xxhash64(text)})
+
+
 def pieces(batches: Iterator[pa.RecordBatch], col: str = "text", size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about `size` bytes of column col, which keeps numpy temporaries small."""
     for b in batches:

@@ -1,21 +1,28 @@
-"""Removal of repeated passages by prefix doubling over a sparse set of positions.
-
-Every 200-byte string holds an anchor: the position of the smallest 64-byte
-name among its 137 (the leftmost of equals). Equal strings have their anchors at
-equal places, so it is enough to rank anchors:
-
-1. names double inside the tasks (8, 16, 32, 64 bytes); Spark ranks all anchors
-   by their 64-byte name and anchors of unique rank end here;
-2. the survivors are ranked anew by the pair of that rank and the names at
-   growing offsets (64, 128, ... past 200) over all strings that an anchor
-   stands for. If the pair recurs, all those strings recur;
-3. where it does not but the 64 bytes do (at the ends of passages), single
-   200-byte strings are ranked, from slices of the text of about 260 bytes.
-
-No step lists pairs. Ranks are 64-bit names compared only within an equal 64-bit
-name, so that two different strings are taken for equal with probability 2^-64
-per compared pair. Numbers of anchors sharing a name are counted with map-side
-partial sums, and a frequent name's rows are only joined (which AQE splits).
+"""Removal of repeated passages by distributed prefix doubling.
+
+A position is ranked by its first 64 bytes, then by the pair of its rank and the
+rank 64 bytes on (128 bytes), then by that pair 72 bytes on (200 bytes, past
+which nothing is asked). In each round Spark pairs the ranks (a window over each
+block of a text), counts equal pairs, sorts the pairs that recur and numbers them
+in that order; the numbers are the new ranks. Positions of unique rank end there.
+
+All positions of all texts would take about 20 times the input on disk in the
+first round, so the rounds start from what cheaper passes leave over:
+
+1. Every 200-byte string holds an anchor, the least 64-byte name among its 137
+   (the leftmost of equals), and equal strings have theirs at equal places.
+   Anchors whose name is unique in the corpus stand for strings that are unique.
+2. An anchor's surroundings are all the 200-byte strings that it stands for. Where
+   the same surroundings occur again, all those strings recur, and one row of
+   each kind goes on.
+3. The positions of the surroundings that occur once and share their anchor's name with
+   others (ends of passages, places where near copies differ) and of one
+   row of each kind they might meet go into the rounds.
+
+Names of 64 bytes are 64-bit fingerprints, those of surroundings 192 bits in all;
+ranks after the first are numbers that Spark deals out, so later rounds add no
+chance of error. A frequent name, kind or pair is counted with partial sums
+in each task, and its rows are only joined with a table of counts, which AQE splits.
 """
 
 from __future__ import annotations
@@ -25,134 +32,143 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from drawloom.llm.common import batch, cut, ddl, drop, keyed, pieces, raw, table
+from drawloom.llm.common import batch, cut, ddl, keyed, pieces, raw, scratch, table
 from drawloom.llm.names import doubled, eights, joined, mix, ranges, sliding_min
 
 GRAM = 64
-_ANCHOR = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("lo", pa.int64()), ("span", pa.int32()), ("g", pa.int64()), ("s", pa.int64())])
-_SPAN = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("a", pa.int64()), ("z", pa.int64())])
-_SLICE = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("g", pa.int64()), ("lo", pa.int64()), ("single", pa.bool_()), ("bytes", pa.binary())])
-_WINDOW = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("g", pa.int64()), ("at", pa.int64()), ("single", pa.bool_()), ("w", pa.int64())])
+BLOCK = 4096
+_ANCHOR = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("lo", pa.int64()), ("span", pa.int32()), ("g", pa.int64()), ("s", pa.int64()), ("t", pa.int64())])
+_POSITION = pa.schema([("u", pa.int64()), ("b", pa.int64()), ("at", pa.int64()), ("rank", pa.int64()), ("own", pa.bool_()), ("asked", pa.bool_())])
 _OUT = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("a", pa.int64()), ("z", pa.int64())]))), ("n_removed", pa.int64()), ("kept", pa.binary())])
 
 
 def _grams(buf: np.ndarray) -> np.ndarray:
+    """Names of the 64 bytes at each position, doubled from the 8 bytes themselves."""
     return doubled(doubled(doubled(eights(buf), 8), 16), 32)
 
 
-def _window_names(x: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+def _window_names(x: np.ndarray, at: np.ndarray, length: int, seed: int) -> np.ndarray:
     """Names of the `length` bytes (128 to 256) at each position in `at`, from 64-byte names."""
-    return mix(mix(x[at], x[at + 64]), mix(x[at + length - 128], x[at + length - 64]))
+    z = np.uint64(seed)
+    return mix(mix(x[at] ^ z, x[at + 64]), mix(x[at + length - 128] ^ z, x[at + length - 64]))
 
 
-def _anchors(length: int):
+def _anchors(length: int, most: int = 1 << 20):
+    """The anchors of each text; of long texts in parts of `most` string starts, so that memory has a bound."""
     width = length - GRAM + 1
     low = np.uint64(0xFFFFFFFF)
 
+    def parts(b):
+        k1, k2, base, texts = [], [], [], []
+        for i, j, t in zip(b.column("k1").to_pylist(), b.column("k2").to_pylist(), raw(b.column("text"))):
+            for a in range(0, len(t) - length + 1, most):
+                k1.append(i)
+                k2.append(j)
+                base.append(a)
+                texts.append(t[a : a + most + length - 1] if len(t) > most else t)
+                if len(texts[-1]) >= most:
+                    yield k1, k2, base, texts
+                    k1, k2, base, texts = [], [], [], []
+        if texts:
+            yield k1, k2, base, texts
+
     def run(batches):
         for b in pieces(batches, size=1 << 19):
-            texts = raw(b.column("text"))
-            buf, starts, lens = joined(texts, length + 100)
-            counts = np.maximum(lens - length + 1, 0)
-            if not counts.sum():
-                continue
-            x = _grams(buf)
-            at = ranges(starts, counts)
-            ordered = (x & ~low) | np.arange(len(x), dtype=np.uint64)
-            anchor = (sliding_min(ordered, width)[at] & low).astype(np.int64)
-            first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
-            lo, hi, anchor = at[first], at[np.append(first[1:], len(at)) - 1], anchor[first]
-            shape = (((anchor - lo) << 16) + (hi - lo)).astype(np.uint64)
-            name = mix(mix(_window_names(x, lo, length), _window_names(x, hi, length)), shape)
-            doc = np.searchsorted(starts, lo, "right") - 1
-            # texts of no bytes share their start with the next one: searchsorted has found the last, which is the one with bytes
-            k1, k2 = b.column("k1").to_numpy()[doc], b.column("k2").to_numpy()[doc]
-            yield batch(_ANCHOR, k1, k2, lo - starts[doc], (hi - lo).astype(np.int32), x[anchor].view(np.int64), name.view(np.int64))
+            for k1, k2, base, texts in parts(b):
+                buf, starts, lens = joined(texts, length + 100)
+                at = ranges(starts, lens - length + 1)
+                x = _grams(buf)
+                ordered = (x & ~low) | np.arange(len(x), dtype=np.uint64)
+                anchor = (sliding_min(ordered, width)[at] & low).astype(np.int64)
+                first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
+                lo, hi, anchor = at[first], at[np.append(first[1:], len(at)) - 1], anchor[first]
+                shape = (((anchor - lo) << 16) + (hi - lo)).astype(np.uint64)
+                s, t = (mix(mix(_window_names(x, lo, length, seed), _window_names(x, hi, length, seed)), shape).view(np.int64) for seed in (0, 0x5DEECE66D))
+                doc = np.searchsorted(starts, lo, "right") - 1
+                key = [np.array(c, np.int64)[doc] for c in (k1, k2, base)]
+                yield batch(_ANCHOR, key[0], key[1], key[2] + lo - starts[doc], (hi - lo).astype(np.int32), x[anchor].view(np.int64), s, t)
 
     return run
 
 
-def _slices(length: int):
-    def run(batches):
-        for b in pieces(batches, size=1 << 22):
-            out = [[] for _ in _SLICE]
-            for k1, k2, text, edges in zip(b.column("k1").to_pylist(), b.column("k2").to_pylist(), raw(b.column("text")), b.column("edges").to_pylist()):
-                for e in edges:
-                    for column, v in zip(out, (k1, k2, e["g"], e["lo"], e["single"], text[e["lo"] : e["lo"] + e["span"] + length])):
-                        column.append(v)
-            yield batch(_SLICE, *out)
-
-    return run
-
+def _blocks(u: int, text: bytes, edges: list, reach: int, out: list) -> None:
+    """Add to out, for each block of a text: what of it is asked for, as [u, block, first position, bytes, runs (from, to, own, asked)].
 
-def _named(b: pa.RecordBatch, length: int):
-    """For each 200-byte string of the slices: the row it is from, its place there, its name."""
-    buf, starts, lens = joined(raw(b.column("bytes")), length + 100)
-    counts = lens - length + 1
-    at = ranges(starts, counts)
-    row = np.repeat(np.arange(len(lens)), counts)
-    return row, at - starts[row], _window_names(_grams(buf), at, length)
-
-
-def _runs(row: np.ndarray, at: np.ndarray, base: np.ndarray, length: int):
-    """Runs of neighbouring places in the same row, as row, start and end of what they cover."""
-    if not len(row):
-        return row, at, at
-    new = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1))))
-    last = np.append(new[1:], len(row)) - 1
-    return row[new], base[row[new]] + at[new], base[row[new]] + at[last] + length
-
-
-def _within_groups(length: int):
-    """Slices come sorted by g, whole groups in a partition: repeated strings of each group, as runs."""
-
-    def flush(held: list[pa.RecordBatch]):
-        b = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        row, at, name = _named(b, length)
-        g = b.column("g").to_numpy()
-        key = np.stack([g[row], name.view(np.int64)], 1)
-        order = np.lexsort((key[:, 1], key[:, 0]))
-        s = key[order]
-        same = (s[1:] == s[:-1]).all(1)
-        often = np.zeros(len(order), bool)
-        often[order[1:][same]] = True
-        often[order[:-1][same]] = True
-        often &= b.column("single").to_numpy(zero_copy_only=False)[row]
-        r, a, z = _runs(row[often], at[often], b.column("lo").to_numpy(), length)
-        return batch(_SPAN, b.column("k1").to_numpy()[r], b.column("k2").to_numpy()[r], a, z)
+    A run of string starts lo..hi needs the positions up to hi + reach. Each
+    position is its own block's; the block before holds it once more where its
+    strings reach over the border.
+    """
+    found: dict[int, list] = {}
+    for e in edges:
+        lo, hi = e["lo"], e["lo"] + e["span"]
+        need = hi + reach
+        for b in range(lo // BLOCK, need // BLOCK + 1):
+            runs = found.setdefault(b, [])
+            a, z = max(lo, b * BLOCK), min(need, (b + 1) * BLOCK - 1)
+            runs.append((a, z, True, False))
+            if e["single"] and a <= hi:
+                runs.append((a, min(z, hi), False, True))
+            if need > z:
+                runs.append((z + 1, min(need, z + reach), False, False))
+    for b, runs in found.items():
+        first, last = min(r[0] for r in runs), max(r[1] for r in runs)
+        out.append((u, b, first, text[first : last + GRAM], runs))
+
+
+def _positions(length: int):
+    reach = length - GRAM
+
+    def named(held):
+        buf, starts, lens = joined([h[3] for h in held], GRAM)
+        cover = np.zeros((3, int(starts[-1] + lens[-1]) + 1), np.int64)  # needed, own, asked
+        for (_, _, first, _, runs), s in zip(held, starts.tolist()):
+            for a, z, own, asked in runs:
+                for row in (0, *([1] if own else ()), *([2] if asked else ())):
+                    cover[row, s + a - first] += 1
+                    cover[row, s + z - first + 1] -= 1
+        cover = np.cumsum(cover, 1) > 0
+        at = np.flatnonzero(cover[0])
+        piece = np.searchsorted(starts, at, "right") - 1
+        u, b, first = (np.array([h[i] for h in held], np.int64) for i in (0, 1, 2))
+        return batch(_POSITION, u[piece], b[piece], first[piece] + at - starts[piece], _grams(buf)[at].view(np.int64), cover[1][at], cover[2][at])
 
     def run(batches):
-        held, rows, last = [], 0, None
-        for b in batches:
-            g = b.column("g").to_numpy()
-            while b.num_rows:
-                if rows >= 4000 and g[0] != last:
-                    yield flush(held)
-                    held, rows = [], 0
-                # after enough rows, up to the next change of g
-                changes = np.flatnonzero(np.diff(g)) + 1
-                cuts = changes[changes + rows >= 4000]
-                n = int(cuts[0]) if len(cuts) else b.num_rows
-                held.append(b.slice(0, n))
-                rows, last = rows + n, g[n - 1]
-                b, g = b.slice(n), g[n:]
-        if held:
-            yield flush(held)
+        for b in pieces(batches, size=1 << 19):
+            held, size = [], 0
+            for u, text, edges in zip(b.column("u").to_pylist(), raw(b.column("text")), b.column("edges").to_pylist()):
+                _blocks(u, text, edges, reach, fresh := [])
+                for f in fresh:
+                    held.append(f)
+                    size += len(f[3])
+                    if size > 1 << 19:
+                        yield named(held)
+                        held, size = [], 0
+            if held:
+                yield named(held)
 
     return run
 
 
-def _exploded(length: int):
-    def run(batches):
-        for b in pieces(batches, "bytes", 1 << 20):
-            row, at, name = _named(b, length)
-            take = lambda c: b.column(c).to_numpy(zero_copy_only=False)[row]
-            yield batch(_WINDOW, take("k1"), take("k2"), take("g"), take("lo") + at, take("single"), name.view(np.int64))
+def _ranked(rows: DataFrame, by: list[str], keep) -> DataFrame:
+    """rows of those values of `by` that at least two positions have, with the number of the value in sorted order as their rank."""
+    often = rows.groupBy(*by).agg(F.count_if("own").alias("n")).where("n > 1").select(*by)
+    ranks = keep(often.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("new", F.monotonically_increasing_id()), "ranks")
+    out = rows.join(ranks, by).select("u", "b", "at", F.col("new").alias("rank"), "own", "asked")
+    return keep(out, "ranked")
 
-    return run
+
+def _doubling(positions: DataFrame, length: int, keep) -> DataFrame:
+    """The positions (u, b, at, rank of 64 bytes, own, asked) whose `length` bytes recur, by rounds of growing offsets."""
+    rows, have = _ranked(positions, ["rank"], keep), GRAM
+    while have < length:
+        h = min(have, length - have)
+        ahead = Window.partitionBy("u", "b").orderBy("at").rangeBetween(h, h)
+        pairs = rows.withColumn("ahead", F.first("rank").over(ahead)).where("ahead is not null")
+        rows, have = _ranked(keep(pairs, "pairs"), ["rank", "ahead"], keep), have + h
+    return rows
 
 
 def _removed(batches):
@@ -175,40 +191,39 @@ def _removed(batches):
         yield batch(_OUT, *out)
 
 
-def repeated_spans(keyed_docs: DataFrame, length: int = 200, group_rows: int = 20_000) -> DataFrame:
-    """(k1, k2, a, z): byte ranges of each text whose every `length`-byte string starts in at least one other place.
+def repeated_spans(keyed_docs: DataFrame, length: int = 200) -> DataFrame:
+    """(k1, k2, spans): byte ranges (a to z) of each text whose every `length`-byte string starts in at least one other place.
 
-    keyed_docs: from common.keyed(). Ranges may overlap. Groups of over group_rows
-    different surroundings of one 64-byte name are ranked by Spark row by row,
-    smaller ones inside tasks; both give the same ranges.
+    keyed_docs: from common.keyed(). Ranges may overlap; texts without any have
+    no row. All other tables that are written on the way are deleted.
     """
     docs = keyed_docs.where(F.octet_length("text") >= length).select("k1", "k2", "text")
-    anchors = cut(docs.mapInArrow(_anchors(length), ddl(_ANCHOR)), "anchors")
-    # tables of their own, so that joining them back can split a frequent name's rows
-    often = cut(anchors.groupBy("g").agg(F.count("*").alias("n"), (F.min("s") == F.max("s")).alias("pure")).where("n > 1"), "names")
-    alive = cut(anchors.join(often.select("g", "pure"), "g"), "alive")
-    drop(anchors)
-    # one row for each different surrounding of an ambiguous name
-    kinds = alive.where("not pure").groupBy("g", "s").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "lo", "span")).alias("x"))
-    kinds = cut(kinds.select("g", "s", "n", "x.*"), "kinds")
-    sizes = cut(kinds.groupBy("g").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("least = 1"), "sizes")
-    whole = alive.where("pure").select("k1", "k2", "lo", "span").unionByName(
-        alive.where("not pure").join(kinds.where("n > 1").select("g", "s"), ["g", "s"]).select("k1", "k2", "lo", "span")
-    )
-    whole = whole.select("k1", "k2", F.col("lo").alias("a"), (F.col("lo") + F.col("span") + length).alias("z"))
-    edges = kinds.join(sizes, "g").groupBy("k1", "k2").agg(F.collect_list(F.struct("g", "lo", "span", (F.col("n") == 1).alias("single"), "kinds")).alias("edges"))
-    # rows that repeat a whole document (id and text) are one here
-    slices = docs.join(edges, ["k1", "k2"]).mapInArrow(_slices(length), ddl(_SLICE)).dropDuplicates(["k1", "k2", "lo"])
-    slices = cut(slices, "slices")
-    large = sizes.where(F.col("kinds") > group_rows).select("g")
-    small = slices.join(large, "g", "left_anti").repartition("g").sortWithinPartitions("g").mapInArrow(_within_groups(length), ddl(_SPAN))
-    windows = slices.join(large, "g", "left_semi").mapInArrow(_exploded(length), ddl(_WINDOW))
-    twice = windows.groupBy("g", "w").agg(F.count("*").alias("n")).where("n > 1").select("g", "w")
-    rest = windows.where("single").join(twice, ["g", "w"]).select("k1", "k2", F.col("at").alias("a"), (F.col("at") + length).alias("z"))
-    return whole.unionByName(small).unionByName(rest)
-
-
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, group_rows: int = 20_000) -> DataFrame:
+    with scratch() as keep:
+        anchors = keep(docs.mapInArrow(_anchors(length), ddl(_ANCHOR)), "anchors")
+        # tables of their own, so that joining them back can split a frequent name's rows
+        often = anchors.groupBy("g").agg(F.count("*").alias("n"), ((F.min("s") == F.max("s")) & (F.min("t") == F.max("t"))).alias("pure")).where("n > 1")
+        often = keep(often.select("g", "pure"), "names")
+        alive = keep(anchors.join(often, "g"), "alive")
+        # one row for each different surrounding of an ambiguous name
+        kinds = alive.where("not pure").groupBy("g", "s", "t").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "lo", "span")).alias("x"))
+        kinds = keep(kinds.select("g", "s", "t", "n", "x.*"), "kinds")
+        again = alive.where("not pure").join(kinds.where("n > 1").select("g", "s", "t"), ["g", "s", "t"])
+        whole = alive.where("pure").select("k1", "k2", "lo", "span").unionByName(again.select("k1", "k2", "lo", "span"))
+        whole = whole.select("k1", "k2", F.col("lo").alias("a"), (F.col("lo") + F.col("span") + length).alias("z"))
+
+        open_names = keep(kinds.groupBy("g").agg(F.min("n").alias("least")).where("least = 1").select("g"), "open")
+        edges = kinds.join(open_names, "g").groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "span", (F.col("n") == 1).alias("single"))).alias("edges"))
+        edges = keep(edges.withColumn("u", F.monotonically_increasing_id()), "edges")
+        positions = docs.join(edges, ["k1", "k2"]).select("u", "text", "edges").mapInArrow(_positions(length), ddl(_POSITION))
+        found = _doubling(keep(positions, "positions"), length, keep).where("asked and own")
+        island = F.col("at") - F.row_number().over(Window.partitionBy("u", "b").orderBy("at"))
+        # a text that is there twice (id and text) has its positions twice
+        runs = found.select("u", "b", "at").distinct().withColumn("island", island).groupBy("u", "b", "island").agg(F.min("at").alias("a"), (F.max("at") + length).alias("z"))
+        rest = runs.join(edges.select("u", "k1", "k2"), "u").select("k1", "k2", "a", "z")
+        return cut(whole.unionByName(rest).groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "z")).alias("spans")), "spans")
+
+
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
     """One row per input row: id, n_bytes, spans (removed runs a to z), n_removed, kept (the bytes that stay).
 
     Null texts count as empty; texts under `length` bytes stay whole. Rows that
@@ -216,7 +231,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     they have in common. Columns other than the two named are not carried.
     """
     docs = keyed(df, id_col, text_col)
-    spans = repeated_spans(docs, length, group_rows).groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "z")).alias("spans"))
+    spans = repeated_spans(docs, length)
     return docs.join(spans, ["k1", "k2"], "left").select("id", "text", "spans").mapInArrow(_removed, ddl(_OUT)).withColumnRenamed("id", id_col)
 
 
@@ -226,11 +241,9 @@ def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     Rows of which no more than white space is left go, unless their text was
     that already. Rows that lose nothing stay as they are, null texts too.
     """
-    docs = keyed(df, id_col, text_col)
-    spans = repeated_spans(docs, length).groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "z")).alias("_x_spans"))
-    spans = spans.select(F.col("k1").alias("_x_k1"), F.col("k2").alias("_x_k2"), "_x_spans")
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    marked = df.withColumns({"_x_k1": F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(2**63))), "_x_k2": F.xxhash64(text)}).join(spans, ["_x_k1", "_x_k2"], "left")
+    k1, k2, found = fresh_names(df, 3)
+    spans = repeated_spans(keyed(df, id_col, text_col), length).toDF(k1, k2, found)
+    marked = with_key(df, id_col, text_col, k1, k2).join(spans, [k1, k2], "left")
 
     @F.pandas_udf("string")
     def left(texts: pd.Series, spans: pd.Series) -> pd.Series:
@@ -248,11 +261,11 @@ def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
             out.append("".join(kept))
         return pd.Series(out, dtype=object)
 
-    changed = marked.where("_x_spans is not null").withColumn(text_col, left(F.col(f"`{text_col}`"), F.col("_x_spans")))
+    changed = marked.where(F.col(found).isNotNull()).withColumn(text_col, left(F.col(f"`{text_col}`"), F.col(found)))
     changed = changed.where(F.col(f"`{text_col}`").rlike(r"\S"))
     if chars_col in df.columns:
         changed = changed.withColumn(chars_col, F.char_length(F.col(f"`{text_col}`")).cast(df.schema[chars_col].dataType))
-    whole = marked.where("_x_spans is null")
+    whole = marked.where(F.col(found).isNull())
     names = [F.col(f"`{c}`") for c in df.columns]
     return whole.select(*names).unionByName(changed.select(*names))
 

@@ -2,7 +2,8 @@ import random
 
 import pytest
 
-from drawloom.llm.suffix_dedup import brute, remove_repeats
+from drawloom.llm import suffix_dedup
+from drawloom.llm.suffix_dedup import brute, cut_repeats, remove_repeats
 
 from pyspark.sql import functions as F
 
@@ -25,11 +26,12 @@ def corpus(seed, n=40):
     return texts + [long[: len(long) // 2] + "q" + long[len(long) // 2 :]]
 
 
-@pytest.mark.parametrize("seed,group_rows", [(1, 20000), (2, 1), (3, 20000)])
-def test_equals_brute_force(spark, seed, group_rows):
+@pytest.mark.parametrize("seed,block", [(1, 4096), (2, 64), (3, 300)])
+def test_equals_brute_force(spark, seed, block, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
     texts = corpus(seed)
     df = spark.createDataFrame([(i if i != 9 else None, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, k1 string, g int")
-    got = remove_repeats(df, group_rows=group_rows).select("doc_id", "n_removed", F.size("spans"), F.sha2("kept", 256)).collect()
+    got = remove_repeats(df).select("doc_id", "n_removed", F.size("spans"), F.sha2("kept", 256)).collect()
     want = brute([(t or "").encode() for t in texts])
     assert sorted(tuple(r)[1:] for r in got) == sorted(want)
     got = {r[0]: tuple(r)[1:] for r in got}
