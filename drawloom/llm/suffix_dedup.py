@@ -1,28 +1,27 @@
 """Removal of repeated passages by distributed prefix doubling.
 
-A position is ranked by its first 64 bytes, then by the pair of its rank and the
-rank 64 bytes on (128 bytes), then by that pair 72 bytes on (200 bytes, past
-which nothing is asked). In each round Spark pairs the ranks (a window over each
-block of a text), counts equal pairs, sorts the pairs that recur and numbers them
-in that order; the numbers are the new ranks. Positions of unique rank end there.
-
 All positions of all texts would take about 20 times the input on disk in the
-first round, so the rounds start from what cheaper passes leave over:
-
-1. Every 200-byte string holds an anchor, the least 64-byte name among its 137
-   (the leftmost of equals), and equal strings have theirs at equal places.
-   Anchors whose name is unique in the corpus stand for strings that are unique.
-2. An anchor's surroundings are all the 200-byte strings that it stands for. Where
-   the same surroundings occur again, all those strings recur, and one row of
-   each kind goes on.
-3. The positions of the surroundings that occur once and share their anchor's name with
-   others (ends of passages, places where near copies differ) and of one
-   row of each kind they might meet go into the rounds.
-
-Names of 64 bytes are 64-bit fingerprints, those of surroundings 192 bits in all;
-ranks after the first are numbers that Spark deals out, so later rounds add no
-chance of error. A frequent name, kind or pair is counted with partial sums
-in each task, and its rows are only joined with a table of counts, which AQE splits.
+first round, so the doubling runs over anchors. Every 200-byte string holds one, the
+least 64-byte name among its 137 (the leftmost of equals), and equal strings
+have theirs at equal places; it is one in about 60 positions.
+
+1. First round: Spark ranks the anchors by their 64 bytes. Those of unique rank
+   end here, with all the strings that they stand for. Of the others, whose whole
+   surroundings (all the 200-byte strings that they stand for) occur again lose
+   them; one row of each kind of surroundings goes on.
+2. Rounds at growing offsets, to the right and to the left of the anchor: the pair
+   of its rank and the name of the 17 bytes next to it, then of the 17 after
+   these, of the next 34, of the next 68, which is past 200 bytes. In each round Spark
+   counts equal pairs, sorts those that recur and numbers them in that order; the
+   numbers are the new ranks. Anchors of unique rank stop in that direction.
+3. How far an anchor's rank was shared to either side leaves a range of string
+   starts around it; those positions are ranked by their 200 bytes. This makes
+   exact what step 2 knows to the next offset only.
+
+Names are 64-bit fingerprints of bytes (the first rank; steps 2 and 3 tell two
+different strings within it apart with 64 and 128 bits more); ranks are numbers that
+Spark deals out. A frequent name, kind or pair is counted with partial sums in each
+task, and its rows are only joined with a table of counts, which AQE splits.
 """
 
 from __future__ import annotations
@@ -32,16 +31,16 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from drawloom.llm.common import batch, cut, ddl, keyed, pieces, raw, scratch, table
+from drawloom.llm.common import batch, cut, ddl, drop, fresh_names, keyed, pieces, raw, scratch, table, with_key
 from drawloom.llm.names import doubled, eights, joined, mix, ranges, sliding_min
 
 GRAM = 64
-BLOCK = 4096
-_ANCHOR = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("lo", pa.int64()), ("span", pa.int32()), ("g", pa.int64()), ("s", pa.int64()), ("t", pa.int64())])
-_POSITION = pa.schema([("u", pa.int64()), ("b", pa.int64()), ("at", pa.int64()), ("rank", pa.int64()), ("own", pa.bool_()), ("asked", pa.bool_())])
+_ANCHOR = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("lo", pa.int64()), ("span", pa.int32()), ("rel", pa.int32()), ("g", pa.int64()), ("s", pa.int64()), ("t", pa.int64())])
+_SIDE = pa.schema([("u", pa.int64()), ("lo", pa.int64()), ("side", pa.int32()), ("rank", pa.int64()), *[(f"n{j}", pa.int64()) for j in range(4)]])
+_WINDOW = pa.schema([("u", pa.int64()), ("at", pa.int64()), ("single", pa.bool_()), ("w1", pa.int64()), ("w2", pa.int64())])
 _OUT = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("a", pa.int64()), ("z", pa.int64())]))), ("n_removed", pa.int64()), ("kept", pa.binary())])
 
 
@@ -56,6 +55,14 @@ def _window_names(x: np.ndarray, at: np.ndarray, length: int, seed: int) -> np.n
     return mix(mix(x[at] ^ z, x[at + 64]), mix(x[at + length - 128] ^ z, x[at + length - 64]))
 
 
+_SEEDS = (0, 0x5DEECE66D)
+
+
+def _extents(length: int) -> list[int]:
+    """Bytes beside an anchor after each round; the last makes `length` bytes with the anchor's own."""
+    return [(length - GRAM) >> k for k in (3, 2, 1, 0)]
+
+
 def _anchors(length: int, most: int = 1 << 20):
     """The anchors of each text; of long texts in parts of `most` string starts, so that memory has a bound."""
     width = length - GRAM + 1
@@ -86,89 +93,79 @@ def _anchors(length: int, most: int = 1 << 20):
                 first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
                 lo, hi, anchor = at[first], at[np.append(first[1:], len(at)) - 1], anchor[first]
                 shape = (((anchor - lo) << 16) + (hi - lo)).astype(np.uint64)
-                s, t = (mix(mix(_window_names(x, lo, length, seed), _window_names(x, hi, length, seed)), shape).view(np.int64) for seed in (0, 0x5DEECE66D))
+                s, t = (mix(mix(_window_names(x, lo, length, seed), _window_names(x, hi, length, seed)), shape).view(np.int64) for seed in _SEEDS)
                 doc = np.searchsorted(starts, lo, "right") - 1
                 key = [np.array(c, np.int64)[doc] for c in (k1, k2, base)]
-                yield batch(_ANCHOR, key[0], key[1], key[2] + lo - starts[doc], (hi - lo).astype(np.int32), x[anchor].view(np.int64), s, t)
+                yield batch(_ANCHOR, key[0], key[1], key[2] + lo - starts[doc], (hi - lo).astype(np.int32), (anchor - lo).astype(np.int32), x[anchor].view(np.int64), s, t)
 
     return run
 
 
-def _blocks(u: int, text: bytes, edges: list, reach: int, out: list) -> None:
-    """Add to out, for each block of a text: what of it is asked for, as [u, block, first position, bytes, runs (from, to, own, asked)].
+def _sides(length: int):
+    """Of each kind of surroundings two rows, side 0 to the right and 1 to the left: names of what each round adds, as far as its strings go."""
+    extents = _extents(length)
+    reach = extents[-1]
 
-    A run of string starts lo..hi needs the positions up to hi + reach. Each
-    position is its own block's; the block before holds it once more where its
-    strings reach over the border.
-    """
-    found: dict[int, list] = {}
-    for e in edges:
-        lo, hi = e["lo"], e["lo"] + e["span"]
-        need = hi + reach
-        for b in range(lo // BLOCK, need // BLOCK + 1):
-            runs = found.setdefault(b, [])
-            a, z = max(lo, b * BLOCK), min(need, (b + 1) * BLOCK - 1)
-            runs.append((a, z, True, False))
-            if e["single"] and a <= hi:
-                runs.append((a, min(z, hi), False, True))
-            if need > z:
-                runs.append((z + 1, min(need, z + reach), False, False))
-    for b, runs in found.items():
-        first, last = min(r[0] for r in runs), max(r[1] for r in runs)
-        out.append((u, b, first, text[first : last + GRAM], runs))
-
-
-def _positions(length: int):
-    reach = length - GRAM
-
-    def named(held):
-        buf, starts, lens = joined([h[3] for h in held], GRAM)
-        cover = np.zeros((3, int(starts[-1] + lens[-1]) + 1), np.int64)  # needed, own, asked
-        for (_, _, first, _, runs), s in zip(held, starts.tolist()):
-            for a, z, own, asked in runs:
-                for row in (0, *([1] if own else ()), *([2] if asked else ())):
-                    cover[row, s + a - first] += 1
-                    cover[row, s + z - first + 1] -= 1
-        cover = np.cumsum(cover, 1) > 0
-        at = np.flatnonzero(cover[0])
-        piece = np.searchsorted(starts, at, "right") - 1
-        u, b, first = (np.array([h[i] for h in held], np.int64) for i in (0, 1, 2))
-        return batch(_POSITION, u[piece], b[piece], first[piece] + at - starts[piece], _grams(buf)[at].view(np.int64), cover[1][at], cover[2][at])
+    def named(names: dict, at: np.ndarray, n: int) -> np.ndarray:
+        k = 1 << (n.bit_length() - 1)
+        return mix(names[k][at], names[k][at + n - k])
 
     def run(batches):
         for b in pieces(batches, size=1 << 19):
-            held, size = [], 0
-            for u, text, edges in zip(b.column("u").to_pylist(), raw(b.column("text")), b.column("edges").to_pylist()):
-                _blocks(u, text, edges, reach, fresh := [])
-                for f in fresh:
-                    held.append(f)
-                    size += len(f[3])
-                    if size > 1 << 19:
-                        yield named(held)
-                        held, size = [], 0
-            if held:
-                yield named(held)
+            u = b.column("u").to_numpy()
+            edges = b.column("edges").to_pylist()
+            doc = np.repeat(np.arange(len(u)), [len(e) for e in edges])
+            lo, span, rel, g = (np.array([e[c] for es in edges for e in es], np.int64) for c in ("lo", "span", "rel", "g"))
+            # only the strings that the anchors stand for are named, not the whole texts
+            texts = raw(b.column("text"))
+            parts = [texts[d][i : i + n + length] for d, i, n in zip(doc.tolist(), lo.tolist(), span.tolist())]
+            for i in range(0, len(parts), 4000):
+                some = slice(i, i + 4000)
+                buf, starts, lens = joined(parts[some], 2 * length)
+                names = {8: eights(buf)}
+                for k in (8, 16, 32, 64):
+                    names[2 * k] = doubled(names[k], k)
+                p, n = starts + rel[some], len(starts)
+                for side, room in ((0, reach - rel[some] + span[some]), (1, rel[some])):
+                    columns, before = [], 0
+                    for e in extents:
+                        at = p + GRAM + before if side == 0 else p - e
+                        ok = room >= e
+                        name = named(names, np.where(ok, at, 0), e - before).view(np.int64)
+                        columns.append(pa.array(name, pa.int64(), mask=~ok))
+                        before = e
+                    yield batch(_SIDE, u[doc[some]], lo[some], np.full(n, side, np.int32), g[some], *columns)
 
     return run
 
 
-def _ranked(rows: DataFrame, by: list[str], keep) -> DataFrame:
-    """rows of those values of `by` that at least two positions have, with the number of the value in sorted order as their rank."""
-    often = rows.groupBy(*by).agg(F.count_if("own").alias("n")).where("n > 1").select(*by)
-    ranks = keep(often.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("new", F.monotonically_increasing_id()), "ranks")
-    out = rows.join(ranks, by).select("u", "b", "at", F.col("new").alias("rank"), "own", "asked")
-    return keep(out, "ranked")
-
+def _windows(length: int):
+    def run(batches):
+        for b in pieces(batches, size=1 << 19):
+            u, single, base, parts, size = [], [], [], [], 0
+            for i, text, runs in zip(b.column("u").to_pylist(), raw(b.column("text")), b.column("runs").to_pylist()):
+                for r in runs:
+                    u.append(i)
+                    single.append(r["single"])
+                    base.append(r["a"])
+                    parts.append(text[r["a"] : r["z"] + length])
+                    size += len(parts[-1])
+                    if size > 1 << 20:
+                        yield named(u, single, base, parts)
+                        u, single, base, parts, size = [], [], [], [], 0
+            if parts:
+                yield named(u, single, base, parts)
+
+    def named(u, single, base, parts):
+        buf, starts, lens = joined(parts, length + 100)
+        counts = lens - length + 1
+        at = ranges(starts, counts)
+        row = np.repeat(np.arange(len(lens)), counts)
+        x = _grams(buf)
+        w1, w2 = (_window_names(x, at, length, seed).view(np.int64) for seed in _SEEDS)
+        return batch(_WINDOW, np.array(u, np.int64)[row], np.array(base, np.int64)[row] + at - starts[row], np.array(single)[row], w1, w2)
 
-def _doubling(positions: DataFrame, length: int, keep) -> DataFrame:
-    """The positions (u, b, at, rank of 64 bytes, own, asked) whose `length` bytes recur, by rounds of growing offsets."""
-    rows, have = _ranked(positions, ["rank"], keep), GRAM
-    while have < length:
-        h = min(have, length - have)
-        ahead = Window.partitionBy("u", "b").orderBy("at").rangeBetween(h, h)
-        pairs = rows.withColumn("ahead", F.first("rank").over(ahead)).where("ahead is not null")
-        rows, have = _ranked(keep(pairs, "pairs"), ["rank", "ahead"], keep), have + h
-    return rows
+    return run
 
 
 def _removed(batches):
@@ -191,11 +188,31 @@ def _removed(batches):
         yield batch(_OUT, *out)
 
 
+def _reach(sides: DataFrame, length: int, keep) -> DataFrame:
+    """(u, lo, left, right): the bytes up to which an anchor may share either side with another one, by rounds of growing offsets."""
+    extents = _extents(length)
+    rows, found = sides, []
+    for j, e in enumerate(extents):
+        pair = ["side", "rank", f"n{j}"]
+        live = rows.where(F.col(f"n{j}").isNotNull())
+        often = live.groupBy(*pair).agg(F.count("*").alias("n")).where("n > 1").select(*pair)
+        ranks = keep(often.repartitionByRange(*pair).sortWithinPartitions(*pair).withColumn("new", F.monotonically_increasing_id()), "ranks")
+        rows = keep(live.join(ranks, pair).select("u", "lo", "side", F.col("new").alias("rank"), *[f"n{k}" for k in range(j + 1, 4)]), "ranked")
+        # what is shared ends before the next offset
+        found.append(rows.select("u", "lo", "side", F.lit(extents[j + 1] - 1 if j < 3 else e).alias("reach")))
+    every = sides.select("u", "lo", "side", F.lit(extents[0] - 1).alias("reach"))
+    for x in found:
+        every = every.unionByName(x)
+    side = lambda k: F.max(F.when(F.col("side") == k, F.col("reach")))
+    return every.groupBy("u", "lo").agg(side(1).alias("left"), side(0).alias("right"))
+
+
 def repeated_spans(keyed_docs: DataFrame, length: int = 200) -> DataFrame:
     """(k1, k2, spans): byte ranges (a to z) of each text whose every `length`-byte string starts in at least one other place.
 
     keyed_docs: from common.keyed(). Ranges may overlap; texts without any have
-    no row. All other tables that are written on the way are deleted.
+    no row. All other tables that are written on the way are deleted. length:
+    128 to 256.
     """
     docs = keyed_docs.where(F.octet_length("text") >= length).select("k1", "k2", "text")
     with scratch() as keep:
@@ -204,25 +221,39 @@ def repeated_spans(keyed_docs: DataFrame, length: int = 200) -> DataFrame:
         often = anchors.groupBy("g").agg(F.count("*").alias("n"), ((F.min("s") == F.max("s")) & (F.min("t") == F.max("t"))).alias("pure")).where("n > 1")
         often = keep(often.select("g", "pure"), "names")
         alive = keep(anchors.join(often, "g"), "alive")
+        drop(anchors)
         # one row for each different surrounding of an ambiguous name
-        kinds = alive.where("not pure").groupBy("g", "s", "t").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "lo", "span")).alias("x"))
+        kinds = alive.where("not pure").groupBy("g", "s", "t").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "lo", "span", "rel")).alias("x"))
         kinds = keep(kinds.select("g", "s", "t", "n", "x.*"), "kinds")
         again = alive.where("not pure").join(kinds.where("n > 1").select("g", "s", "t"), ["g", "s", "t"])
         whole = alive.where("pure").select("k1", "k2", "lo", "span").unionByName(again.select("k1", "k2", "lo", "span"))
         whole = whole.select("k1", "k2", F.col("lo").alias("a"), (F.col("lo") + F.col("span") + length).alias("z"))
 
         open_names = keep(kinds.groupBy("g").agg(F.min("n").alias("least")).where("least = 1").select("g"), "open")
-        edges = kinds.join(open_names, "g").groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "span", (F.col("n") == 1).alias("single"))).alias("edges"))
-        edges = keep(edges.withColumn("u", F.monotonically_increasing_id()), "edges")
-        positions = docs.join(edges, ["k1", "k2"]).select("u", "text", "edges").mapInArrow(_positions(length), ddl(_POSITION))
-        found = _doubling(keep(positions, "positions"), length, keep).where("asked and own")
-        island = F.col("at") - F.row_number().over(Window.partitionBy("u", "b").orderBy("at"))
-        # a text that is there twice (id and text) has its positions twice
-        runs = found.select("u", "b", "at").distinct().withColumn("island", island).groupBy("u", "b", "island").agg(F.min("at").alias("a"), (F.max("at") + length).alias("z"))
-        rest = runs.join(edges.select("u", "k1", "k2"), "u").select("k1", "k2", "a", "z")
+        kind = F.struct("g", "lo", "span", "rel", (F.col("n") == 1).alias("single"))
+        edges = keep(kinds.join(open_names, "g").groupBy("k1", "k2").agg(F.collect_list(kind).alias("edges")).withColumn("u", F.monotonically_increasing_id()), "edges")
+        near = keep(docs.join(edges, ["k1", "k2"]).select("u", "text", "edges"), "near")
+        reach = _reach(keep(near.mapInArrow(_sides(length), ddl(_SIDE)), "sides"), length, keep)
+        # string starts around the anchor at lo + rel that both sides allow
+        at = edges.select("u", F.explode("edges").alias("e")).select("u", "e.*").join(reach, ["u", "lo"])
+        p = F.col("lo") + F.col("rel")
+        a, z = F.greatest(F.col("lo"), p - F.col("left")), F.least(F.col("lo") + F.col("span"), p + F.col("right") - (length - GRAM))
+        runs = at.select("u", "single", a.alias("a"), z.alias("z")).where("a <= z").groupBy("u").agg(F.collect_list(F.struct("a", "z", "single")).alias("runs"))
+        windows = keep(near.select("u", "text").join(runs, "u").mapInArrow(_windows(length), ddl(_WINDOW)), "windows")
+        twice = keep(windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2"), "twice")
+        found = windows.where("single").join(twice, ["w1", "w2"]).select("u", "at").distinct()
+        rest = _islands(found, length).join(edges.select("u", "k1", "k2"), "u").select("k1", "k2", "a", "z")
         return cut(whole.unionByName(rest).groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "z")).alias("spans")), "spans")
 
 
+def _islands(found: DataFrame, length: int) -> DataFrame:
+    """(u, a, z) from string starts (u, at): neighbours as one range, never over the border of a block of positions, which bounds the window."""
+    block: Column = F.floor(F.col("at") / 65536)
+    island = F.col("at") - F.row_number().over(Window.partitionBy("u", "block").orderBy("at"))
+    rows = found.withColumn("block", block).withColumn("island", island)
+    return rows.groupBy("u", "block", "island").agg(F.min("at").alias("a"), (F.max("at") + length).alias("z"))
+
+
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
     """One row per input row: id, n_bytes, spans (removed runs a to z), n_removed, kept (the bytes that stay).
 
