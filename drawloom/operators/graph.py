@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drawloom.tables import cut
+from drawloom.tables import cut, drop, scratch
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -20,30 +20,32 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", r
     until the edges stay as they are; per round only a count and two checksums
     reach the driver. Self loops keep their node; edges with a null end are left out.
     """
-    base = edges.select(F.col(f"`{src}`").alias("u"), F.col(f"`{dst}`").alias("v")).where("u is not null and v is not null")
-    nodes = base.select(F.col("u").alias("node")).union(base.select("v")).distinct()
-    now = cut(base.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    mark = _mark(now)
-    for _ in range(rounds):
-        if not mark[0]:
-            break
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # tables of their own, so that joining them back can split the rows of a node of many edges
-        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = cut(large, "large")
-        low = cut(large.groupBy("u").agg(F.min("v").alias("m")), "low")
-        # small star: u's smaller neighbours, and u itself, point to the least of them
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        now = cut(small.where("u <> v").distinct(), "edges")
-        new = _mark(now)
-        if new == mark:
-            break
-        mark = new
-    else:
-        raise RuntimeError("connected_components: no fixed point within the given rounds")
-    roots = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
-    return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("component"))
+    with scratch() as keep:
+        base = keep(edges.select(F.col(f"`{src}`").alias("u"), F.col(f"`{dst}`").alias("v")).where("u is not null and v is not null").distinct(), "base")
+        now = keep(base.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        mark = _mark(now)
+        for _ in range(rounds):
+            if not mark[0]:
+                break
+            with scratch() as once:
+                both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+                # tables of their own, so that joining them back can split the rows of a node of many edges
+                least = once(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+                large = once(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+                low = once(large.groupBy("u").agg(F.min("v").alias("m")), "low")
+                # small star: u's smaller neighbours, and u itself, point to the least of them
+                small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
+                before, now = now, keep(small.where("u <> v").distinct(), "edges")
+                drop(before)
+            new = _mark(now)
+            if new == mark:
+                break
+            mark = new
+        else:
+            raise RuntimeError("connected_components: no fixed point within the given rounds")
+        nodes = base.select(F.col("u").alias("node")).union(base.select("v")).distinct()
+        roots = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+        return cut(nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("component")), "components")
 
 
 def neighbours(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
