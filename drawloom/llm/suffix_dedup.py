@@ -233,16 +233,21 @@ def repeated_spans(keyed_docs: DataFrame, length: int = 200) -> DataFrame:
         kind = F.struct("g", "lo", "span", "rel", (F.col("n") == 1).alias("single"))
         edges = keep(kinds.join(open_names, "g").groupBy("k1", "k2").agg(F.collect_list(kind).alias("edges")).withColumn("u", F.monotonically_increasing_id()), "edges")
         near = keep(docs.join(edges, ["k1", "k2"]).select("u", "text", "edges"), "near")
-        reach = _reach(keep(near.mapInArrow(_sides(length), ddl(_SIDE)), "sides"), length, keep)
+        with scratch() as keep_round:
+            sides = keep_round(near.mapInArrow(_sides(length), ddl(_SIDE)), "sides")
+            reach = keep(_reach(sides, length, keep_round), "reach")
         # string starts around the anchor at lo + rel that both sides allow
         at = edges.select("u", F.explode("edges").alias("e")).select("u", "e.*").join(reach, ["u", "lo"])
         p = F.col("lo") + F.col("rel")
         a, z = F.greatest(F.col("lo"), p - F.col("left")), F.least(F.col("lo") + F.col("span"), p + F.col("right") - (length - GRAM))
         runs = at.select("u", "single", a.alias("a"), z.alias("z")).where("a <= z").groupBy("u").agg(F.collect_list(F.struct("a", "z", "single")).alias("runs"))
         windows = keep(near.select("u", "text").join(runs, "u").mapInArrow(_windows(length), ddl(_WINDOW)), "windows")
+        drop(near)
         twice = keep(windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2"), "twice")
         found = windows.where("single").join(twice, ["w1", "w2"]).select("u", "at").distinct()
-        rest = _islands(found, length).join(edges.select("u", "k1", "k2"), "u").select("k1", "k2", "a", "z")
+        rest = keep(_islands(found, length).join(edges.select("u", "k1", "k2"), "u").select("k1", "k2", "a", "z"), "rest")
+        drop(windows)
+        drop(twice)
         return cut(whole.unionByName(rest).groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "z")).alias("spans")), "spans")
 
 
