@@ -1,12 +1,17 @@
 """Main text of web pages by composite text density.
 
-Per page: a tolerant pass over the tags builds the tree; elements that are never
-article text (menus, page headers, footers, asides, adverts, notices, forms,
-scripts, comments, by tag, role, class or id) are set aside. For every node left
-the composite density is characters per tag, adjusted by the share of linked
+Per page: a tolerant pass over the tags, in time linear in the page's length,
+builds the tree; elements that are no article text by what they are (menus, page headers,
+footers, asides, forms, scripts, by tag, role or being hidden) are set aside. For every node
+left the composite density is characters per tag, adjusted by the share of linked
 characters and tags. The node whose children's densities sum to most is the
 article; the least density on its path to the body is the threshold that
 neighbours of the path must reach to count as parts of it.
+
+Density cannot tell adverts, notices and reader comments from an article: they are
+set aside by the class or id of a containing element. Names only decide if the
+article found without these containers has a tenth of the characters found with
+them; else they are ignored. Inline elements, and paragraphs but for plain adverts, are never judged by name.
 """
 
 from __future__ import annotations
@@ -22,8 +27,8 @@ from pyspark.sql import functions as F
 from drawloom.llm.common import batch, ddl, pieces, raw, table
 
 _TEXT = pa.schema([("id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
-_LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_STOP = re.compile(r"[>\"']")
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
 
 # Fixed values of HTML: elements by how they are parsed and shown.
@@ -42,122 +47,166 @@ _HINTS = (
     "cookie cookies consent gdpr notice notices alert banner popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments disqus respond reviews widget widgets toolbar pagination pager skip"
 ).split()
 _HINT = re.compile(rf"^(?:{'|'.join(_HINTS)})(?:[-_].*)?$|^(?!(?:has|with|no|without)[-_]).*[-_](?:{'|'.join(_HINTS)})$")
+_HOLDERS = {"div", "section", "ul", "ol", "dl", "table", "tr", "td", "details", "center", "fieldset", "figure", "header", "address"}
+_PLAIN_ADS = {"ad", "ads", "advert", "advertisement", "sponsored", "promo"}
 
 
-def _set_aside(tag: str, attrs: str, in_article: bool) -> bool:
+def _judge(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is never article text, and whether it is a container (or plain advert) that its name says is none."""
     if tag in _NEVER or tag == "header" and not in_article:
-        return True
+        return True, False
     if not attrs or "=" not in attrs and "hidden" not in attrs:
-        return False
+        return False, False
+    named = False
     for name, a, b, c, hidden in _ATTR.findall(attrs):
         value = (a or b or c).lower()
         name = name.lower()
         if hidden or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
+            return True, False
         if name == "role" and value in _ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("html", "body", "main", "article") and any(_HINT.match(x) for x in value.split()):
-            return True
-    return False
+            return True, False
+        if name in ("class", "id"):
+            if tag in _HOLDERS:
+                named |= any(_HINT.match(x) for x in value.split())
+            elif tag in _BLOCK:
+                named |= bool(_PLAIN_ADS.intersection(value.split())) and tag not in ("html", "body", "main", "article")
+    return False, named
 
 
 class _Page:
-    """Nodes in page order: tag, parent, last descendant, set aside; and the texts with their node and block."""
+    """Nodes in page order: tag, parent, last descendant, set aside, named; and the texts with their node and block.
+
+    The open elements are a stack; for each tag the places of its open elements
+    are kept, so that no step walks the stack or the rest of the page more than once.
+    """
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.end, self.aside = ["#root"], [-1], [0], [False]
+        self.tag, self.parent, self.end, self.aside, self.named = ["#root"], [-1], [0], [False], [False]
         self.texts: list[tuple[int, int, str]] = []
         self.block = 0
         self.body = 0
-        stack, at, n = [0], 0, len(source)
+        self.stack, self.places = [0], {}
+        within = [False]  # an article or main element
+        at, n, last = 0, len(source), source.rfind(">")
+        self.strict = True  # until a quote is never closed
         while at < n:
             lt = source.find("<", at)
             if lt < 0:
                 lt = n
             if lt > at:
-                self._text(stack[-1], source[at:lt])
+                self._text(self.stack[-1], source[at:lt])
             if lt == n:
                 break
-            m = _TAG.match(source, lt) or _LOOSE.match(source, lt)
-            if not m:
-                self._text(stack[-1], "<")
+            if source.startswith("<!--", lt):
+                close = source.find("-->", lt + 4)
+                at = close + 3 if close >= 0 else n
+                continue
+            m = _NAME.match(source, lt)
+            close = -1
+            if lt < last:
+                if m:
+                    close = self._tag_end(source, m.end())
+                elif source[lt + 1] in "!?":
+                    close = source.find(">", lt)
+            if close < 0:
+                self._text(self.stack[-1], "<")
                 at = lt + 1
                 continue
-            at = m.end()
-            if not m[2]:
+            at = close + 1
+            if not m:
                 continue
-            tag = m[2].lower()
+            tag, attrs = m[2].lower(), source[m.end() : close]
             if tag in _BLOCK:
                 self.block += 1
             if m[1]:
-                self._close(stack, tag)
+                self._close(tag)
                 continue
             if tag in _BLOCK and tag not in ("html", "body"):
-                self._pop_to(stack, {"p"}, _FENCES)
+                self._pop_to({"p"}, _FENCES)
             if tag in _CLOSES:
-                while self._pop_to(stack, _CLOSES[tag], {"html", "body", "table", "ul", "ol", "dl"}):
+                while self._pop_to(_CLOSES[tag], {"html", "body", "table", "ul", "ol", "dl"}):
                     pass
             if tag == "body":
-                self._pop_to(stack, {"head"}, set())
-            in_article = any(self.tag[i] in ("article", "main") for i in stack)
-            node = len(self.tag)
+                self._pop_to({"head"}, set())
+            node, up = len(self.tag), self.stack[-1]
+            never, named = _judge(tag, attrs, within[up])
             self.tag.append(tag)
-            self.parent.append(stack[-1])
+            self.parent.append(up)
             self.end.append(node)
-            self.aside.append(self.aside[stack[-1]] or _set_aside(tag, m[3], in_article))
+            self.aside.append(self.aside[up] or never)
+            self.named.append(self.named[up] or named)
+            within.append(within[up] or tag in ("article", "main"))
             if tag == "body" and not self.body:
                 self.body = node
+            if tag == "br":
+                self.texts.append((up, self.block, " "))
             if tag in _RAW:
-                close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
-                self._text(node, source[at : close.start() if close else n])
-                at = close.end() if close else n
-            elif tag not in _VOID and not m[3].rstrip().endswith("/"):
-                stack.append(node)
-        last = len(self.tag) - 1
-        for i in stack:
-            self.end[i] = last
+                found = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
+                self._text(node, source[at : found.start() if found else n])
+                at = found.end() if found else n
+            elif tag not in _VOID and not attrs.rstrip().endswith("/"):
+                self.places.setdefault(tag, []).append(len(self.stack))
+                self.stack.append(node)
+        for i in self.stack:
+            self.end[i] = len(self.tag) - 1
+
+    def _tag_end(self, source: str, at: int) -> int:
+        """The > that ends a tag: outside quotes; the next one if a quote is never closed, here and further on."""
+        i = at
+        while self.strict:
+            m = _STOP.search(source, i)
+            if m and m[0] == ">":
+                return m.start()
+            close = source.find(m[0], m.end()) if m else -1
+            if close < 0:
+                self.strict = False
+            i = close + 1
+        return source.find(">", at)
 
     def _text(self, node: int, s: str) -> None:
         self.texts.append((node, self.block, html.unescape(s)))
 
-    def _pop_to(self, stack: list[int], tags: set, fences: set) -> bool:
+    def _pop_to(self, tags: set, fences: set) -> bool:
         """Close the innermost open element of tags, with what is open in it, unless a fence is before it."""
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] in tags:
-                for i in stack[k:]:
-                    self.end[i] = len(self.tag) - 1
-                del stack[k:]
-                return True
-            if self.tag[stack[k]] in fences:
-                return False
-        return False
-
-    def _close(self, stack: list[int], tag: str) -> None:
+        innermost = lambda names: max((self.places[t][-1] for t in names if self.places.get(t)), default=0)
+        k = innermost(tags)
+        if not k or innermost(fences - tags) > k:
+            return False
+        for i in self.stack[k:]:
+            self.end[i] = len(self.tag) - 1
+            self.places[self.tag[i]].pop()
+        del self.stack[k:]
+        return True
+
+    def _close(self, tag: str) -> None:
         if tag in ("html", "body"):
             return
-        self._pop_to(stack, {tag}, {"body"} if tag in ("div", "section", "article", "main", "table", "ul", "ol", "dl") else _FENCES - {tag})
+        self._pop_to({tag}, {"body"} if tag in ("div", "section", "article", "main", "table", "ul", "ol", "dl") else _FENCES - {tag})
+
+
+def _density(c: int, t: int, lc: int, lt: int, ratio: float) -> float:
+    """Composite density of a node with c characters, t tags, lc linked characters and lt links; ratio: linked characters of all."""
+    if not c:
+        return 0.0
+    t, lt = max(t, 1), max(lt, 1)
+    base = math.log(c / max(c - lc, 1) * lc + ratio * c + math.e)
+    link = max(c / max(lc, 1) * t / lt, 1.0)
+    return c / t * (math.log(link) / math.log(base) if base > 1.0001 else 1.0)
 
 
-def _article(page: _Page) -> list[tuple[int, int]]:
-    """Node ranges that hold the main text."""
+def _article(page: _Page, own: list[int], aside: list[bool]) -> tuple[list[bool], int]:
+    """Whether each node is part of the main text, and the characters of its largest part; own: characters of each node's own text."""
     n = len(page.tag)
-    chars, tags, linked, links = [0] * n, [0] * n, [0] * n, [0] * n
-    all_chars = all_linked = 0
     inside = [False] * n  # a link or within one
     for i in range(1, n):
         inside[i] = page.tag[i] == "a" or inside[page.parent[i]]
-    for node, _, s in page.texts:
-        if page.tag[node] in _RAW:
-            continue
-        size = sum(map(len, s.split()))
-        all_chars += size
-        all_linked += size * inside[node]
-        if not page.aside[node]:
-            chars[node] += size
-            linked[node] += size * inside[node]
+    ratio = sum(c for i, c in enumerate(own) if inside[i]) / (sum(own) or 1)
+    chars = [0 if aside[i] else own[i] for i in range(n)]
+    linked = [c if inside[i] else 0 for i, c in enumerate(chars)]
+    tags, links = [0] * n, [0] * n
     holds = [False] * n  # block elements among the children
     for i in range(n - 1, 0, -1):
-        if page.aside[i]:
+        if aside[i]:
             continue
         p = page.parent[i]
         chars[p] += chars[i]
@@ -165,48 +214,47 @@ def _article(page: _Page) -> list[tuple[int, int]]:
         tags[p] += tags[i] + 1
         links[p] += links[i] + (page.tag[i] == "a")
         holds[p] |= page.tag[i] in _BLOCK and page.tag[i] != "hr"
-    ratio = all_linked / all_chars if all_chars else 0.0
-
-    def density(i: int) -> float:
-        c, t, lc, lt = chars[i], max(tags[i], 1), linked[i], max(links[i], 1)
-        if not c:
-            return 0.0
-        base = math.log(c / max(c - lc, 1) * lc + ratio * c + math.e)
-        link = max(c / max(lc, 1) * t / lt, 1.0)
-        return c / t * (math.log(link) / math.log(base) if base > 1.0001 else 1.0)
-
-    dense = [0.0 if page.aside[i] else density(i) for i in range(n)]
+    dense = [0.0 if aside[i] else _density(chars[i], tags[i], linked[i], links[i], ratio) for i in range(n)]
     sums = [0.0] * n
     for i in range(1, n):
         sums[page.parent[i]] += dense[i]
-    inner = [i for i in range(page.body, n) if not page.aside[i] and holds[i]] or [page.body]
+    inner = [i for i in range(page.body, n) if not aside[i] and holds[i]] or [page.body]
     best = max(inner, key=lambda i: (sums[i], -i))
-    path = [best]
-    while path[-1] != page.body and page.parent[path[-1]] >= 0:
-        path.append(page.parent[path[-1]])
-    threshold = min((dense[i] for i in path), default=0.0)
-    out = [(best, page.end[best])]
-    for below, above in zip(path, path[1:]):
-        out += [(i, page.end[i]) for i in range(above + 1, page.end[above] + 1) if page.parent[i] == above and i != below and page.tag[i] in _BLOCK and chars[i] and dense[i] >= threshold]
-    return out
+    path, up = {best}, best
+    while up != page.body and page.parent[up] >= 0:
+        up = page.parent[up]
+        path.add(up)
+    threshold = min(dense[i] for i in path)
+    part = [False] * n
+    for i in range(n):
+        p = page.parent[i]
+        beside = p in path and p != best and i not in path and page.tag[i] in _BLOCK and chars[i] > 0 and dense[i] >= threshold
+        part[i] = not aside[i] and (i == best or beside or p >= 0 and part[p])
+    return part, chars[best]
 
 
 def main_text(source: str) -> str:
     """The blocks of the page's main text, white space in each made single, joined by two \\n."""
     page = _Page(source)
-    shown = [x for x in page.texts if not page.aside[x[0]]]
-    if not any(s.strip() for _, _, s in shown):
-        # every text was set aside: what classes and ids suggest was wrong
-        never = [False] * len(page.tag)
+    own = [0] * len(page.tag)
+    for node, _, s in page.texts:
+        if page.tag[node] not in _RAW:
+            own[node] += sum(map(len, s.split()))
+    aside = page.aside
+    if not any(c for c, x in zip(own, aside) if not x):
+        # all text was set aside: what roles and hiding suggest was wrong
+        aside = [False] * len(page.tag)
         for i in range(1, len(page.tag)):
-            never[i] = never[page.parent[i]] or page.tag[i] in _NEVER
-        page.aside = never
-        shown = [x for x in page.texts if not page.aside[x[0]]]
-    ranges = _article(page)
+            aside[i] = aside[page.parent[i]] or page.tag[i] in _NEVER
+    part, size = _article(page, own, [x or y for x, y in zip(aside, page.named)])
+    if any(page.named) and 10 * size < sum(c for c, x in zip(own, aside) if not x):
+        other, all_of_it = _article(page, own, aside)
+        if 10 * size < all_of_it:
+            part = other
     blocks: dict[int, list[str]] = {}
-    for node, block, s in shown:
-        if any(a <= node <= z for a, z in ranges):
-            blocks.setdefault(block, []).append(" " if page.tag[node] == "br" else s)
+    for node, block, s in page.texts:
+        if part[node]:
+            blocks.setdefault(block, []).append(s)
     lines = (" ".join("".join(b).split()) for b in blocks.values())
     return "\n\n".join(x for x in lines if x)
 
