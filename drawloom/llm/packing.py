@@ -4,15 +4,17 @@ Each task packs the rows of its own input partition as they come, without a
 shuffle: whole windows of a long document go out at once, and what is left of it
 goes to the fill level that makes the sum over levels of squared numbers of
 partly filled windows least (the fullest of equal ones). The levels are one
-array of `window` counts. Partly filled windows wait in the task; at its end, or
-when over `waiting` windows wait, their pieces are laid one after another and
-cut into whole windows, and the last part into powers of two, which need no
-padding. A task's state is the counts and at most waiting * window ids, however
+array of `window` counts. Partly filled windows wait in the task. At its end, or
+when over `waiting` windows wait, they go out as they were filled, from the fullest
+on; the room left in each takes pieces of the emptiest windows, which alone are
+cut, and the last window is cut into powers of two, so nothing is padded.
+A task's state is the counts and at most waiting * window ids, however
 many documents it reads.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -39,6 +41,24 @@ _SPECIAL = "<|"  # how the names of special tokens begin
 _PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^\sa-z0-9{_LETTERS}]+")
 
 
+#: How a tokenizer must prepare texts for its parts to be split here.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def _is_plain(path: str) -> bool:
+    """Whether the tokenizer splits texts as word_tokenizer() does."""
+    with open(path) as f:
+        d = json.load(f)
+    m = d["model"]
+    return (
+        d["normalizer"] == _NORMALIZER and d["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [_SPLIT, _BYTES]} and not d["post_processor"] and not d["truncation"]
+        and m["type"] == "BPE" and not m["dropout"] and not m["ignore_merges"] and not m["continuing_subword_prefix"]
+        and all(t["content"].startswith(_SPECIAL) and not t["normalized"] for t in d["added_tokens"])
+    )
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable stand-in of each byte in byte-level vocabularies: itself if it is one, else the next character from 256 on."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -70,19 +90,24 @@ class _Store:
 def word_tokenizer(path: str, end: int | None, words: int = 400_000):
     """A function from texts to id arrays, equal to encoding each text whole and adding `end`.
 
-    For lower-casing word-end vocabularies, which split at white space, letters,
+    For lower-casing vocabularies, which split at white space, letters,
     digits and other signs. Texts of plain characters are split here with the
     same pattern and each distinct part goes to the merges once while it stays in
     the store of about `words` parts. A word with any other character, or that may hold the name of
-    a special token, is encoded by the whole tokenizer.
+    a special token, is encoded by the whole tokenizer; so are all texts if the
+    tokenizer prepares them in any other way.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
+    tail = np.array([] if end is None else [end], np.uint32)
+    if not _is_plain(path):
+        tok.no_truncation()
+        tok.no_padding()
+        return lambda texts: [np.concatenate((np.array(e.ids, np.uint32), tail)) for e in tok.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
     merges = tok.model
     letters = _byte_letters()
-    tail = np.array([] if end is None else [end], np.uint32)
     store = _Store(words)
 
     def parts(text: str) -> list[str]:
@@ -126,6 +151,7 @@ class Packer:
         self.count = np.zeros(window + 1, np.int64)  # of waiting windows by fill
         self.open: dict[int, list[list]] = {}  # fill: windows, each the list of its pieces
         self.n_open = 0
+        self.placed = 0  # ids that close() has let out in the window they were placed in
 
     def _out(self, held: list) -> list:
         rows, at = [], 0
@@ -168,22 +194,41 @@ class Packer:
         return rows + self.close() if self.n_open > self.most else rows
 
     def close(self) -> list:
-        rows, held, space = [], [], self.window
-        left = int(np.arange(len(self.count)) @ self.count)
-        whole = left - left % self.window
-        parts = [self.window] * (whole // self.window) + [1 << k for k in range((left - whole).bit_length() - 1, -1, -1) if (left - whole) >> k & 1]
-        parts.reverse()
-        space = parts.pop() if parts else 0
-        for fill in sorted(self.open, reverse=True):
-            for window in self.open[fill]:
-                for doc, start, ids, total in window:
-                    while len(ids):
-                        held.append((doc, start, ids[:space], total))
-                        start, took = start + min(space, len(ids)), min(space, len(ids))
-                        ids, space = ids[took:], space - took
-                        if not space:
-                            rows += self._out(held)
-                            held, space = [], parts.pop() if parts else 0
+        """The waiting windows, fullest first, each filled up from the emptiest; of the last one a sequence for each power of two in its length."""
+        rows = []
+        held = [w for fill in sorted(self.open, reverse=True) for w in self.open[fill]]
+        loose: list = []  # pieces of windows that were taken apart, last first
+        i, j = 0, len(held)
+        while i < j:
+            window, room = held[i], self.window - sum(len(x[2]) for x in held[i])
+            i += 1
+            while room:
+                if not loose:
+                    if i == j:
+                        break
+                    j -= 1
+                    loose = held[j][::-1]
+                doc, start, ids, total = loose.pop()
+                window = [*window, (doc, start, ids[:room], total)]
+                if len(ids) > room:
+                    loose.append((doc, start + room, ids[room:], total))
+                room -= min(room, len(ids))
+            if room:
+                loose = window[::-1]
+            else:
+                self.placed += sum(len(x[2]) for x in held[i - 1])
+                rows += self._out(window)
+        left = sum(len(x[2]) for x in loose)
+        for k in range(left.bit_length() - 1, -1, -1):
+            part, room = [], (1 << k) & left
+            while room:
+                doc, start, ids, total = loose.pop()
+                part.append((doc, start, ids[:room], total))
+                if len(ids) > room:
+                    loose.append((doc, start + room, ids[room:], total))
+                room -= min(room, len(ids))
+            if part:
+                rows += self._out(part)
         self.open, self.n_open = {}, 0
         self.count[:] = 0
         return rows

@@ -67,3 +67,36 @@ def test_empty_and_nulls(spark):
     df = spark.createDataFrame([(None, None), (1, "a"), (1, "a")], "doc_id long, text string")
     assert sorted((str(r["doc_id"]), r["length"]) for r in pack(df, tokenizer_path()).collect()) == [("1", 2), ("1", 2), ("None", 1)]
     assert pack(df.limit(0), tokenizer_path()).count() == 0
+
+
+def test_other_tokenizers_are_used_whole():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    texts = ["It's  LOUD\n\n naïve 2024", "", "a<|endoftext|>b"]
+    assert [x.tolist() for x in word_tokenizer(path, 7)([t.encode() for t in texts])] == [[*tok.encode(t, add_special_tokens=False).ids, 7] for t in texts]
+
+
+def test_close_keeps_windows_as_they_were_placed():
+    r = np.random.default_rng(3)
+    for window, n in ((16, 200), (4096, 300), (64, 1), (64, 0)):
+        p = Packer(window, 0, 10_000)
+        rows, docs = [], [int(r.integers(1, 3 * window)) for _ in range(n)]
+        for d, k in enumerate(docs):
+            rows += p.add(d, np.full(k, d, np.uint32))
+        waits = sum(len(x[2]) for ws in p.open.values() for w in ws for x in w)
+        rows += p.close()
+        seqs, seen = defaultdict(int), defaultdict(list)
+        for doc, start, length, ids, total, seq, at in rows:
+            assert at == seqs[seq] and len(ids) == 4 * length > 0
+            seqs[seq] += length
+            seen[doc].append((start, length))
+        assert all(x <= window and x & (x - 1) == 0 for x in seqs.values())
+        for d, k in enumerate(docs):
+            at = 0
+            for start, length in sorted(seen[d]):
+                assert start == at
+                at += length
+            assert at == k
+        assert 2 * p.placed >= waits - 2 * window
