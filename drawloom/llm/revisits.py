@@ -58,14 +58,17 @@ def resolve_revisits(records: DataFrame, slice_width: int = 86_400) -> DataFrame
     revisit is resolved if the validators agree, unverified if there is none to
     compare, a mismatch if they differ (headers are then its own), and
     without_response if no response of the URL has a smaller ts. Of responses at
-    the same ts the largest record_id counts. A null ts is before all others.
-    Repeated revisits give a row each. Extra columns are not carried.
+    the same ts the largest record_id counts. A null ts is at no known time: such a
+    response is earlier than nothing, such a revisit has none before it, and its ts
+    stays null. Null urls, and those of which nothing is left, are no url that could have a response. Repeated revisits give a row each. Extra columns are not carried.
     """
     r = records.select(
         F.col("record_id").cast("long").alias("record_id"), canonical_url(F.col("url")).alias("canonical_url"),
-        F.coalesce(F.col("ts").cast("long"), F.lit(-(2**62))).alias("ts"), F.col("kind").alias("kind"), F.col("digest").alias("digest"), lower_names(F.col("headers")).alias("headers"),
+        F.col("ts").cast("long").alias("ts"), F.col("kind").alias("kind"), F.col("digest").alias("digest"), lower_names(F.col("headers")).alias("headers"),
     ).where(F.col("kind").isin("response", "revisit"))
-    r = r.withColumn("slice", F.floor(F.col("ts") / slice_width))
+    known = F.col("ts").isNotNull() & (F.col("canonical_url") != "")
+    lost = r.where((F.col("kind") == "revisit") & ~known)
+    r = r.where(known).withColumn("slice", F.floor(F.col("ts") / slice_width))
     full = F.when(F.col("kind") == "response", F.struct("record_id", "digest", "headers"))
     # at the same ts a revisit comes first: a response is earlier only if its ts is smaller
     order = Window.partitionBy("canonical_url", "slice").orderBy("ts", F.col("kind").desc(), "record_id").rowsBetween(Window.unboundedPreceding, -1)
@@ -74,7 +77,8 @@ def resolve_revisits(records: DataFrame, slice_width: int = 86_400) -> DataFrame
     needed = here.where("near is null").select("canonical_url", "slice").distinct().withColumn("end", F.lit(None).cast(ends.schema["end"].dataType))
     before = Window.partitionBy("canonical_url").orderBy("slice", F.col("end").isNotNull())
     far = ends.unionByName(needed).withColumn("far", F.last("end", ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, -1))).where("end is null").select("canonical_url", "slice", "far")
-    x = here.join(far, ["canonical_url", "slice"], "left").withColumn("source", F.coalesce("near", "far"))
+    x = here.join(far, ["canonical_url", "slice"], "left").withColumn("source", F.coalesce("near", "far")).drop("slice", "near", "far")
+    x = x.unionByName(lost.withColumn("source", F.lit(None).cast(x.schema["source"].dataType)))
     agree = validators_agree(F.col("source.headers"), F.col("headers"), (F.col("source.digest"), F.col("digest")))
     status = F.when(F.col("source").isNull(), "without_response").when(agree, "resolved").when(~agree, "mismatch").otherwise("unverified")
     x = x.withColumn("status", status)
@@ -112,7 +116,7 @@ def captures(pages: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op3: see resolve_revisits, over captures of all pages."""
-    out = resolve_revisits(captures(table(spark, sf_dir, "pages")), slice_width=1000)
+    out = resolve_revisits(captures(table(spark, sf_dir, "pages")), slice_width=100_000)
     h = lambda name: F.try_element_at("headers", F.lit(name))
     return out.select(
         "record_id", "canonical_url", "ts", "source_id", "status", h("etag").alias("etag"), h("last-modified").alias("last_modified"), h("date").alias("date"),
@@ -135,7 +139,7 @@ WITH p AS (
 ), j AS (
   SELECT rev.*, m.id AS source_id, m.tag AS rtag, m.day AS rday, m.dt AS rdt FROM rev LEFT JOIN (
     SELECT rev.record_id, res.*, row_number() OVER (PARTITION BY rev.record_id ORDER BY res.ts DESC, res.id DESC) AS n
-    FROM rev JOIN res ON res.canonical_url = rev.canonical_url AND res.ts < rev.ts) m ON m.record_id = rev.record_id AND m.n = 1
+    FROM rev JOIN res ON res.canonical_url = rev.canonical_url AND rev.canonical_url <> '' AND res.ts < rev.ts) m ON m.record_id = rev.record_id AND m.n = 1
 ), s AS (SELECT *, coalesce(rtag = regexp_replace(tag, '^W/', ''), rday = day) AS agree FROM j
 ), t AS (SELECT *, CASE WHEN source_id IS NULL THEN 'without_response' WHEN agree THEN 'resolved' WHEN NOT agree THEN 'mismatch' ELSE 'unverified' END AS status FROM s)
 SELECT record_id, canonical_url, ts, source_id, status,

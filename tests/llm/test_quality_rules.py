@@ -1,5 +1,6 @@
 import re
 
+from drawloom.llm.common import keyed
 from drawloom.llm.quality_rules import RULES, Rule, base_counts, judge, order_rules
 
 
@@ -27,6 +28,13 @@ def test_order_by_rejections_per_second(spark):
     never = Rule("never", lambda t, s: False)
     quick = Rule("quick", lambda t, s: t.startswith(b"7"))
     df = spark.range(200).selectExpr("concat(id % 10, ' b c d e f g h i j k l') as text")
-    assert [r.name for r in order_rules(df, [slow, never, quick])][0] == "quick"
+    assert [r.name for r in order_rules(keyed(df.selectExpr("1 as doc_id", "text"), "doc_id", "text"), [slow, never, quick])][0] == "quick"
     verdicts = [{i: r["kept"] for i, r in enumerate(judge(df.selectExpr("1 as doc_id", "text"), rules).orderBy("word_chars", "kept").collect())} for rules in ([slow, quick, never, *RULES], [*RULES, never, quick, slow])]
     assert verdicts[0] == verdicts[1]
+
+
+def test_long_and_repeated_rows(spark):
+    long = " ".join("".join(chr(97 + int(c)) for c in str(i)) for i in range(300_000))
+    df = spark.createDataFrame([(1, long), (1, long), (2, long + " ### " * 100_000), (3, "a b " * 7)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_words"], r["kept"]) for r in judge(df).collect())
+    assert got == [(1, 300_000, True), (1, 300_000, True), (2, 400_000, False), (3, 14, False)]
