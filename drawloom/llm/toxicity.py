@@ -102,7 +102,7 @@ def graded(toxic: np.ndarray, words: list[list[str]], at: tuple[float, ...] = (0
     for h in (0, 1):
         there = np.flatnonzero(half != h)
         here = np.flatnonzero((half == h) & (toxic > 0))
-        model = fit_features([words[i] for i in there], (toxic[there] > 0).astype(np.int64))
+        model = fit_features([words[i] for i in there], (toxic[there] > 0).astype(np.int64), steps=60)
         score = np.array([sum(model.weights.get(w, 0.0) for w in words[i]) for i in here])
         if len(here):
             cuts = np.quantile(score, at)
