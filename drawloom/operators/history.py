@@ -41,7 +41,7 @@ def apply_events(events: DataFrame, anchor: list[str], prior: DataFrame | None =
     opens a row where none is open; equal attributes change nothing; an equal
     valid_from closes the transaction interval only (a correction), a later one
     the valid interval only, an earlier one is an anomaly and changes nothing;
-    New on an open row is an anomaly; Deleted closes both, and where nothing is open
+    New on an open row is an anomaly; Deleted closes both, at whatever date, and where nothing is open
     opens an empty row and is an anomaly. prior: open rows that the fold starts from.
     """
     e = events.groupBy(*anchor).agg(F.array_sort(F.collect_list(F.struct("tx", "delta_id", "change_type", "valid_from", "attrs"))).alias("events"))
@@ -67,7 +67,7 @@ def apply_events(events: DataFrame, anchor: list[str], prior: DataFrame | None =
             F.when(now.isNull() & (kind == "Deleted"), state(empty, none, odd("deleted_without_current")))
             .when(now.isNull(), state(opened, none, no_odd))
             .when(kind == "New", state(now, none, odd("anchor_collision")))
-            .when(kind == "Deleted", F.when(x["valid_from"] < now["valid_from"], state(now, none, odd("retroactive_correction"))).otherwise(state(nothing, F.array(both_closed), no_odd)))
+            .when(kind == "Deleted", state(nothing, F.array(both_closed), no_odd))
             .when(x["attrs"].eqNullSafe(now["attrs"]), state(now, none, no_odd))
             .when(x["valid_from"] < now["valid_from"], state(now, none, odd("retroactive_correction")))
             .when(x["valid_from"] == now["valid_from"], state(opened, F.array(tx_closed), no_odd))

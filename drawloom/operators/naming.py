@@ -40,9 +40,10 @@ def prefer(candidates: DataFrame, system: str, score: Column) -> DataFrame:
 
 
 def service_score(description: Column, others: Column, texts: Column) -> Column:
-    """In how many texts a word occurs that this description has and the other candidates' do not. texts: array of text."""
+    """In how many texts a word occurs that this description has and that is not common to all candidates. others: array of the other candidates' descriptions; texts: array of text."""
     words = lambda c: F.array_distinct(F.regexp_extract_all(F.upper(F.coalesce(c, F.lit(""))), F.lit("([A-Z0-9]{3,})"), 1))
-    own = F.array_except(words(description), words(others))
+    common = F.aggregate(others, words(description), lambda a, o: F.array_intersect(a, words(o)))
+    own = F.when(F.size(others) > 0, F.array_except(words(description), common)).otherwise(words(description))
     return F.size(F.filter(texts, lambda t: F.exists(own, lambda w: F.array_contains(words(t), w))))
 
 

@@ -39,7 +39,8 @@ class Subject:
 
 
 def uncomposable(tag: Column) -> Column:
-    """Not a line tag: blank, with white space, ending in - , or /, or without a run of three digits."""
+    """Not a line tag: blank, with white space inside, ending in - , or /, or without a run of three digits; outer white space does not count."""
+    tag = F.regexp_replace(tag, r"^\s+|\s+$", "")
     return blank(tag) | tag.rlike(r"\s") | tag.rlike(r"[-,/]$") | ~tag.rlike(r"[0-9]{3,}")
 
 

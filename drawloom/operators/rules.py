@@ -11,11 +11,10 @@ ROLES = ["isolation", "positive", "relief", "trap"]
 
 
 def fluid_class(category: Column, subcategory: Column) -> Column:
-    """flare, steam_condensate, process or utility; unknown is utility. Steam and Condensate count as parts of the subcategory, in this case."""
+    """flare, steam_condensate, process or utility, by the category; unknown is utility. Steam and Condensate count as parts of the subcategory, in this case."""
     sub = F.coalesce(subcategory, F.lit(""))
     steam = (category == "Utility") & (sub.contains("Steam") | sub.contains("Condensate"))
-    flare = (category == "Flare") | sub.contains("Flare")
-    return F.when(flare, "flare").when(steam, "steam_condensate").when(category == "Process", "process").otherwise("utility")
+    return F.when(category == "Flare", "flare").when(steam, "steam_condensate").when(category == "Process", "process").otherwise("utility")
 
 
 def classify_fluids(codes: DataFrame, fluids: DataFrame, code: str = "fluid_code") -> DataFrame:
@@ -67,15 +66,28 @@ def relief_attribution(edges: DataFrame, relief: DataFrame) -> DataFrame:
     return all_of.join(least, "valve").select("valve", "protects", (F.col("protects") == F.col("_m")).alias("single"))
 
 
-def allocate(kind: Column, upstream: Column, downstream: Column, priority: Column) -> Column:
-    """The side that an object on a boundary belongs to: boundary valves to the side of higher priority, traps upstream, sampling upstream, interfaces downstream, instruments to what they measure (upstream)."""
-    return F.when(kind == "boundary", F.when(priority >= 0, upstream).otherwise(downstream)).when(kind.isin("trap", "sampling", "instrument"), upstream).when(kind == "interface", downstream)
+def allocate(kind: Column, side_a: Column, side_b: Column, a_first: Column, steam: Column, upstream: Column, interface: Column, equipment: Column) -> Column:
+    """The side that an object on a boundary belongs to; null for unknown kinds.
+
+    Boundary valves and blinds: side_a if it is commissioned first (at equal priority too), else side_b;
+    traps: the steam side; sampling: upstream; interface valves: the flare or drain side that they are the interface to;
+    vessel and column instruments: the equipment's system.
+    """
+    out = F.when(kind == "boundary", F.when(a_first, side_a).otherwise(side_b))
+    for name, side in (("trap", steam), ("sampling", upstream), ("interface", interface), ("instrument", equipment)):
+        out = out.when(kind == name, side)
+    return out
+
+
+def component_fluid(components: DataFrame, segments: DataFrame, segment: str = "segment_id", fluid: str = "fluid") -> DataFrame:
+    """components with the fluid of the segment that they are part of; null without a segment, or if the segment has none."""
+    s = segments.where(F.col(segment).isNotNull()).groupBy(segment).agg(F.min(fluid).alias(fluid))
+    return components.join(s, segment, "left")
 
 
 def fragment_key(package: Column, klass: Column, fluid: Column, anchor: Column) -> Column:
-    """Identity of a system fragment: package, utility, fluid or package, process, anchor; null where a part is missing."""
-    utility = klass != "process"
-    return F.when(package.isNotNull() & utility & fluid.isNotNull(), F.concat_ws("|", package, F.lit("utility"), fluid)).when(package.isNotNull() & ~utility & anchor.isNotNull(), F.concat_ws("|", package, F.lit("process"), anchor))
+    """Identity of a system fragment: package, utility, fluid or package, process, anchor; null where a part is missing and for other kinds."""
+    return F.when(package.isNotNull() & (klass == "utility") & fluid.isNotNull(), F.concat_ws("|", package, F.lit("utility"), fluid)).when(package.isNotNull() & (klass == "process") & anchor.isNotNull(), F.concat_ws("|", package, F.lit("process"), anchor))
 
 
 def materialise(classes: DataFrame, flare: DataFrame, supply: DataFrame, relief: DataFrame) -> DataFrame:

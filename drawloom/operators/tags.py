@@ -39,11 +39,23 @@ def missing_fields(groups: list[list[Field]], fields: dict[str, Column]) -> Colu
     return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
 
 
-def decode(tag: Column, fluid: Column, unit_digits: int = 2, sequence_digits: int = 3, system_digits: int = 0, suffix: str | None = None, separator: str = "-") -> Column:
-    """struct(system, unit, sequence) of an item tag: what follows the separator, or the fluid code where there is none; the suffix is cut; null unless digits of at least the needed length."""
-    after = F.when(F.instr(tag, separator) > 0, F.substring_index(tag, separator, -1)).when(F.startswith(tag, fluid), F.substr(tag, F.length(fluid) + 1)).otherwise(tag)
-    core = F.regexp_replace(after, f"{suffix}$", "") if suffix else after
+def decode(
+    tag: Column, fluid: Column, unit_digits: int = 2, sequence_digits: int = 3, system_digits: int = 0, suffix: Column | str | None = None, separator: str = "-", unit_codes: list[str] | None = None,
+) -> Column:
+    """struct(system, unit, sequence, unit_known) of an item tag: what follows the first separator, or the fluid code where there is none.
+
+    The suffix (of all rows or a column) is cut; null unless digits of at least
+    the needed length are left. unit_known: whether unit_codes has the unit (false without codes).
+    """
+    at = F.instr(tag, separator)
+    after = F.when(at > 0, F.substr(tag, at + len(separator))).when(F.startswith(tag, fluid), F.substr(tag, F.length(fluid) + 1)).otherwise(tag)
+    core = after
+    if suffix is not None:
+        end = F.lit(suffix) if isinstance(suffix, str) else F.coalesce(suffix, F.lit(""))
+        core = F.when(F.endswith(after, end), F.substr(after, F.lit(1), F.length(after) - F.length(end))).otherwise(after)
     need = system_digits + unit_digits + sequence_digits
     ok = core.rlike(r"\A[0-9]+\z") & (F.length(core) >= need)
     s, u = system_digits, unit_digits
-    return F.when(ok, F.struct(F.nullif(F.substr(core, F.lit(1), F.lit(s)), F.lit("")).alias("system"), F.substr(core, F.lit(s + 1), F.lit(u)).alias("unit"), F.substr(core, F.lit(s + u + 1), F.lit(sequence_digits)).alias("sequence")))
+    unit = F.substr(core, F.lit(s + 1), F.lit(u))
+    known = unit.isin(unit_codes) if unit_codes else F.lit(False)
+    return F.when(ok, F.struct(F.nullif(F.substr(core, F.lit(1), F.lit(s)), F.lit("")).alias("system"), unit.alias("unit"), F.substr(core, F.lit(s + u + 1), F.lit(sequence_digits)).alias("sequence"), known.alias("unit_known")))

@@ -169,3 +169,9 @@ def line_hierarchy(segments: DataFrame, packages: DataFrame) -> DataFrame:
     best = p.groupBy("pns_tag", "package").agg(F.count("*").alias("n")).groupBy("pns_tag").agg(F.max_by("package", F.struct("n", "package")).alias("package"))
     order = F.regexp_replace("package", r"\D", "")
     return segments.join(best, "pns_tag", "left").groupBy("package", order.alias("package_order"), "unit", "pns_tag", "subline_tag").agg(F.count("*").alias("n_segments"))
+
+
+def drawing_number(attribute: Column, path: Column) -> Column:
+    """The sheet's DrawingNumber attribute; where it is missing or empty, the file's name without folder, .xml and a format suffix."""
+    stem = F.regexp_replace(F.regexp_extract(path, r"([^/]*)\z", 1), r"(?i)\.xml\z", "")
+    return F.coalesce(F.nullif(attribute, F.lit("")), F.regexp_replace(stem, r"_(Dexpi|Post)\z", ""))

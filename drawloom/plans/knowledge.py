@@ -254,7 +254,36 @@ def l07(spark, d):
 @query("l08_allocate", "SELECT event_id, CASE event_type WHEN 'click' THEN CASE WHEN value >= 50 THEN 'up' ELSE 'down' END WHEN 'view' THEN 'up' WHEN 'purchase' THEN 'down' END AS side FROM events")
 def l08(spark, d):
     kind = F.when(F.col("event_type") == "click", "boundary").when(F.col("event_type") == "view", "trap").when(F.col("event_type") == "purchase", "interface").otherwise("none")
-    return t(spark, d, "events").select("event_id", rules.allocate(kind, F.lit("up"), F.lit("down"), F.col("value") - 50).alias("side"))
+    return t(spark, d, "events").select("event_id", rules.allocate(kind, F.lit("up"), F.lit("down"), F.col("value") >= 50, F.lit("up"), F.lit("up"), F.lit("down"), F.lit("up")).alias("side"))
+
+
+@query("l08_allocation_sides", "SELECT l_orderkey, l_linenumber, CASE l_linenumber % 6 WHEN 0 THEN CASE WHEN l_quantity <= l_tax * 500 THEN 'a' ELSE 'b' END WHEN 1 THEN 'steam' WHEN 2 THEN 'upstream' WHEN 3 THEN l_returnflag WHEN 4 THEN 'equipment' END AS side FROM lineitem")
+def l08s(spark, d):
+    n, x = F.col("l_linenumber") % 6, F.lit
+    kind = F.when(n == 0, "boundary").when(n == 1, "trap").when(n == 2, "sampling").when(n == 3, "interface").when(n == 4, "instrument").otherwise("other")
+    side = rules.allocate(kind, x("a"), x("b"), F.col("l_quantity") <= F.col("l_tax") * 500, x("steam"), x("upstream"), F.col("l_returnflag"), x("equipment"))
+    return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", side.alias("side"))
+
+
+@query("l04_component_fluid", "SELECT l_orderkey, l_linenumber, o_orderpriority AS fluid FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 7 <> 0 THEN l_orderkey END AS seg FROM lineitem) LEFT JOIN (SELECT o_orderkey, o_orderpriority FROM orders WHERE o_custkey % 5 <> 0) ON o_orderkey = seg")
+def l04(spark, d):
+    c = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_partkey") % 7 != 0, F.col("l_orderkey")).alias("segment_id"))
+    s = t(spark, d, "orders").select(F.col("o_orderkey").alias("segment_id"), F.when(F.col("o_custkey") % 5 != 0, F.col("o_orderpriority")).alias("fluid"))
+    return rules.component_fluid(c, s).select("l_orderkey", "l_linenumber", "fluid")
+
+
+@query("l01_flare_by_category_only", "SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN 'flare' WHEN p_size % 5 = 1 AND p_partkey % 2 = 0 THEN 'steam_condensate' WHEN p_size % 5 = 2 THEN 'process' ELSE 'utility' END AS fluid_class FROM part")
+def l01f(spark, d):
+    n = F.col("p_size") % 5
+    category = F.when(n == 0, "Flare").when(n == 1, "Utility").when(n == 2, "Process").when(n == 3, "Utility")
+    sub = F.when(n == 1, F.when(F.col("p_partkey") % 2 == 0, "Flare Steam").otherwise("Flare header")).otherwise("Flare")
+    return t(spark, d, "part").select("p_partkey", rules.fluid_class(category, sub).alias("fluid_class"))
+
+
+@query("l09_unknown_kinds", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'S|utility|' || o_orderpriority WHEN 'O' THEN 'S|process|' || o_custkey END AS key FROM orders")
+def l09u(spark, d):
+    kind = F.when(F.col("o_orderstatus") == "F", "utility").when(F.col("o_orderstatus") == "O", "process").otherwise("drain")
+    return t(spark, d, "orders").select("o_orderkey", rules.fragment_key(F.lit("S"), kind, F.col("o_orderpriority"), F.col("o_custkey").cast("string")).alias("key"))
 
 
 @query("l09_fragment_key", "SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 AND c_nationkey % 2 = 0 THEN 'S1|utility|' || c_mktsegment WHEN c_custkey % 4 <> 0 AND c_custkey % 3 <> 0 THEN 'S1|process|' || c_name END AS key FROM customer")

@@ -174,6 +174,28 @@ def r10(spark, d):
     return c.where("x is not null").select("c_custkey", "x.unit", "x.sequence")
 
 
+@query("r10_decode_more", """WITH x AS (SELECT l_orderkey, l_linenumber, l_orderkey + 10000000 AS n, l_suppkey % 3 = 0 AS two, CASE WHEN l_linenumber % 2 = 0 THEN 'XY' END AS suffix FROM lineitem) SELECT l_orderkey, l_linenumber, substr(CAST(n AS VARCHAR), 1, 1) AS system, substr(CAST(n AS VARCHAR), 2, 2) AS unit, substr(CAST(n AS VARCHAR), 4, 3) AS sequence, substr(CAST(n AS VARCHAR), 2, 2) IN ('00', '01') AS unit_known FROM x WHERE NOT two""")
+def r10m(spark, d):
+    x = t(spark, d, "lineitem").withColumn("suffix", F.when(F.col("l_linenumber") % 2 == 0, "XY"))
+    tag = F.concat(F.lit("PG-"), F.when(F.col("l_suppkey") % 3 == 0, "14-").otherwise(""), (F.col("l_orderkey") + 10000000).cast("string"), F.coalesce("suffix", F.lit("")))
+    x = x.select("l_orderkey", "l_linenumber", tags.decode(tag, F.lit("PG"), system_digits=1, suffix=F.col("suffix"), unit_codes=["00", "01"]).alias("x"))
+    return x.where("x is not null").select("l_orderkey", "l_linenumber", "x.*")
+
+
+@query("r18_drawing_number", r"""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN l_returnflag WHEN l_linenumber % 3 = 1 THEN 'P-' || l_partkey ELSE 'P-' || l_partkey || '_Dexpi_x' END AS drawing_number FROM lineitem""")
+def r18(spark, d):
+    n, p = F.col("l_linenumber") % 3, F.col("l_partkey").cast("string")
+    path = F.concat(F.lit("/in/a_Dexpi.xml/P-"), p, F.when(n == 1, F.when(F.col("l_suppkey") % 2 == 0, "_Dexpi.XML").otherwise("_Post.xml")).otherwise("_Dexpi_x.xml"))
+    return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", topology.drawing_number(F.when(n == 0, F.col("l_returnflag")).when(n == 1, ""), path).alias("drawing_number"))
+
+
+@query("q03_uncomposable_trimmed", "SELECT o_orderkey, NOT (o_custkey % 4 = 0 AND o_orderkey >= 100) AS bad FROM orders")
+def q03t(spark, d):
+    k, n = F.col("o_custkey") % 4, F.col("o_orderkey").cast("string")
+    tag = F.when(k == 0, F.concat(F.lit(" \t PG-"), n, F.lit(" "))).when(k == 1, F.concat(F.lit("PG "), n)).when(k == 2, F.concat(F.lit("PG"), n, F.lit("- "))).otherwise("  ")
+    return t(spark, d, "orders").select("o_orderkey", quality.uncomposable(tag).alias("bad"))
+
+
 @query("r11_compose_tag", """SELECT p_partkey, CASE WHEN p_size % 4 <> 0 THEN concat_ws('-', CASE WHEN p_size % 3 <> 0 THEN CAST(p_size AS VARCHAR) || '"' END, p_brand, nullif(coalesce(CASE WHEN p_size % 2 = 0 THEN 'T' || p_type END, ''), '')) END AS tag, CASE WHEN p_size % 4 = 0 THEN 'brand' ELSE '' END AS missing FROM part""")
 def r11(spark, d):
     groups = [[Field("size", suffix='"')], [Field("brand", required=True)], [Field("kind", prefix="T")]]

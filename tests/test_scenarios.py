@@ -222,6 +222,17 @@ def test_anomalies(spark):
     assert odd == ["deleted_without_current", "anchor_collision", "retroactive_correction"] and len(rows) == 1
 
 
+def test_deleted_before_the_open_row_closes_it(spark):
+    rows, odd = fold(spark, ("New", "a", D(2024, 2, 1), T(2024, 2, 2)), ("Deleted", None, D(2024, 1, 1), T(2024, 3, 2)))
+    assert rows == [("a", D(2024, 2, 1), D(2024, 1, 1), T(2024, 2, 2), T(2024, 3, 2))] and not odd
+
+
+def test_words_common_to_some_candidates_still_tell_them_apart(spark):
+    c = spark.createDataFrame([(1, "RED PUMP", ["RED FAN PUMP", "BLUE PUMP"]), (1, "RED FAN PUMP", ["RED PUMP", "BLUE PUMP"]), (1, "BLUE PUMP", ["RED PUMP", "RED FAN PUMP"])], "s int, d string, o array<string>")
+    best = naming.prefer(c, "s", naming.service_score(F.col("d"), F.col("o"), F.array(F.lit("the red one"))))
+    assert {r["d"] for r in best.collect()} == {"RED PUMP", "RED FAN PUMP"}
+
+
 def test_fold_goes_on_from_open_rows_and_as_of(spark):
     e = spark.createDataFrame([("K", "New", "a", D(2024, 1, 1), T(2024, 1, 2), "d0")], EVENT)
     prior, _ = history.apply_events(e, ["k"])
@@ -371,7 +382,7 @@ def test_lookup_problems_and_prefer(spark):
     got = {r["id"]: (r["v"], r["problem"]) for r in naming.lookup(rows, table, [("code", "code")], "v", "id").collect()}
     assert got == {1: ("A", None), 2: (None, "several"), 3: (None, "blank"), 4: (None, "none")}
     c = spark.createDataFrame([(1, "FEED PUMP", "BOILER FEED"), (1, "BOILER FEED", "FEED PUMP"), (2, "X", "")], "s int, d string, o string")
-    best = naming.prefer(c, "s", naming.service_score(F.col("d"), F.col("o"), F.array(F.lit("to boiler"), F.lit("feed"))))
+    best = naming.prefer(c, "s", naming.service_score(F.col("d"), F.array("o"), F.array(F.lit("to boiler"), F.lit("feed"))))
     assert {(r["s"], r["d"]) for r in best.collect()} == {(1, "BOILER FEED"), (2, "X")}
     assert naming.convention_issues([{"Field": "f", "Source": "zzz"}, {"Field": "g", "Source": "lookup", "Table": "t", "Column": "c"}], {"lookup"}, {"t": ["a"]}) == ["f: unknown source zzz", "g: t has no column c"]
 
