@@ -24,3 +24,20 @@ def test_cut_repeats(spark):
     assert set(got) == {1, 3, 4, None} and got[4] == (None, 9) and got[None] == ("alone", 9)
     assert got[1][0].split() == ["head", "tail", "ü"] and got[1][1] == len(got[1][0])
     assert got[3][0].split() == ["mine"]
+
+
+def test_nulls_repeats_clashes_and_empty_tables(spark, tmp_path):
+    prose = lambda k, n: " ".join("".join(chr(97 + int(c)) for c in str((i + k * 1000) * 7919)) for i in range(n))
+    rows = [(1, prose(1, 60)), (1, prose(1, 60)), (2, prose(1, 60).upper()), (3, prose(3, 80) + " x"), (4, prose(3, 80) + " y"), (None, prose(5, 30)), (None, prose(5, 30)), (7, None), (7, None), (8, ""), (9, prose(9, 40))]
+    names = "doc_id long, text string"
+    df = spark.createDataFrame(rows, names).selectExpr("*", "'x' as lang", "1 as k1", "2 as k2", "3 as key_0", "true as stays", "cast(null as string) as source", "length(text) as n_chars")
+    labels = spark.createDataFrame([(9, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    for name, d in (("some", df), ("none", df.limit(0))):
+        folder = str(tmp_path / name)
+        d.write.parquet(f"{folder}/documents.parquet")
+        (labels if name == "some" else labels.limit(0)).write.parquet(f"{folder}/labels.parquet")
+        out = corpus_pipeline.run(spark, folder).collect()
+        docs = {r["doc_id"] for r in out if r["doc_tokens"] > 1}
+        # equal texts leave the largest id, similar ones the least; of rows that agree in id and text one stays
+        assert docs == ({2, 3, None, 9} if name == "some" else set())
+        assert sum(r["doc_id"] is None and r["start"] == 0 for r in out) == (name == "some")
