@@ -107,7 +107,7 @@ class _Lattice:
         state = np.arange(n) + np.repeat(np.arange(len(lens)), lens)  # each unit has an end state too
         self.start = np.cumsum(lens + 1) - lens - 1
         at, h = np.arange(n), np.zeros(n, np.uint64)
-        src, size, code, weight = [], [], [], []
+        found, count_at = [], np.zeros(n, np.int64)
         for length in range(1, min(vocab.longest, int(lens.max()) if len(lens) else 0) + 1):
             ok = left[at] >= length
             at, h = at[ok], h[ok]
@@ -122,29 +122,26 @@ class _Lattice:
             hit = piece >= 0
             if length == 1:
                 # a character that is no piece keeps the lattice whole, as its one id or -1 - its code
-                src.append(at)
                 odd, which = np.unique(codes[at[~hit]], return_inverse=True)
                 alone = [vocab.single(chr(c)) for c in odd.tolist()]
                 piece[~hit] = np.array([x[0] if len(x) == 1 else -1 - c for x, c in zip(alone, odd.tolist())], np.int64)[which]
-                code.append(piece)
-                weight.append(np.where(hit, weights[k], vocab.rare))
-                size.append(np.ones(len(at), np.int64))
+                src, code, weight = at, piece, np.where(hit, weights[k], vocab.rare)
             else:
-                src.append(at[hit])
-                code.append(piece[hit])
-                weight.append(weights[k[hit]])
-                size.append(np.full(int(hit.sum()), length))
+                src, code, weight = at[hit], piece[hit], weights[k[hit]]
+            # each place has one edge of a length at most, so its rank among the place's edges is what it had before
+            found.append((length, src, count_at[src], code, weight))
+            count_at[src] += 1
             at, h = at[begins], h[begins]
-        src, size, code, weight = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((src, np.int64), (size, np.int64), (code, np.int64), (weight, float)))
-        order = np.argsort(src, kind="stable")
-        src, size, code, weight = src[order], size[order], code[order], weight[order]
         states = n + len(lens)
         count = np.zeros(states, np.int64)
-        if n:
-            count[state] = np.bincount(src, minlength=n)
+        count[state] = count_at
         self.first = np.concatenate(([0], np.cumsum(count)))
-        self.target = state[src] + size
-        self.code = code
+        edges = int(self.first[-1])
+        owner, self.target, self.code, weight = (np.empty(edges, t) for t in (np.int64, np.int64, np.int64, float))
+        for length, src, rank, code, w in found:
+            own = state[src]
+            e = self.first[own] + rank
+            owner[e], self.target[e], self.code[e], weight[e] = own, own + length, code, w
         total = np.zeros(states)
         by_left = np.argsort(left, kind="stable")
         edges_of = np.concatenate(([0], np.cumsum(np.bincount(left)))) if n else [0, 0]
@@ -157,11 +154,17 @@ class _Lattice:
             v = weight[e] + total[self.target[e]]
             top = np.maximum.reduceat(v, begin)
             total[s] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, count[s])), begin))
-        self.logp = np.minimum(weight + total[self.target] - total[state[src]], 0.0)
+        self.logp = np.minimum(weight + total[self.target] - total[owner], 0.0)
         p = np.exp(self.logp)
-        run = np.concatenate(([0.0], np.cumsum(p)))
-        owner = state[src]
-        cum = np.minimum(run[1:] - run[self.first[owner]], 1.0)
+        # summed state by state, so that draws do not depend on what else is in the batch
+        cum, more = p.copy(), np.flatnonzero(count > 1)
+        rank = 1
+        while len(more):
+            e = self.first[more] + rank
+            cum[e] += cum[e - 1]
+            rank += 1
+            more = more[count[more] > rank]
+        np.minimum(cum, 1.0, out=cum)
         cum[self.first[1:][count > 0] - 1] = 1.0
         self.cum = cum
         with np.errstate(divide="ignore"):
@@ -171,32 +174,34 @@ class _Lattice:
         self.ends = count == 0
 
 
-def _uniform(seed: np.ndarray, *parts: np.ndarray) -> np.ndarray:
-    """Numbers in (0, 1) from hashes."""
+def _hash(seed: np.ndarray, *parts) -> np.ndarray:
     for x in parts:
-        seed = mix(seed, np.broadcast_to(np.asarray(x, np.uint64), np.shape(seed)))
-    return ((seed >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+        seed = mix(seed, np.atleast_1d(np.asarray(x, np.uint64)))
+    return seed
+
+
+def _uniform(seed: np.ndarray, *parts) -> np.ndarray:
+    """Numbers in (0, 1) from hashes."""
+    return ((_hash(seed, *parts) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
 def _walk(lat, seeds, r, unit_row, local, state, active):
     """Sample each active unit from its state to its end: the edges in order of unit, and how many each unit has."""
     first, target, cum, ends = lat.first, lat.target, lat.cum, lat.ends
     n, got = np.zeros(len(state), np.int64), []
-    state = state.copy()
-    base = mix(seeds[unit_row], mix(local.astype(np.uint64), np.full(len(local), r + 1, np.uint64))) if len(local) else seeds[:0]
-    live, step = active[~ends[state[active]]] if len(active) else active, 0
+    live = active[~ends[state[active]]] if len(active) else active
+    s = state[live]
+    base = mix(seeds[unit_row[live]], mix(local[live].astype(np.uint64), np.full(len(live), r + 1, np.uint64))) if len(live) else seeds[:0]
     while len(live):
-        s = state[live]
-        e = _upward(cum, first[s], _uniform(base[live], np.uint64(step)))
+        e = _upward(cum, first[s], _uniform(base, len(got)))
         got.append((live, e))
-        n[live] += 1
-        state[live] = target[e]
-        live = live[~ends[state[live]]]
-        step += 1
+        n[live] = len(got)
+        s = target[e]
+        on = ~ends[s]
+        live, s, base = live[on], s[on], base[on]
     out, at = np.zeros(int(n.sum()), np.int64), np.cumsum(n) - n
-    for units, e in got:
-        out[at[units]] = e
-        at[units] += 1
+    for step, (units, e) in enumerate(got):
+        out[at[units] + step] = e
     return out, n
 
 
@@ -231,52 +236,55 @@ def sample_rows(texts: list[str], seeds: np.ndarray, vocab: Vocabulary, k: int)
     start = lat.start[kind] if len(kind) else kind
     local = np.arange(len(start)) - row_unit[unit_row] if len(start) else start
     paths: list[dict] = []
-    top = -np.log(-np.log(_uniform(seeds, np.uint64(0xA))))
+    top = -np.log(-np.log(_uniform(seeds, 0xA)))
 
-    def finish(r, edges, unit, value, parted, branch, excluded, alive):
-        """A path with log probability and the values of its subproblems; parted: first place that is its own."""
+    def finish(r, edges, unit, value, offset, before, left, alive):
+        """A path with log probability and the values of its subproblems. It holds its own edges only: those from place `offset`, before which its log probability is `before`."""
         row = unit_row[unit]
         count = np.bincount(row, minlength=rows)
         end = np.cumsum(count)
         begin = end - count
-        lp = np.cumsum(logp[edges])
-        base = np.concatenate(([0.0], lp))[begin]
-        lp_before = lp - logp[edges] - base[row]
-        place = np.arange(len(edges)) - begin[row]
+        step = logp[edges]
+        lp = np.concatenate(([0.0], np.cumsum(step)))
+        shift = before - lp[begin]
+        lp_before = lp[:-1] + shift[row]
         mu = lp_before + rest[edges]
-        for i, left in excluded.items():  # what is left at the place where the row's path parted
-            j = begin[i] + branch[i]
-            mu[j] = lp_before[j] + left
-        with np.errstate(divide="ignore", invalid="ignore"):
-            g = np.log(-np.log(_uniform(seeds[row], np.uint64(0xB), np.uint64(r), place.astype(np.uint64))))
-            values = -np.logaddexp(-value[row], g - mu)
-        values[~np.isfinite(mu)] = -np.inf
-        values[place < parted[row]] = -np.inf
-        total = np.concatenate(([0.0], lp))[end] - base
-        return {"edges": edges, "unit": unit, "begin": begin, "count": count, "values": values, "log_prob": total, "value": value, "alive": alive, "lp_before": lp_before}
-
-    def best_of(path):
-        """Greatest subproblem value of each row and its place."""
+        if r:  # what is left at the place where the row's path parted
+            j = begin[alive]
+            mu[j] = lp_before[j] + left[alive]
+        # A value is at most mu + 38 and at least min(value, mu - 4) - 1, as the draws are multiples of 2**-54.
+        # At most k of a row's values are ever taken, so places that the k greatest mu surely beat need none.
+        least = np.full(rows, -np.inf)
+        for i, b, n in zip(range(rows), begin.tolist(), count.tolist()):
+            if n > k:
+                least[i] = np.partition(mu[b : b + n], n - k)[n - k]
+        least = np.minimum(value, least - 4.0) - 39.0
+        some = np.flatnonzero((mu >= least[row]) & np.isfinite(mu))
+        near, place = row[some], some + (offset - begin)[row[some]]
+        g = np.log(-np.log(_uniform(_hash(seeds, 0xB, r)[near], place)))
+        values = np.full(len(edges), -np.inf)
+        values[some] = -np.logaddexp(-value[near], g - mu[some])
+        return {"edges": edges, "unit": unit, "begin": begin, "count": count, "values": values, "log_prob": lp[end] + shift, "value": value, "alive": alive, "lp_before": lp_before, "offset": offset}
+
+    def best_of(path, some, best, at):
+        """Greatest subproblem value of the given rows and its place among the path's own edges, into best and at."""
+        v = path["values"]
+        for i, b, n in zip(some.tolist(), path["begin"][some].tolist(), path["count"][some].tolist()):
+            if n:
+                j = int(v[b : b + n].argmax())
+                best[i], at[i] = v[b + j], j
+
+    def bests_of(path):
         best, at = np.full(rows, -np.inf), np.zeros(rows, np.int64)
-        some = np.flatnonzero((path["count"] > 0) & path["alive"])
-        if len(some):
-            v = path["values"]
-            if len(some) == rows:
-                best[some] = np.maximum.reduceat(v, path["begin"][some])
-            else:
-                for i in some:
-                    best[i] = v[path["begin"][i] : path["begin"][i] + path["count"][i]].max()
-            for i in some:
-                if best[i] > -np.inf:
-                    at[i] = int(np.argmax(v[path["begin"][i] : path["begin"][i] + path["count"][i]]))
+        best_of(path, np.flatnonzero(path["alive"]), best, at)
         return best, at
 
     every = np.arange(len(start))
     edges, n = _walk(lat, seeds, 0, unit_row, local, start, every)
-    zeros = np.zeros(rows, np.int64)
-    paths.append(finish(0, edges, np.repeat(every, n), top, zeros, zeros, {}, np.ones(rows, bool)))
-    taken: list[dict[int, tuple[int, list[int]]]] = [{}]  # by path: row -> place where it parted, edges used there
-    bests = [best_of(paths[0])]
+    paths.append(finish(0, edges, np.repeat(every, n), top, np.zeros(rows, np.int64), np.zeros(rows), None, np.ones(rows, bool)))
+    parents = [np.zeros(rows, np.int64)]
+    taken: list[dict[int, list[int]]] = [{}]  # by path: row -> edges used at its first own place
+    bests = [bests_of(paths[0])]
     threshold = np.full(rows, -np.inf)
     for r in range(1, k + 1):
         stack = np.stack([b[0] for b in bests])
@@ -286,50 +294,60 @@ def sample_rows(texts: list[str], seeds: np.ndarray, vocab: Vocabulary, k: int)
             threshold = value
             break
         alive = value > -np.inf
-        keep_edges, keep_unit, state, branch, excluded, used = [], [], start.copy(), np.zeros(rows, np.int64), {}, {}
-        todo = []
+        state, offset, before, left = start.copy(), np.zeros(rows, np.int64), np.zeros(rows), np.full(rows, -np.inf)
+        used, todo, new = {}, [], []
+        draw = _uniform(seeds, 0xC, r)
         for i in np.flatnonzero(alive).tolist():
-            q = paths[which[i]]
-            place = int(bests[which[i]][1][i])
-            b = int(q["begin"][i])
-            at = b + place
+            w = which[i]
+            q = paths[w]
+            place = int(bests[w][1][i])
+            at = int(q["begin"][i]) + place
             old = int(q["edges"][at])
-            where = taken[which[i]].get(i)
-            gone = [*where[1], old] if where and where[0] == place else [old]
+            gone = [*taken[w].get(i, ()), old] if place == 0 else [old]
             s = int(np.searchsorted(first, old, "right")) - 1
             options = [e for e in range(int(first[s]), int(first[s + 1])) if e not in gone]
-            w = np.exp(logp[options])
-            x = float(_uniform(seeds[i : i + 1], np.uint64(0xC), np.uint64(r))[0]) * float(w.sum())
-            e = options[min(int(np.searchsorted(np.cumsum(w), x)), len(options) - 1)]
-            left = [math.exp(logp[o]) for o in options if o != e]
-            excluded[i] = math.log(sum(left)) if left else -math.inf
-            used[i] = (place, gone)
-            branch[i] = place
+            chance = [math.exp(x) for x in logp[options].tolist()]
+            x, n_less = float(draw[i]) * math.fsum(chance), 0
+            while n_less < len(options) - 1 and chance[n_less] < x:
+                x -= chance[n_less]
+                n_less += 1
+            e = options[n_less]
+            others = math.fsum(chance[:n_less] + chance[n_less + 1 :])
+            if others > 0:
+                left[i] = math.log(others)
+            used[i] = gone
+            offset[i], before[i] = q["offset"][i] + place, q["lp_before"][at]
             q["values"][at] = -np.inf
             u = int(q["unit"][at])
-            keep_edges.append(np.append(q["edges"][b:at], e))
-            keep_unit.append(np.append(q["unit"][b:at], u))
+            new.append((u, e))
             state[u] = target[e]
             todo.append(np.arange(u, int(row_unit[i] + n_units[i])))
-        for q in set(which[alive].tolist()):
-            bests[q] = best_of(paths[q])
+        on = np.flatnonzero(alive)
+        for w in set(which[on].tolist()):
+            best_of(paths[w], on[which[on] == w], *bests[w])
         active = np.concatenate(todo) if todo else np.empty(0, np.int64)
         more, n = _walk(lat, seeds, r, unit_row, local, state, active)
-        # by row: the shared part, the new edge, and what was sampled after it
-        edges = np.concatenate([*keep_edges, more]) if keep_edges else more
-        unit = np.concatenate([*keep_unit, np.repeat(np.arange(len(state)), n)]) if keep_unit else np.repeat(np.arange(len(state)), n)
-        order = np.argsort(unit, kind="stable")
-        paths.append(finish(r, edges[order], unit[order], np.where(alive, value, 0.0), branch, branch, excluded, alive))
+        # by row: the new edge and what was sampled after it
+        unit = np.repeat(active, n[active])
+        head = np.searchsorted(unit_row[unit], on)
+        edges = np.insert(more, head, [e for _, e in new])
+        unit = np.insert(unit, head, [u for u, _ in new])
+        paths.append(finish(r, edges, unit, np.where(alive, value, 0.0), offset, before, left, alive))
+        parents.append(which)
         taken.append(used)
-        bests.append(best_of(paths[-1]))
+        bests.append(bests_of(paths[-1]))
     out: list[list[tuple]] = [[] for _ in range(rows)]
-    for path in paths:
+    whole: list[list[np.ndarray | None]] = []
+    for path, parent in zip(paths, parents):
         code = piece[path["edges"]]
-        long = np.flatnonzero(code < 0)
+        whole.append([None] * rows)
         for i in np.flatnonzero(path["alive"]).tolist():
             b, z = int(path["begin"][i]), int(path["begin"][i] + path["count"][i])
             ids = code[b:z]
-            if len(long) and (ids < 0).any():
+            if path["offset"][i]:
+                ids = np.concatenate((whole[parent[i]][i][: path["offset"][i]], ids))
+            whole[-1][i] = ids
+            if (ids < 0).any():
                 ids = np.array([x for c in ids.tolist() for x in ((c,) if c >= 0 else vocab.single(chr(-1 - c)))], np.int64)
             lp = float(path["log_prob"][i])
             d = lp - float(threshold[i])
