@@ -1,4 +1,4 @@
-"""Bi-temporal history: valid time by transaction time, as a fold per anchor that stays in the JVM."""
+"""Bi-temporal history: valid time by transaction time, as a fold over each anchor's sorted events."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from drawloom.functions.text import first_date
 
 DATE_FORMATS = ["yyyy/MM/dd", "yyyy-MM-dd", "ddMMMyy", "dd-MMM-yy", "dd/MM/yyyy", "ddMMMyyyy"]
-_ROW = "struct<attrs:string,valid_from:date,valid_to:date,tx_from:timestamp,tx_to:timestamp,superseded_by_delta:string>"
-_STATE = f"struct<now:{_ROW},done:array<{_ROW}>,odd:array<struct<reason:string,delta_id:string,tx:timestamp>>>"
 
 
 def valid_from(revisions: DataFrame, drawing: str, date: str) -> DataFrame:
@@ -42,42 +40,88 @@ def apply_events(events: DataFrame, anchor: list[str], prior: DataFrame | None =
     valid_from closes the transaction interval only (a correction), a later one
     the valid interval only, an earlier one is an anomaly and changes nothing;
     New on an open row is an anomaly; Deleted closes both, at whatever date, and where nothing is open
-    opens an empty row and is an anomaly. prior: open rows that the fold starts from.
+    opens an empty row and is an anomaly. prior: open rows that the fold starts from, for
+    anchors that are not null and have events; of several for one anchor the last by tx_from goes on, the others stay as they are.
+
+    Each task streams its events in order and holds one open row, however long an anchor's history is.
     """
-    e = events.groupBy(*anchor).agg(F.array_sort(F.collect_list(F.struct("tx", "delta_id", "change_type", "valid_from", "attrs"))).alias("events"))
-    nothing = F.lit(None).cast(_ROW)
+    e = events.select(*anchor, F.lit(True).alias("_event"), F.unix_micros(F.col("tx").cast("timestamp")).alias("_tx"), F.col("delta_id").cast("string").alias("_by"), F.col("change_type").cast("string").alias("_kind"), F.unix_date(F.col("valid_from").cast("date")).alias("_from"), F.col("attrs").cast("string").alias("_attrs"))
     if prior is not None:
-        e = e.join(prior.where("valid_to is null and tx_to is null").select(*anchor, F.struct("attrs", "valid_from", "valid_to", "tx_from", "tx_to", "superseded_by_delta").cast(_ROW).alias("open")), anchor, "left")
-    else:
-        e = e.withColumn("open", nothing)
-    row = lambda attrs, vf, vt, tf, tt, by: F.struct(attrs.alias("attrs"), vf.alias("valid_from"), vt.alias("valid_to"), tf.alias("tx_from"), tt.alias("tx_to"), by.alias("superseded_by_delta")).cast(_ROW)
-    no_date, no_time, no_text = F.lit(None).cast("date"), F.lit(None).cast("timestamp"), F.lit(None).cast("string")
-    none, no_odd = F.array().cast(f"array<{_ROW}>"), F.array().cast("array<struct<reason:string,delta_id:string,tx:timestamp>>")
-
-    def step(s, x):
-        now, kind = s["now"], x["change_type"]
-        odd = lambda reason: F.array(F.struct(F.lit(reason).alias("reason"), x["delta_id"].alias("delta_id"), x["tx"].alias("tx")))
-        state = lambda a, done, o: F.struct(a.alias("now"), F.concat(s["done"], done).alias("done"), F.concat(s["odd"], o).alias("odd")).cast(_STATE)
-        opened = row(x["attrs"], x["valid_from"], no_date, x["tx"], no_time, no_text)
-        tx_closed = row(now["attrs"], now["valid_from"], now["valid_to"], now["tx_from"], x["tx"], x["delta_id"])
-        valid_closed = row(now["attrs"], now["valid_from"], x["valid_from"], now["tx_from"], now["tx_to"], x["delta_id"])
-        both_closed = row(now["attrs"], now["valid_from"], x["valid_from"], now["tx_from"], x["tx"], x["delta_id"])
-        empty = row(F.coalesce(x["attrs"], F.lit("{}")), x["valid_from"], no_date, x["tx"], no_time, no_text)
-        return (
-            F.when(now.isNull() & (kind == "Deleted"), state(empty, none, odd("deleted_without_current")))
-            .when(now.isNull(), state(opened, none, no_odd))
-            .when(kind == "New", state(now, none, odd("anchor_collision")))
-            .when(kind == "Deleted", state(nothing, F.array(both_closed), no_odd))
-            .when(x["attrs"].eqNullSafe(now["attrs"]), state(now, none, no_odd))
-            .when(x["valid_from"] < now["valid_from"], state(now, none, odd("retroactive_correction")))
-            .when(x["valid_from"] == now["valid_from"], state(opened, F.array(tx_closed), no_odd))
-            .otherwise(state(opened, F.array(valid_closed), no_odd))
-        )
-
-    first = F.struct(F.col("open").alias("now"), none.alias("done"), no_odd.alias("odd")).cast(_STATE)
-    folded = e.select(*anchor, F.aggregate("events", first, step).alias("s"))
-    rows = folded.select(*anchor, F.explode(F.concat("s.done", F.filter(F.array("s.now"), lambda r: r.isNotNull()))).alias("r")).select(*anchor, "r.*")
-    return rows.withColumn("current", F.col("valid_to").isNull() & F.col("tx_to").isNull()), folded.select(*anchor, F.explode("s.odd").alias("o")).select(*anchor, "o.*")
+        known = prior.where("valid_to is null and tx_to is null").dropna(subset=anchor)
+        e = e.unionByName(known.select(*anchor, F.lit(False).alias("_event"), F.unix_micros(F.col("tx_from").cast("timestamp")).alias("_tx"), F.col("superseded_by_delta").cast("string").alias("_by"), F.lit(None).cast("string").alias("_kind"), F.unix_date(F.col("valid_from").cast("date")).alias("_from"), F.col("attrs").cast("string").alias("_attrs")))
+    e = e.repartition(*anchor).sortWithinPartitions(*anchor, "_event", "_tx", "_by", "_kind", "_from", "_attrs")
+    types = {f.name: f.dataType.simpleString() for f in e.schema.fields}
+    out = ", ".join([*(f"`{c}` {types[c]}" for c in anchor), "attrs string, _a int, _z int, _ta bigint, _tz bigint, superseded_by_delta string, reason string, delta_id string, _tx bigint"])
+    folded = e.mapInArrow(_fold(len(anchor)), out)
+    day, time = (lambda c: F.date_from_unix_date(c)), (lambda c: F.timestamp_micros(c))
+    rows = folded.where("reason is null").select(*anchor, "attrs", day("_a").alias("valid_from"), day("_z").alias("valid_to"), time("_ta").alias("tx_from"), time("_tz").alias("tx_to"), "superseded_by_delta")
+    return rows.withColumn("current", F.col("valid_to").isNull() & F.col("tx_to").isNull()), folded.where("reason is not null").select(*anchor, "reason", "delta_id", time("_tx").alias("tx"))
+
+
+def _fold(n: int):
+    """Rows and anomalies of sorted events; the first n columns are the anchor, then whether it is an event, tx, delta, kind, valid_from, attrs."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        # row: [attrs, valid_from, valid_to, tx_from, tx_to, superseded_by]
+        key, now, waiting = None, None, []
+        for b in batches:
+            out = []
+
+            def put(row=None, odd=(None, None, None)):
+                out.append((*key, *(row or [None] * 6), *odd))
+
+            for x in zip(*(c.to_pylist() for c in b.columns)):
+                is_event, tx, by, kind, since, attrs = x[n:]
+                if x[:n] != key:
+                    if now and not waiting:
+                        put(now)
+                    key, now, waiting = x[:n], None, []
+                if not is_event:
+                    # what was open before comes out only if events follow
+                    waiting.append([attrs, since, None, tx, None, by])
+                    continue
+                if waiting:
+                    *rest, now = waiting
+                    waiting = []
+                    for row in rest:
+                        put(row)
+                opened = [attrs, since, None, tx, None, None]
+                dated = now and since is not None and now[1] is not None
+                if now is None:
+                    now = opened
+                    if kind == "Deleted":
+                        now[0] = "{}" if attrs is None else attrs
+                        put(odd=("deleted_without_current", by, tx))
+                elif kind == "New":
+                    put(odd=("anchor_collision", by, tx))
+                elif kind == "Deleted":
+                    put([now[0], now[1], since, now[3], tx, by])
+                    now = None
+                elif attrs == now[0]:
+                    pass
+                elif dated and since < now[1]:
+                    put(odd=("retroactive_correction", by, tx))
+                elif dated and since == now[1]:
+                    put([*now[:4], tx, by])
+                    now = opened
+                else:
+                    put([*now[:2], since, now[3], now[4], by])
+                    now = opened
+            if out:
+                yield _arrow(pa, b.schema, n, out)
+            schema = b.schema
+        if now and not waiting:
+            yield _arrow(pa, schema, n, [(*key, *now, None, None, None)])
+
+    return run
+
+
+def _arrow(pa, schema, n: int, rows: list[tuple]):
+    t = [*(schema.field(i).type for i in range(n)), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64()]
+    names = [*schema.names[:n], "attrs", "_a", "_z", "_ta", "_tz", "superseded_by_delta", "reason", "delta_id", "_tx"]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), t)], names=names)
 
 
 def current_truth(rows: DataFrame, valid: Column | None = None, tx: Column | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from drawloom.functions.text import blank, no_leading_zeros, normal_label
 from drawloom.operators.tags import Field, compose, missing_fields
+from drawloom.tables import cut, scratch
 
 
 def member_value(members: DataFrame, system: str, value: str) -> DataFrame:
@@ -141,11 +142,20 @@ def fuzzy_candidates(rows: DataFrame, label: str, reference: DataFrame, ref_labe
 
 
 def gap_ranking(used: DataFrame, covered: DataFrame, code: str, boundary: Column | None = None) -> DataFrame:
-    """Codes in use without cover, by boundary-forming first, then by count: with rank."""
+    """Codes in use without cover, by boundary-forming first, then by count: with rank.
+
+    Codes are dealt by ranges of that order; a code's rank is its number in its range after the sizes of the ranges before.
+    """
     flag = boundary if boundary is not None else F.lit(False)
     n = used.where(~blank(F.col(code))).groupBy(code).agg(F.count("*").alias("n"), F.bool_or(flag).alias("boundary")).join(covered.select(code).distinct(), code, "left_anti")
-    w = Window.orderBy(F.col("boundary").desc(), F.col("n").desc(), code)
-    return n.withColumn("rank", F.row_number().over(w))
+    order = [F.col("boundary").desc(), F.col("n").desc(), F.col(code)]
+    with scratch() as keep:
+        dealt = keep(n.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "gaps")
+        # one row per range
+        sizes = dealt.groupBy("_range").agg(F.count("*").alias("_size")).withColumn("_before", F.sum("_size").over(Window.orderBy("_range")) - F.col("_size"))
+        numbered = dealt.withColumn("_n", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+        ranked = numbered.join(sizes.drop("_size"), "_range").withColumn("rank", F.col("_before") + F.col("_n"))
+        return cut(ranked.drop("_range", "_n", "_before"), "gap-ranks")
 
 
 def seed_aliases(seeds: DataFrame, label: str, reference: DataFrame, ref_label: str, target: str) -> tuple[DataFrame, DataFrame]:

@@ -23,19 +23,19 @@ def query(name, sql=None):
 
 
 def part_files(spark, d):
-    """An XML payload for each brand of parts, made by Spark from `part`."""
+    """An XML payload for each brand and thousand of part keys, made by Spark from `part`; its path is brand/thousand."""
     clean = lambda c: F.regexp_replace(F.col(c).cast("string"), "[<>&\"']", " ")
     item = F.concat(F.lit('<PipingComponent ID="'), F.col("p_partkey").cast("string"), F.lit('" ComponentClass="'), clean("p_type"), F.lit('"><GenericAttributes><GenericAttribute Name="ItemTag" Value="'), clean("p_name"), F.lit('"/></GenericAttributes><Position><Location X="'), F.col("p_size").cast("string"), F.lit('" Y="1"/></Position></PipingComponent>'))
     ends = F.concat(F.lit('<Connection FromID="'), F.col("p_partkey").cast("string"), F.lit('" ToID="'), (F.col("p_partkey") + 1).cast("string"), F.lit('"/>'))
-    body = t(spark, d, "part").groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_list(item)), "").alias("items"), F.array_join(F.array_sort(F.collect_list(ends)), "").alias("ends"))
+    body = t(spark, d, "part").groupBy("p_brand", F.expr("p_partkey div 1000").alias("block")).agg(F.array_join(F.array_sort(F.collect_list(item)), "").alias("items"), F.array_join(F.array_sort(F.collect_list(ends)), "").alias("ends"))
     text = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><PlantModel><ShapeCatalogue>'), "items", F.lit('</ShapeCatalogue><PipingNetworkSegment ID="'), F.translate("p_brand", "#", "-"), F.lit('">'), "items", "ends", F.lit("</PipingNetworkSegment></PlantModel>"))
-    return body.select(F.col("p_brand").alias("path"), F.encode(text, "UTF-8").alias("content"))
+    return body.select(F.concat_ws("/", "p_brand", "block").alias("path"), F.encode(text, "UTF-8").alias("content"))
 
 
 @query("s02_shred_xml", """SELECT p_brand AS document, CAST(p_partkey AS VARCHAR) AS component_id, regexp_replace(p_type, '[<>&"'']', ' ', 'g') AS component_class, regexp_replace(p_name, '[<>&"'']', ' ', 'g') AS tag, CAST(p_size AS DOUBLE) AS x, translate(p_brand, '#', '-') AS segment_id FROM part""")
 def s02(spark, d):
     n = xml.shred(part_files(spark, d))
-    return topology.extract_objects(n, topology.COMPONENT_TAGS["DEXPI"]).select("document", "component_id", "component_class", "tag", "x", "segment_id")
+    return topology.extract_objects(n, topology.COMPONENT_TAGS["DEXPI"]).select(F.substring_index("document", "/", 1).alias("document"), "component_id", "component_class", "tag", "x", "segment_id")
 
 
 @query("r02_raw_edges", "SELECT CAST(p_partkey AS VARCHAR) AS from_id, CAST(p_partkey + 1 AS VARCHAR) AS to_id, translate(p_brand, '#', '-') AS owner_segment FROM part")

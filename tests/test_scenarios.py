@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from drawloom.operators import cdc, facts, graph, history, landing, naming, quality, rules, stitch, tags, topology
@@ -423,3 +424,33 @@ def test_project_codes_and_gates(spark):
         from drawloom.functions.text import content_hash
 
         content_hash(F.lit("a"), 100)
+
+
+def test_fold_streams_a_long_history_across_batches(spark):
+    n = 25000  # more than two Arrow batches
+    e = spark.range(n).select(F.lit("hot").alias("k"), F.lit("Modified").alias("change_type"), (F.col("id") % 2).cast("string").alias("attrs"), F.date_add(F.lit(D(2024, 1, 1)), F.col("id").cast("int")).alias("valid_from"), F.timestamp_seconds(F.col("id")).alias("tx"), F.col("id").cast("string").alias("delta_id"))
+    r, odd = history.apply_events(e, ["k"])
+    w = Window.partitionBy("k").orderBy("valid_from")
+    chained = r.withColumn("next", F.lead("valid_from").over(w)).agg(F.count("*"), F.count_if(F.col("valid_to").eqNullSafe(F.col("next"))), F.count_if("current")).first()
+    assert tuple(chained) == (n, n, 1) and odd.count() == 0
+
+
+def test_fold_goes_on_from_prior_rows_of_anchors_with_events(spark):
+    prior = spark.createDataFrame([
+        ("K", "a", D(2024, 1, 1), None, T(2024, 1, 1), None, None), ("K", "b", D(2024, 1, 5), None, T(2024, 1, 5), None, None), ("quiet", "c", D(2024, 1, 1), None, T(2024, 1, 1), None, None), (None, "d", D(2024, 1, 1), None, T(2024, 1, 1), None, None),
+    ], "k string, attrs string, valid_from date, valid_to date, tx_from timestamp, tx_to timestamp, superseded_by_delta string")
+    e = spark.createDataFrame([("K", "Modified", "e", D(2024, 2, 1), T(2024, 2, 2), "d1"), (None, "New", "f", D(2024, 2, 1), None, "d2"), ("L", None, None, None, T(2024, 2, 2), None)], EVENT)
+    r, odd = history.apply_events(e, ["k"], prior)
+    got = sorted(((x["k"], x["attrs"], x["valid_from"], x["valid_to"], x["superseded_by_delta"]) for x in r.collect()), key=repr)
+    assert got == sorted([("K", "a", D(2024, 1, 1), None, None), ("K", "b", D(2024, 1, 5), D(2024, 2, 1), "d1"), ("K", "e", D(2024, 2, 1), None, None), (None, "f", D(2024, 2, 1), None, None), ("L", None, None, None, None)], key=repr)
+    assert odd.count() == 0
+    assert [x.count() for x in history.apply_events(e.limit(0), ["k"], prior)] == [0, 0]
+
+
+def test_gaps_are_ranked_across_ranges(spark):
+    used = spark.range(3000).select(F.explode(F.sequence(F.lit(0), F.col("id") % 7)).alias("x"), F.concat(F.lit("c"), F.col("id")).alias("code"))
+    got = naming.gap_ranking(used, used.where("code = 'c6'"), "code", F.col("code").endswith("3"))
+    want = sorted({(not c.endswith("3"), -(i % 7 + 1), c) for i in range(3000) if (c := f"c{i}") != "c6"})
+    assert [x["code"] for x in got.orderBy("rank").collect()] == [c for _, _, c in want]
+    assert [x["rank"] for x in got.select("rank").orderBy("rank").collect()] == list(range(1, 3000))
+    assert naming.gap_ranking(used.limit(0), used, "code").count() == 0
