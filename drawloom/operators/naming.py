@@ -27,6 +27,43 @@ def lookup(rows: DataFrame, table: DataFrame, on: list[tuple[str, str]], value:
     return g.select(id_col, F.when(n == 1, F.col("candidates")[0]).alias(value), F.when(n == 1, F.lit(None)).when(n > 1, "several").when(F.col("_any"), "blank").otherwise("none").alias("problem"), "candidates")
 
 
+def select(rows: DataFrame, id_col: str, table: DataFrame, on: list[tuple[str, str]], value: str, label: str, scope: tuple[str, DataFrame, str, str] | None = None, match: tuple[str, str] | None = None, ties: list[tuple[str, str]] = ()) -> DataFrame:
+    """For each row the value of the one table row that is left after each stage: id, value, problem, candidates (labels).
+
+    on: pairs (column of rows, column of table). scope: (column of rows, scope table, its
+    key, its column for the table's first key): only listed keys stay. match: (column of rows,
+    list column): the table rows whose comma or semicolon list has the value, or the only
+    row if its list is empty; without match, the only row. ties: pairs of columns; while several are left, those where the
+    pair is equal, if any is. problem: none, scope, unlisted or several. Keys ignore leading zeros
+    and case, null equals nothing.
+    """
+    k = lambda c: no_leading_zeros(F.col(c).cast("string"))
+    items = lambda c: F.array_remove(F.transform(F.split(F.coalesce(F.col(c).cast("string"), F.lit("")), "[,;]"), lambda x: no_leading_zeros(F.trim(x))), "")
+    keys = [f"_k{i}" for i in range(len(on))]
+    r = rows.select(id_col, *[k(a).alias(n) for n, (a, _) in zip(keys, on)], (k(scope[0]) if scope else F.lit(None).cast("string")).alias("_scope"), (k(match[0]) if match else F.lit(None).cast("string")).alias("_want"), *[k(a).alias(f"_t{i}") for i, (a, _) in enumerate(ties)])
+    t = table.select(*[k(b).alias(n) for n, (_, b) in zip(keys, on)], F.col(value).alias("_v"), F.col(label).cast("string").alias("_label"), (items(match[1]) if match else F.array().cast("array<string>")).alias("_list"), *[k(b).alias(f"_u{i}") for i, (_, b) in enumerate(ties)], F.lit(True).alias("_row"))
+    j = r.join(t, keys, "left")
+    if scope:
+        allowed = scope[1].select(k(scope[2]).alias("_scope"), k(scope[3]).alias("_k0"), F.lit(True).alias("_in")).distinct()
+        j = j.join(allowed, ["_scope", "_k0"], "left")
+    else:
+        j = j.withColumn("_in", F.lit(True))
+    listed = F.coalesce(F.array_contains("_list", F.col("_want")), F.lit(False)) if match else F.lit(False)
+    equal = F.array(*[F.coalesce(F.col(f"_t{i}") == F.col(f"_u{i}"), F.lit(False)) for i in range(len(ties))]).cast("array<boolean>")
+    one = F.struct(F.col("_v").alias("v"), F.col("_label").alias("label"), F.coalesce("_in", F.lit(False)).alias("ok"), listed.alias("hit"), (F.size("_list") == 0).alias("open"), equal.alias("equal"))
+    g = j.groupBy(id_col).agg(F.collect_list(F.when(F.col("_row"), one)).alias("_all"))
+    g = g.withColumn("_ok", F.filter("_all", lambda x: x["ok"])).withColumn("_hits", F.filter("_ok", lambda x: x["hit"]))
+    g = g.withColumn("_hits", F.when((F.size("_hits") == 0) & (F.size("_ok") == 1) & F.get("_ok", F.lit(0))["open"], F.col("_ok")).otherwise(F.col("_hits")))
+    alike_by = lambda i: F.filter("_hits", lambda x: F.get(x["equal"], F.lit(i)))
+    for alike in map(alike_by, range(len(ties))):
+        g = g.withColumn("_hits", F.when((F.size("_hits") > 1) & (F.size(alike) > 0), alike).otherwise(F.col("_hits")))
+    n = F.size("_hits")
+    problem = F.when(n == 1, F.lit(None)).when(n > 1, "several").when(F.size("_all") == 0, "none").when(F.size("_ok") == 0, "scope").otherwise("unlisted")
+    left = F.when(n > 1, F.col("_hits")).when(n == 0, F.col("_ok"))
+    labels = F.coalesce(F.array_sort(F.array_distinct(F.filter(F.transform(left, lambda x: x["label"]), lambda x: x.isNotNull()))), F.array().cast("array<string>"))
+    return g.select(id_col, F.when(n == 1, F.get("_hits", F.lit(0))["v"]).alias(value), problem.alias("problem"), labels.alias("candidates"))
+
+
 def list_join(rows: DataFrame, table: DataFrame, key: str, cell: str) -> DataFrame:
     """rows joined with the table rows whose comma or semicolon list has the key."""
     t = table.withColumn("_item", F.explode(F.split(F.col(cell), r"\s*[,;]\s*"))).where("_item <> ''")

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from drawloom.functions.text import normal_label
-from drawloom.operators import facts, naming, rules
+from drawloom.operators import checks, facts, naming, rules
 from drawloom.operators.tags import Field
 from drawloom.plans.change import t
 from drawloom.sources import files, triples
@@ -479,3 +479,63 @@ def n18(spark, d):
 @query("n15_normal_label", "SELECT p_partkey, " + _NORM.format(c="p_name") + " AS k FROM part")
 def n15n(spark, d):
     return t(spark, d, "part").select("p_partkey", normal_label(F.col("p_name")).alias("k"))
+
+
+# ---- checks on facts ----
+
+_OPCS = """WITH c AS (SELECT 'urn:plant:opc/' || c_custkey AS opc, ['Piping OPC', 'Utility OPC', 'Instrument OPC'][c_custkey % 3 + 1] AS opcType, c_custkey % 2 = 0 AS matched, CASE WHEN c_custkey % 3 = 0 THEN 'urn:plant:segment/' || c_nationkey END AS seg FROM customer),
+e AS (SELECT 'urn:plant:opc/' || o_custkey AS opc_a, 'urn:plant:opc/' || (o_custkey + 3) AS opc_b, o_orderkey FROM orders) """
+
+
+def connector_facts(spark, d):
+    """Customers as connectors on the segment of their nation, orders as edges to the customer three keys on."""
+    k = F.col("c_custkey")
+    opcs = t(spark, d, "customer").select(k.alias("eid"), F.col("c_name").alias("opctag"), F.element_at(F.array(F.lit("Piping OPC"), F.lit("Utility OPC"), F.lit("Instrument OPC")), (k % 3 + 1).cast("int")).alias("opc_type"), (k % 2 == 0).alias("matched"), F.struct(F.lit("to").alias("text")).alias("to_from"), F.col("c_nationkey").alias("on_segment"))
+    edges = t(spark, d, "orders").select(F.col("o_orderkey").alias("connection_id"), F.col("o_custkey").alias("from_id"), (F.col("o_custkey") + 3).alias("to_id"), F.lit("OffPage").alias("conn_type"), F.lit(True).alias("derived"), F.lit("none").alias("flow_sense"))
+    return facts.opc_quads(opcs).unionByName(facts.connection_quads(edges, "opc"))
+
+
+@query("p15_connector_coverage", _OPCS + "SELECT opcType, count(*) AS n, count(*) FILTER (WHERE matched) AS n_matched, count(seg) AS n_terminating FROM c GROUP BY opcType")
+def p15c(spark, d):
+    return checks.connector_coverage(connector_facts(spark, d))
+
+
+@query("p15_edges_across", _OPCS + "SELECT 'urn:plant:connection/' || o_orderkey AS connection, opc_a, opc_b, 'true' AS derived FROM e WHERE opc_a IN (SELECT opc FROM c) AND opc_b IN (SELECT opc FROM c)")
+def p15e(spark, d):
+    return checks.edges_across(connector_facts(spark, d))
+
+
+@query("p15_walk_across", _OPCS + "SELECT a.seg AS segment_a, opc_a, opc_b, b.seg AS segment_b FROM e JOIN c a ON a.opc = opc_a JOIN c b ON b.opc = opc_b WHERE a.seg <> b.seg")
+def p15w(spark, d):
+    return checks.walk_across(connector_facts(spark, d))
+
+
+@query("p16_completeness", "SELECT count(*) AS n, count(*) AS with_derived, count(*) AS with_connType, CAST(0 AS BIGINT) AS with_tag FROM orders")
+def p16c(spark, d):
+    return checks.completeness(connector_facts(spark, d), "Connection", ["derived", "connType", "tag"])
+
+
+@query("p16_also_typed", "SELECT DISTINCT 'urn:plant:segment/' || p_partkey AS s, 'urn:plant:class/Valve' AS type FROM part WHERE p_partkey % 5 = 0")
+def p16t(spark, d):
+    """Every fifth segment is a valve too, which is a component."""
+    p = t(spark, d, "part")
+    s = facts.iri("segment", F.col("p_partkey"))
+    q = facts.unpivot(p, s, [("rdf:type", F.lit("urn:plant:class/PipingSegment"), "iri"), ("rdf:type", F.when(F.col("p_partkey") % 5 == 0, F.lit("urn:plant:class/Valve")), "iri")])
+    return checks.also_typed(q.unionByName(facts.ontology_skeleton(spark)), ["PipingSegment", "PipingLine"], "Component")
+
+
+@query("n03_select", """WITH c AS (SELECT o_orderkey, l_partkey AS v, l_linenumber AS lab, o_orderkey % 11 <> 0 AS ok, CASE WHEN l_linenumber % 4 = 0 THEN '' ELSE l_linestatus END AS cell, o_orderstatus AS want, l_linenumber = o_orderkey % 7 + 1 AS eq FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+s AS (SELECT *, count(*) FILTER (WHERE ok) OVER (PARTITION BY o_orderkey) AS n FROM c),
+h AS (SELECT *, ok AND (cell = want OR (n = 1 AND cell = '')) AS hit FROM s),
+m AS (SELECT *, count(*) FILTER (WHERE hit) OVER w AS n_hit, count(*) FILTER (WHERE hit AND eq) OVER w AS n_eq FROM h WINDOW w AS (PARTITION BY o_orderkey)),
+k AS (SELECT *, CASE WHEN n_hit > 1 AND n_eq > 0 THEN hit AND eq ELSE hit END AS last FROM m),
+g AS (SELECT o_orderkey, count(*) FILTER (WHERE last) AS n_last, max(n) AS n, min(v) FILTER (WHERE last) AS v, list_sort(list(DISTINCT CAST(lab AS VARCHAR)) FILTER (WHERE last)) AS a, list_sort(list(DISTINCT CAST(lab AS VARCHAR)) FILTER (WHERE ok)) AS b FROM k GROUP BY o_orderkey)
+SELECT o.o_orderkey, CASE WHEN n_last = 1 THEN v END AS l_partkey, CASE WHEN g.o_orderkey IS NULL THEN 'none' WHEN n_last = 1 THEN NULL WHEN n_last > 1 THEN 'several' WHEN n = 0 THEN 'scope' ELSE 'unlisted' END AS problem, CASE WHEN n_last > 1 THEN array_to_string(a, ',') WHEN n_last = 0 AND n > 0 THEN array_to_string(b, ',') ELSE '' END AS candidates FROM orders o LEFT JOIN g ON g.o_orderkey = o.o_orderkey""")
+def n03(spark, d):
+    """Each order's line by status list, in the scope of its customer's group, by line number where several are left."""
+    o, line = t(spark, d, "orders"), t(spark, d, "lineitem")
+    rows = o.select("o_orderkey", (F.col("o_custkey") % 5).alias("group"), "o_orderstatus", (F.col("o_orderkey") % 7 + 1).alias("number"))
+    table = line.select("l_orderkey", "l_partkey", "l_linenumber", F.when(F.col("l_linenumber") % 4 == 0, "").otherwise(F.col("l_linestatus")).alias("cell"))
+    allowed = o.where("o_orderkey % 11 <> 0").select((F.col("o_custkey") % 5).alias("group"), "o_orderkey")
+    out = naming.select(rows, "o_orderkey", table, [("o_orderkey", "l_orderkey")], "l_partkey", "l_linenumber", ("group", allowed, "group", "o_orderkey"), ("o_orderstatus", "cell"), [("number", "l_linenumber")])
+    return out.withColumn("candidates", F.array_join("candidates", ","))

@@ -454,3 +454,31 @@ def test_gaps_are_ranked_across_ranges(spark):
     assert [x["code"] for x in got.orderBy("rank").collect()] == [c for _, _, c in want]
     assert [x["rank"] for x in got.select("rank").orderBy("rank").collect()] == list(range(1, 3000))
     assert naming.gap_ranking(used.limit(0), used, "code").count() == 0
+
+
+def test_select_goes_by_stage(spark):
+    table = spark.createDataFrame([("01", "U1", "A,B", "x"), ("1", "U2", "b;c", "y"), ("2", "U3", "", "x"), ("3", "U4", None, "x"), ("3", "U5", "Z", "y")], "k string, v string, l string, side string")
+    rows = spark.createDataFrame([(1, "1", "s", "a", None), (2, "1", "s", "b", None), (3, "1", "s", "b", "Y"), (4, "2", "s", "q", None), (5, "3", "s", "q", None), (6, "9", "s", "a", None), (7, "1", "other", "a", None), (8, None, "s", "a", None), (9, "1", "s", None, None)], "i int, k string, scope string, want string, side string")
+    scope = spark.createDataFrame([("s", "1"), ("s", "2"), ("s", "3"), ("s", "1")], "scope string, k string")
+    got = {x["i"]: (x["v"], x["problem"], x["candidates"]) for x in naming.select(rows, "i", table, [("k", "k")], "v", "v", ("scope", scope, "scope", "k"), ("want", "l"), [("side", "side")]).collect()}
+    assert got == {
+        1: ("U1", None, []), 2: (None, "several", ["U1", "U2"]), 3: ("U2", None, []), 4: ("U3", None, []), 5: (None, "unlisted", ["U4", "U5"]),
+        6: (None, "none", []), 7: (None, "scope", []), 8: (None, "none", []), 9: (None, "unlisted", ["U1", "U2"]),
+    }
+    one = naming.select(rows.where("i = 4"), "i", table, [("k", "k")], "v", "v").first()
+    assert (one["v"], one["problem"]) == ("U3", None)
+    assert naming.select(rows, "i", table.limit(0), [("k", "k")], "v", "v").where("problem = 'none'").count() == 9
+
+
+def test_checks_find_what_is_wrong(spark):
+    from drawloom.operators import checks
+
+    q = lambda *x: spark.createDataFrame([(g, s, p, o, "iri", None) for g, s, p, o in x], "graph string, s string, p string, o string, o_kind string, o_datatype string")
+    c = "urn:plant:class/"
+    bad = q(("masterdata", "a", "rdf:type", c + "OffPageConnector"), ("masterdata", "a", "opcType", "Signal line"), ("masterdata", "a", "terminates", "seg"), ("masterdata", "v", "rdf:type", c + "Component"), ("results", "sys", "hasFunction", "v"), ("masterdata", "f", "rdf:type", c + "Fluid"))
+    assert [x["opc"] for x in checks.wrongly_terminating(bad).collect()] == ["a"]
+    assert [tuple(x) for x in checks.direct_members(bad, ["Component", "Equipment"]).collect()] == [("sys", "v")]
+    assert [tuple(x) for x in checks.misplaced(bad, "Fluid", "refdata").collect()] == [("masterdata", 1)]
+    none = bad.limit(0)
+    assert checks.wrongly_terminating(none).count() == checks.walk_across(none).count() == checks.connector_coverage(none).count() == 0
+    assert tuple(checks.completeness(none, "Fluid", ["tag"]).first()) == (0, 0)
