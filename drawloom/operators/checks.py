@@ -25,15 +25,15 @@ def completeness(quads: DataFrame, cls: str, predicates: list[str]) -> DataFrame
 
 
 def connectors(quads: DataFrame) -> DataFrame:
-    """One row per connector: opc, opcType, matched, terminates; null where a fact is missing."""
-    w = facts.wide(quads, ["rdf:type", "opcType", "matched", "terminates"])
-    return w.where(F.col("type") == _OPC).select(F.col("s").alias("opc"), "opcType", "matched", "terminates")
+    """One row per connector: opc, opcType, flowSense, matched, terminates; null where a fact is missing."""
+    w = facts.wide(quads, ["rdf:type", "opcType", "flowSense", "matched", "terminates"])
+    return w.where(F.col("type") == _OPC).select(F.col("s").alias("opc"), "opcType", "flowSense", "matched", "terminates")
 
 
 def wrongly_terminating(quads: DataFrame) -> DataFrame:
     """Connectors of a signal or an instrument that end on a segment; must be empty."""
-    kind = F.lower(F.coalesce("opcType", F.lit("")))
-    return connectors(quads).where(F.col("terminates").isNotNull() & (kind.contains("signal") | kind.contains("instrument")))
+    has = lambda c, part: F.coalesce(F.lower(F.col(c)).contains(part), F.lit(False))
+    return connectors(quads).where(F.col("terminates").isNotNull() & (has("flowSense", "signal") | has("opcType", "instrument")))
 
 
 def connector_coverage(quads: DataFrame) -> DataFrame:

@@ -15,7 +15,9 @@ XSD = {"boolean": "boolean", "int": "integer", "bigint": "integer", "double": "d
 
 
 def iri(kind: str, *parts: Column) -> Column:
-    return F.concat(F.lit(f"urn:plant:{kind}/"), F.concat_ws("/", *[p.cast("string") for p in parts]))
+    """The name of an object by the parts that are not null; null if none is."""
+    text = [p.cast("string") for p in parts]
+    return F.when(F.coalesce(*text).isNotNull(), F.concat(F.lit(f"urn:plant:{kind}/"), F.concat_ws("/", *text)))
 
 
 def unpivot(rows: DataFrame, subject: Column, properties: list[tuple], graph: str = MASTER) -> DataFrame:
@@ -94,9 +96,12 @@ def connection_quads(rows: DataFrame, node: str = "component") -> DataFrame:
 
 
 def opc_quads(rows: DataFrame, id_col: str = "eid") -> DataFrame:
+    """Connectors; one ends on its segment unless its flow_direction (if rows has it) is a signal's or its type an instrument's, as its business type does not tell a pipe."""
     s = iri("opc", F.col(id_col))
-    piping = F.lower(F.coalesce("opc_type", F.lit(""))).contains("piping")
-    return unpivot(rows, s, [("rdf:type", F.lit("urn:plant:class/OffPageConnector"), "iri"), ("tag", F.col("opctag"), "string"), ("opcType", F.col("opc_type"), "string"), ("matched", F.col("matched").cast("string"), "boolean"), ("toFrom", F.col("to_from.text"), "string"), ("terminates", F.when(piping, iri("segment", F.col("on_segment"))), "iri")])
+    flow = F.col("flow_direction").cast("string") if "flow_direction" in rows.columns else F.lit(None).cast("string")
+    has = lambda c, part: F.coalesce(F.lower(c).contains(part), F.lit(False))
+    piping = ~has(flow, "signal") & ~has(F.col("opc_type"), "instrument")
+    return unpivot(rows, s, [("rdf:type", F.lit("urn:plant:class/OffPageConnector"), "iri"), ("tag", F.col("opctag"), "string"), ("opcType", F.col("opc_type"), "string"), ("flowSense", flow, "string"), ("matched", F.col("matched").cast("string"), "boolean"), ("toFrom", F.col("to_from.text"), "string"), ("terminates", F.when(piping, iri("segment", F.col("on_segment"))), "iri")])
 
 
 def refdata_quads(fluids: DataFrame, boundary: DataFrame, crosswalk: DataFrame | None = None) -> DataFrame:

@@ -483,14 +483,14 @@ def n15n(spark, d):
 
 # ---- checks on facts ----
 
-_OPCS = """WITH c AS (SELECT 'urn:plant:opc/' || c_custkey AS opc, ['Piping OPC', 'Utility OPC', 'Instrument OPC'][c_custkey % 3 + 1] AS opcType, c_custkey % 2 = 0 AS matched, CASE WHEN c_custkey % 3 = 0 THEN 'urn:plant:segment/' || c_nationkey END AS seg FROM customer),
+_OPCS = """WITH c AS (SELECT 'urn:plant:opc/' || c_custkey AS opc, ['Piping OPC', 'Utility OPC', 'Instrument OPC'][c_custkey % 3 + 1] AS opcType, c_custkey % 2 = 0 AS matched, CASE WHEN c_custkey % 3 <> 2 AND c_custkey % 7 <> 0 THEN 'urn:plant:segment/' || c_nationkey END AS seg FROM customer),
 e AS (SELECT 'urn:plant:opc/' || o_custkey AS opc_a, 'urn:plant:opc/' || (o_custkey + 3) AS opc_b, o_orderkey FROM orders) """
 
 
 def connector_facts(spark, d):
     """Customers as connectors on the segment of their nation, orders as edges to the customer three keys on."""
     k = F.col("c_custkey")
-    opcs = t(spark, d, "customer").select(k.alias("eid"), F.col("c_name").alias("opctag"), F.element_at(F.array(F.lit("Piping OPC"), F.lit("Utility OPC"), F.lit("Instrument OPC")), (k % 3 + 1).cast("int")).alias("opc_type"), (k % 2 == 0).alias("matched"), F.struct(F.lit("to").alias("text")).alias("to_from"), F.col("c_nationkey").alias("on_segment"))
+    opcs = t(spark, d, "customer").select(k.alias("eid"), F.col("c_name").alias("opctag"), F.element_at(F.array(F.lit("Piping OPC"), F.lit("Utility OPC"), F.lit("Instrument OPC")), (k % 3 + 1).cast("int")).alias("opc_type"), (k % 2 == 0).alias("matched"), F.struct(F.lit("to").alias("text")).alias("to_from"), F.col("c_nationkey").alias("on_segment"), F.when(k % 7 == 0, "SignalOffPageConnector").otherwise("FlowInPipeOffPageConnector").alias("flow_direction"))
     edges = t(spark, d, "orders").select(F.col("o_orderkey").alias("connection_id"), F.col("o_custkey").alias("from_id"), (F.col("o_custkey") + 3).alias("to_id"), F.lit("OffPage").alias("conn_type"), F.lit(True).alias("derived"), F.lit("none").alias("flow_sense"))
     return facts.opc_quads(opcs).unionByName(facts.connection_quads(edges, "opc"))
 

@@ -475,10 +475,17 @@ def test_checks_find_what_is_wrong(spark):
 
     q = lambda *x: spark.createDataFrame([(g, s, p, o, "iri", None) for g, s, p, o in x], "graph string, s string, p string, o string, o_kind string, o_datatype string")
     c = "urn:plant:class/"
-    bad = q(("masterdata", "a", "rdf:type", c + "OffPageConnector"), ("masterdata", "a", "opcType", "Signal line"), ("masterdata", "a", "terminates", "seg"), ("masterdata", "v", "rdf:type", c + "Component"), ("results", "sys", "hasFunction", "v"), ("masterdata", "f", "rdf:type", c + "Fluid"))
+    bad = q(("masterdata", "a", "rdf:type", c + "OffPageConnector"), ("masterdata", "a", "opcType", "Utility Connector"), ("masterdata", "a", "flowSense", "SignalOffPageConnector"), ("masterdata", "a", "terminates", "seg"), ("masterdata", "v", "rdf:type", c + "Component"), ("results", "sys", "hasFunction", "v"), ("masterdata", "f", "rdf:type", c + "Fluid"))
     assert [x["opc"] for x in checks.wrongly_terminating(bad).collect()] == ["a"]
     assert [tuple(x) for x in checks.direct_members(bad, ["Component", "Equipment"]).collect()] == [("sys", "v")]
     assert [tuple(x) for x in checks.misplaced(bad, "Fluid", "refdata").collect()] == [("masterdata", 1)]
     none = bad.limit(0)
     assert checks.wrongly_terminating(none).count() == checks.walk_across(none).count() == checks.connector_coverage(none).count() == 0
     assert tuple(checks.completeness(none, "Fluid", ["tag"]).first()) == (0, 0)
+
+
+def test_a_utility_connector_on_a_pipe_ends_on_its_segment(spark):
+    rows = spark.createDataFrame([(1, "t", "Utility Connector", "FlowOutPipeOffPageConnector", True, None, "S"), (2, "t", "Piping", "SignalOffPageConnector", True, None, "S"), (3, "t", "Instrument OPC", None, True, None, "S"), (4, "t", None, None, True, None, "S"), (5, "t", "Piping", None, True, None, None)], "eid int, opctag string, opc_type string, flow_direction string, matched boolean, to_from struct<text: string>, on_segment string")
+    on = facts.match(facts.opc_quads(rows), p="terminates")
+    assert sorted((x["s"], x["o"]) for x in on.collect()) == [("urn:plant:opc/1", "urn:plant:segment/S"), ("urn:plant:opc/4", "urn:plant:segment/S")]
+    assert facts.match(facts.opc_quads(rows.drop("flow_direction")), p="terminates").count() == 3
