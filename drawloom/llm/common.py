@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from drawloom.tables import cut, drop, scratch, shared_dir
 
-__all__ = ["ascii_lower", "batch", "cut", "ddl", "drop", "fresh_names", "keyed", "pieces", "raw", "scratch", "shared_dir", "table", "with_key"]
+__all__ = ["ascii_lower", "batch", "cut", "ddl", "drop", "fresh_names", "keyed", "once", "pieces", "raw", "scratch", "shared_dir", "table", "with_key"]
 
 
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -52,6 +54,14 @@ def pieces(batches: Iterator[pa.RecordBatch], col: str = "text", size: int = 1 <
             yield b.slice(i, j - i)
 
 
+def once(key, make: Callable):
+    """make(), called once in each Python process. Functions reach the workers by value, so a module's own globals would be new in each task."""
+    held = sys.modules.setdefault("_drawloom_process", types.ModuleType("_drawloom_process")).__dict__.setdefault("made", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """The values of a string or binary column as bytes, null as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
