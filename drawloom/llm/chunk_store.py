@@ -25,8 +25,15 @@ _CHUNK = re.compile(rf"[{WHITE}]*+[^{WHITE}]++|[{WHITE}]++")
 _CHUNK_CR = re.compile(rf"[{WHITE}]*+[^{WHITE}]++(?:\r[{WHITE}]*+[^{WHITE}]*+)*+|[{WHITE}]++")
 
 
+_LETTERS = "À-ÖØ-öø-ÿĀ-įĴ-ňŊ-ž"
+_PLAIN = re.compile(rf"[\t-\r\x20-~{_LETTERS}]*+")
+# how a byte-level tokenizer parts texts, over the characters of _PLAIN
+_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z{_LETTERS}]+| ?[0-9]+| ?[^\s0-9A-Za-z{_LETTERS}]+|\s+(?!\S)|\s+")
+
+
 def chunks(text: str) -> list[str]:
-    return _CHUNK.findall(text)
+    """text in chunks; where all its characters are plain, in the tokenizer's own parts, of which there are fewer different ones."""
+    return (_PARTS if _PLAIN.fullmatch(text) else _CHUNK).findall(text)
 
 
 def chunks_cr(text: str) -> list[str]:
@@ -36,7 +43,7 @@ def chunks_cr(text: str) -> list[str]:
 class Store:
     """Numbers of chunks in the order they came, with what `fill` made of each; emptied when it holds over `most` chunks or `most_chars` characters."""
 
-    def __init__(self, fill: Callable[[list[str]], None], clear: Callable[[], None], most: int = 300_000, most_chars: int = 8 << 20):
+    def __init__(self, fill: Callable[[list[str]], None], clear: Callable[[], None], most: int = 600_000, most_chars: int = 16 << 20):
         self.fill, self.clear, self.most, self.most_chars = fill, clear, most, most_chars
         self.place: dict[str, int] = {}
         self.chars = 0
@@ -49,7 +56,7 @@ class Store:
     def numbers(self, flat: list[str]) -> np.ndarray:
         new = list(set(flat).difference(self.place))
         if new:
-            new.sort()  # the same order in each run
+            new.sort()  # neighbours take the same merges, which is faster
             self.fill(new)
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
             self.chars += sum(map(len, new))
@@ -125,20 +132,31 @@ def encoder(path: str):
 def _encoder(path: str):
     tok, plain, special = byte_level(path)
     ids = Lists(np.uint32)
+    mark, parted = special[0] if special else "", tok.token_to_id(special[0]) if special else None
 
     def fill(new: list[str]) -> None:
-        got = [e.ids for e in tok.encode_batch(new, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
-        ids.add(np.fromiter((i for x in got for i in x), np.uint32, int(lengths.sum())), lengths)
+        if parted is None or len(new) == 1:
+            got = [np.array(e.ids, np.uint32) for e in tok.encode_batch_fast(new, add_special_tokens=False)]
+            ids.add(np.concatenate(got), np.fromiter(map(len, got), np.int64, len(got)))
+            return
+        # a special token parts texts before anything else is done to them, so that many go in one call
+        for i in range(0, len(new), 4096):
+            many = np.array(tok.encode_batch_fast([mark.join([*new[i : i + 4096], ""])], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(many == parted)
+            ids.add(many[many != parted], np.diff(ends, prepend=-1) - 1)
 
     store = Store(fill, ids.empty)
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         store.trim()
         # a special token ends a run of white space like the end of the text does, so its texts stay whole
-        cut = [chunks(t) if plain and not any(s in t for s in special) else [t] if t else [] for t in texts]
+        whole = {i: np.array(tok.encode(t, add_special_tokens=False).ids, np.uint32) for i, t in enumerate(texts) if t and (not plain or any(s in t for s in special))}
+        cut = [[] if i in whole else chunks(t) for i, t in enumerate(texts)]
         values, n = ids.of(store.numbers([c for cs in cut for c in cs]))
         ends = np.concatenate(([0], np.cumsum(n)))[np.concatenate(([0], np.cumsum([len(cs) for cs in cut]))).astype(np.int64)]
+        if whole:
+            parts = [whole[i] if i in whole else values[a:z] for i, (a, z) in enumerate(zip(ends[:-1], ends[1:]))]
+            return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
         return values, np.diff(ends)
 
     return encode
