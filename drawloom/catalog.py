@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from drawloom.plans import change, knowledge, streams, structure
+from drawloom.plans import assembly, change, knowledge, streams, structure
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for module in (change, structure, knowledge, streams):
+for module in (change, structure, knowledge, streams, assembly):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES

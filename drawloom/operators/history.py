@@ -160,6 +160,54 @@ def as_of_latest(left: DataFrame, history: DataFrame, key: str, at: str) -> Data
     return left.join(found, (F.col(key) == F.col("_k")) & (F.to_date(at) == F.col("_at")), "left").drop("_k", "_at")
 
 
+#: Slabs of time are 1, 8, 64, ... days wide; the open end lies after the last date that Spark knows.
+_SLABS = range(0, 22, 3)
+_FAR = 1 << 22
+
+
+def _numbered(slabs: Column, width: int) -> Column:
+    return F.transform(slabs, lambda i: F.struct(F.lit(width).alias("width"), i.alias("slab")))
+
+
+def _slabs_of(first: Column, last: Column) -> Column:
+    """The fewest slabs that make up the days first, ..., last - 1, as structs of width (a power of two) and number; each day lies in exactly one."""
+    up = lambda c, s: F.shiftright(c + F.lit((1 << s) - 1), s)
+    none = F.array().cast("array<bigint>")
+    run = lambda a, z: F.when(a < z, F.sequence(a, z - 1)).otherwise(none)
+    parts = []
+    for s in _SLABS:
+        lo, hi = up(first, s), F.shiftright(last, s)
+        if s == _SLABS[-1]:
+            held = run(lo, hi)
+        else:
+            wide_lo, wide_hi = 8 * up(first, s + 3), 8 * F.shiftright(last, s + 3)
+            held = F.when(wide_lo < wide_hi, F.concat(run(lo, wide_lo), run(wide_hi, hi))).otherwise(run(lo, hi))
+        parts.append(_numbered(held, s))
+    return F.concat(*parts)
+
+
+def as_of_both(left: DataFrame, history: DataFrame, key: str, valid: str, tx: str) -> DataFrame:
+    """left with every row of its key's history that holds at left's valid date and was recorded at its transaction time, as as_of_attrs, as_of_from; null where there is none.
+
+    Intervals are half-open, open ends hold on; a null key, date or time matches nothing, nor do rows that start at null or
+    before they end. Valid time is cut into slabs of several widths: each row of history is dealt
+    to the few slabs that make up its interval (at most 14 of one width), each date asked for to the one slab of each width that holds it, so a
+    row meets the dates inside its interval only, once each, and a key with most of all rows is split by its
+    slabs. Transaction times are compared there. Dates and times are looked up once per key.
+    """
+    day = lambda c: F.unix_date(F.to_date(c)).cast("long")
+    h = history.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull() & F.col("tx_from").isNotNull()).select(
+        F.col(key).alias("_k"), "attrs", "valid_from", "tx_from", "tx_to",
+        F.explode(_slabs_of(day("valid_from"), F.coalesce(day("valid_to"), F.lit(_FAR).cast("long")))).alias("_s"),
+    ).select("_k", "_s.*", "attrs", "valid_from", F.col("tx_from").alias("_ta"), F.col("tx_to").alias("_tz"))
+    asked = left.select(F.col(key).alias("_k"), F.to_date(valid).alias("_v"), F.col(tx).cast("timestamp").alias("_t")).dropna().distinct()
+    points = asked.select("*", F.explode(F.array(*[F.struct(F.lit(s).alias("width"), F.shiftright(day("_v"), s).alias("slab")) for s in _SLABS])).alias("_s")).select("_k", "_v", "_t", "_s.*")
+    hits = points.join(h, ["_k", "width", "slab"]).where((F.col("_ta") <= F.col("_t")) & (F.col("_tz").isNull() | (F.col("_t") < F.col("_tz"))))
+    hits = hits.select("_k", "_v", "_t", F.col("attrs").alias("as_of_attrs"), F.col("valid_from").alias("as_of_from"))
+    on = (F.col(key) == F.col("_k")) & (F.to_date(valid) == F.col("_v")) & (F.col(tx).cast("timestamp") == F.col("_t"))
+    return left.join(hits, on, "left").drop("_k", "_v", "_t")
+
+
 def diff_snapshots(old: DataFrame, new: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
     """New, Modified and Deleted ids by comparing the columns (answer-key columns are not among them)."""
     h = lambda df, n: df.select(F.col(id_col), F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]).alias(n), attrs_json(df, columns).alias(f"{n}_attrs"))

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from drawloom.functions.text import blank, filled
+from drawloom.operators.graph import connected_components
 from drawloom.operators.topology import edge_id
-from drawloom.tables import cut, drop
+from drawloom.tables import cut, drop, scratch
 
 
 #: White space of any script, as signs of a class that reads the same in Java and RE2.
@@ -42,26 +43,88 @@ def match_by_tag(opcs: DataFrame, key: str = "opctag", id_col: str = "eid", home
     return g.where(fits("x.paired", "y.home") & fits("y.paired", "x.home")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.lit("tag").alias("rule"))
 
 
-def match_by_guid(opcs: DataFrame, id_col: str = "eid", mine: str = "guid_self", mate: str = "guid_mate") -> DataFrame:
+def _greedy(batch):
+    """Pairs (x, y) of a bucket's records in order of x: the first free owner of the key that x names."""
+    import pyarrow as pa
+
+    rec, key, names = (batch.column(c).to_pylist() for c in ("rec", "key", "names"))
+    owners: dict = {}
+    for r, k, n in sorted(zip(rec, key, names), key=lambda t: t[0]):
+        if not n:
+            owners.setdefault(k, []).append(r)
+    at, taken, pairs = dict.fromkeys(owners, 0), set(), []
+    for x, k in sorted((r, k) for r, k, n in zip(rec, key, names) if n):
+        if x in taken or k not in owners:
+            continue
+        own = owners[k]
+        while at[k] < len(own) and own[at[k]] in taken:
+            at[k] += 1
+        i = at[k]
+        # x itself may own the key that it names
+        while i < len(own) and (own[i] == x or own[i] in taken):
+            i += 1
+        if i < len(own):
+            taken.update((x, own[i]))
+            pairs.append((x, own[i]))
+    t = batch.schema.field("rec").type
+    return pa.table([pa.array([p[0] for p in pairs], t), pa.array([p[1] for p in pairs], t)], names=["x", "y"])
+
+
+def _first_pairs(rows: DataFrame) -> DataFrame:
+    """(x, y) of the pairs that are the least of both their records, without listing the pairs of a key."""
+    w = Window.partitionBy("key").orderBy("rec")
+    two = lambda side, of: rows.where(side).withColumn("_n", F.row_number().over(w)).where("_n <= 2").groupBy("key").agg(F.array_sort(F.collect_list("rec")).alias(of))
+    other = lambda of: F.when(F.element_at(of, 1) != F.col("rec"), F.element_at(of, 1)).when(F.size(of) > 1, F.element_at(of, 2))
+    ahead = rows.where("names").join(two("not names", "o"), "key").select("rec", F.struct(F.col("rec").alias("x"), other("o").alias("y")).alias("p"))
+    back = rows.where("not names").join(two("names", "o"), "key").select("rec", F.struct(other("o").alias("x"), F.col("rec").alias("y")).alias("p"))
+    least = ahead.unionByName(back).where("p.x is not null and p.y is not null").groupBy("rec").agg(F.min("p").alias("p"))
+    return least.groupBy("p").agg(F.count("*").alias("_n")).where("_n = 2").select("p.x", "p.y")
+
+
+def match_by_guid(opcs: DataFrame, id_col: str = "eid", mine: str = "guid_self", mate: str = "guid_mate", most: int = 500_000) -> DataFrame:
     """(a, b, rule) of records of which one names the other, with or without SP before it, a < b; each record in at most one pair.
 
     Greedy in order of the naming record, then of the named one: a pair is taken
-    unless an earlier one has taken either end. Each round takes all pairs that are
-    first for both ends, so there are as many rounds as pairs that wait for each other.
+    unless an earlier one has taken either end. Which pairs wait for each other is told by the connected components of
+    records and keys, which take a number of rounds that grows with the logarithm of their length. Components of up to `most` rows go to tasks
+    whole, many to a task; a larger one gives off the pairs that are first for both ends, round by round, and
+    its components are looked at anew after each doubling of the rounds, so any size is matched exactly. The records of
+    a key are never paired with each other. Ids are taken as unique; null ids and blank keys match nothing.
     """
     bare = lambda c: F.regexp_replace(F.col(c).cast("string"), "^SP", "")
-    names = opcs.where(~blank(F.col(mate))).select(F.col(id_col).alias("x"), bare(mate).alias("g"))
-    own = opcs.where(~blank(F.col(mine))).select(F.col(id_col).alias("y"), bare(mine).alias("g"))
-    now, taken = cut(names.join(own, "g").where("x <> y").select("x", "y").distinct(), "mates"), []
-    while not now.isEmpty():
-        first = now.select(F.col("x").alias("id"), "x", "y").unionByName(now.select(F.col("y").alias("id"), "x", "y")).groupBy("id").agg(F.min(F.struct("x", "y")).alias("p"))
-        taken.append(cut(first.groupBy("p").agg(F.count("*").alias("_n")).where("_n = 2").select("p.x", "p.y"), "taken"))
-        gone = taken[-1].select(F.col("x").alias("id")).union(taken[-1].select("y"))
-        left = cut(now.join(gone, now["x"] == gone["id"], "left_anti").join(gone, now["y"] == gone["id"], "left_anti"), "mates")
-        drop(now)
-        now = left
-    pairs = reduce(DataFrame.unionByName, taken) if taken else now
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit("guid").alias("rule"))
+    side = lambda c, names: opcs.where(~blank(F.col(c)) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("rec"), bare(c).alias("key"), F.lit(names).alias("names"))
+    kind = dict(opcs.dtypes)[id_col]
+    with scratch() as keep:
+        rows = keep(side(mate, True).unionByName(side(mine, False)).distinct(), "mates")
+        both = rows.groupBy("key").agg((F.max("names") & ~F.min("names")).alias("both")).where("both").select("key")
+        left = keep(rows.join(both, "key", "left_semi"), "mates")
+        taken, rounds = [], 1
+        while not left.isEmpty():
+            # a record's rows are joined by its id, a key's by the key
+            link = left.select(F.concat(F.lit("r"), F.col("rec").cast("string")).alias("src"), F.concat(F.lit("k"), "key").alias("dst"))
+            parts = connected_components(link)
+            placed = keep(left.join(parts.where("node like 'k%'").select(F.expr("substr(node, 2)").alias("key"), "component"), "key"), "placed")
+            drop(parts)
+            size = placed.groupBy("component").agg(F.count("*").alias("n"))
+            size = keep(size, "sizes")
+            small = placed.join(size.where(F.col("n") <= most), "component", "left_semi")
+            total = size.where(F.col("n") <= most).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+            bucket = F.pmod(F.xxhash64("component"), F.lit(max(1, -(-total // max(1, most // 4)))))
+            taken.append(keep(small.select("rec", "key", "names", bucket.alias("bucket")).groupBy("bucket").applyInArrow(_greedy, f"x {kind}, y {kind}"), "taken"))
+            left = keep(placed.join(size.where(F.col("n") > most), "component", "left_semi").drop("component"), "mates")
+            for _ in range(rounds):
+                if left.isEmpty():
+                    break
+                taken.append(keep(_first_pairs(left), "taken"))
+                if taken[-1].isEmpty():  # where any pair is left, one of them is the first
+                    left = left.limit(0)
+                    break
+                gone = taken[-1].select(F.col("x").alias("rec")).union(taken[-1].select("y"))
+                before, left = left, keep(left.join(gone, "rec", "left_anti"), "mates")
+                drop(before)
+            rounds *= 2
+        pairs = reduce(DataFrame.unionByName, taken) if taken else opcs.sparkSession.createDataFrame([], f"x {kind}, y {kind}")
+        return cut(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit("guid").alias("rule")), "guid-pairs")
 
 
 def match_pairs(opcs: DataFrame, id_col: str = "eid") -> tuple[DataFrame, DataFrame]:

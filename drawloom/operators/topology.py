@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from drawloom.functions.text import blank, filled
 from drawloom.operators.graph import connected_components
-from drawloom.tables import cut
+from drawloom.tables import cut, drop, scratch
 
 # Element tags that are components, by dialect.
 COMPONENT_TAGS = {
@@ -153,14 +153,29 @@ def dominant(rows: DataFrame, group: list[str], value: str, order: str) -> DataF
     return n.groupBy(*group).agg(F.max_by(value, F.struct("n", -F.col("first"))).alias(value))
 
 
-def down_tree(tree: DataFrame, marks: DataFrame, node: str, parent: str, mark: str, depth: int = 12) -> DataFrame:
-    """(node, mark): each node's own mark or that of its nearest marked ancestor, up to `depth` levels above."""
-    out = tree.select(F.col(node).alias("node"), F.col(parent).alias("up")).join(marks.select(F.col(node).alias("node"), F.col(mark).alias("mark")), "node", "left")
-    for _ in range(depth.bit_length()):  # each round doubles how far up the next one looks
-        out = cut(out, "tree")
-        above = out.select(F.col("node").alias("up"), F.col("mark").alias("_m"), F.col("up").alias("_u"))
-        out = out.join(above, "up", "left").select("node", F.when(F.col("mark").isNull(), F.col("_u")).alias("up"), F.coalesce("mark", "_m").alias("mark"))
-    return out.select("node", "mark")
+def down_tree(tree: DataFrame, marks: DataFrame, node: str, parent: str, mark: str) -> DataFrame:
+    """(node, mark): each node's own mark or that of its nearest marked ancestor, however far above; null if none has one.
+
+    Each round doubles how far up a node looks, and takes along only nodes that are still looking, so a
+    tree of depth n takes log2(n) rounds. A node without row of its own ends the search, and so does null; nodes on a
+    cycle without a mark have none. Of several marks or parents of a node the least counts.
+    """
+    m = marks.where(F.col(mark).isNotNull()).groupBy(F.col(node).alias("node")).agg(F.min(mark).alias("mark"))
+    start = tree.where(F.col(node).isNotNull()).groupBy(F.col(node).alias("node")).agg(F.min(parent).alias("up"))
+    looking = "mark is null and up is not null"
+    with scratch() as keep:
+        now = keep(start.join(m, "node", "left"), "tree")
+        n_nodes, n = now.agg(F.count("*"), F.count_if(F.expr(looking))).first()
+        reach = 1
+        # after a round has looked past as many levels as there are nodes, only cycles are left
+        while n and reach <= n_nodes:
+            above = now.select(F.col("node").alias("up"), F.col("mark").alias("_m"), F.col("up").alias("_u"))
+            # a node that has found its mark stays to be looked up by those below it
+            step = now.where(looking).join(above, "up", "left").select("node", F.when(F.col("_m").isNull(), F.col("_u")).alias("up"), F.col("_m").alias("mark"))
+            before, now = now, keep(step.unionByName(now.where(f"not ({looking})")), "tree")
+            drop(before)
+            n, reach = now.agg(F.count_if(F.expr(looking))).first()[0], 2 * reach
+        return cut(now.select("node", "mark"), "marks")
 
 
 def line_hierarchy(segments: DataFrame, packages: DataFrame) -> DataFrame:
