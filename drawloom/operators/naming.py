@@ -154,28 +154,84 @@ def label_match(rows: DataFrame, label: str, reference: DataFrame, ref_label: st
     return rows.withColumn("_key", normal_label(F.col(label))).join(r, "_key", "left").drop("_key")
 
 
-def fuzzy_candidates(rows: DataFrame, label: str, reference: DataFrame, ref_label: str, least: float = 0.5, block: int = 1000) -> DataFrame:
+def _edits(least: float) -> Column:
+    """Edits that labels of lengths la and lb may differ by at a similarity of `least`, which is rounded to 6 digits."""
+    return F.floor(F.greatest("la", "lb") * F.lit(1 - least + 1e-6)).cast("int")
+
+
+def _segments(reference: DataFrame, lengths: DataFrame, least: float) -> DataFrame:
+    """Each reference label b in k + 1 parts of even length, for each length la of labels that may match it: columns la, lb, part, text, b."""
+    r = reference.join(lengths.withColumnRenamed("l", "la"), _near(least)).withColumn("k", _edits(least))
+    i, short = F.col("part"), F.expr("k + 1 - lb % (k + 1)")  # the last parts are one longer
+    start = F.expr("part * (lb div (k + 1))") + F.greatest(F.lit(0), i - short)
+    r = r.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("k"))))
+    return r.select("la", "lb", "part", "b", F.substr("b", (start + 1).cast("int"), F.expr("CAST(lb div (k + 1) AS INT)") + F.when(i >= short, 1).otherwise(0)).alias("text"))
+
+
+def _substrings(labels: DataFrame, lengths: DataFrame, least: float) -> DataFrame:
+    """Of each label a the pieces that a part of a reference label can have stayed whole in: within as many places as the edits before and after the part allow."""
+    d = labels.join(lengths.withColumnRenamed("l", "lb"), _near(least)).withColumn("k", _edits(least))
+    i, short = F.col("part"), F.expr("k + 1 - lb % (k + 1)")
+    d = d.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("k"))))
+    start = (F.expr("part * (lb div (k + 1))") + F.greatest(F.lit(0), i - short)).cast("int")
+    size = F.expr("CAST(lb div (k + 1) AS INT)") + F.when(i >= short, 1).otherwise(0)
+    longer, after = F.col("la") - F.col("lb"), F.col("k") - i
+    low, high = F.greatest(F.lit(0), start - i, start + longer - after), F.least(F.col("la") - size, start + i, start + longer + after)
+    d = d.withColumns({"size": size, "low": low, "high": high}).where("low <= high").withColumn("at", F.explode(F.sequence("low", "high")))
+    return d.select("la", "lb", "part", "a", F.substr("a", F.col("at") + 1, F.col("size")).alias("text"))
+
+
+def _near(least: float) -> Column:
+    return F.abs(F.col("la") - F.col("lb")) <= F.greatest("la", "lb") * F.lit(1 - least + 1e-6)
+
+
+def _similarity() -> Column:
+    return F.round(1 - F.levenshtein("a", "b") / F.nullif(F.greatest("la", "lb"), F.lit(0)), 6)
+
+
+def _best_of(pairs: DataFrame, least: float) -> DataFrame:
+    s = pairs.withColumn("similarity", _similarity()).where(F.col("similarity") >= least)
+    best = s.groupBy("a", "la").agg(F.min(F.struct((-F.col("similarity")).alias("order"), "b", "similarity")).alias("best"))
+    return best.select("a", "la", "best.b", "best.similarity")
+
+
+def fuzzy_candidates(rows: DataFrame, label: str, reference: DataFrame, ref_label: str, least: float = 0.5, block: int = 1000, steps: tuple[float, ...] = (0.85, 0.7, 0.6)) -> DataFrame:
     """For each distinct label the most similar reference label (1 - edits / longer length) of at least `least`, for review; of equally similar ones the lowest.
 
-    Distinct labels are compared with all reference labels of a length that allows
-    `least`, as edits are at least the difference of lengths: the result is that of all
-    with all. The comparisons are dealt out in blocks of about `block` by `block` labels.
+    Labels within k edits of each other share one of k + 1 parts at nearly the same place: each step looks up the
+    labels' pieces among the reference's parts and so finds all pairs of its similarity or more, so what it finds is a label's
+    best. Labels without one go on to the next, lower step. At low similarity the parts are too short to tell labels apart:
+    what is left after the steps is compared with all reference labels of a fitting length, in blocks of about `block` by `block`
+    labels. The result is that of all with all.
     """
-    a = rows.select(normal_label(F.col(label)).alias("a")).distinct().withColumn("la", F.length("a"))
-    b = reference.select(normal_label(F.col(ref_label)).alias("b")).distinct().withColumn("lb", F.length("b"))
+    with scratch() as keep:
+        size = lambda df, c, n: df.select(normal_label(F.col(c)).alias(n)).distinct().withColumn(f"l{n}", F.length(n)).where(f"l{n} > 0")
+        left, b = keep(size(rows, label, "a"), "labels"), keep(size(reference, ref_label, "b"), "reference")
+        lengths = keep(b.select(F.col("lb").alias("l")).distinct(), "lengths")
+        found = []
+        for step in sorted((x for x in steps if x > least), reverse=True):
+            asked = keep(left.select(F.col("la").alias("l")).distinct(), "asked")
+            parts, pieces = _segments(b, asked, step), _substrings(left, lengths, step)
+            pairs = pieces.join(parts, ["la", "lb", "part", "text"]).select("a", "b", "la", "lb")
+            found.append(keep(_best_of(pairs, step), "best"))
+            left = keep(left.join(found[-1], "a", "left_anti"), "labels")
+        found.append(_best_of(_in_blocks(left, b, least, block), least))
+        out = found[0]
+        for f in found[1:]:
+            out = out.unionByName(f)
+        return cut(out.select(F.col("a").alias("label"), F.col("b").alias("suggested"), "similarity"), "similar-labels")
+
+
+def _in_blocks(a: DataFrame, b: DataFrame, least: float, block: int) -> DataFrame:
+    """All pairs (a, b) of lengths that allow `least`, dealt out in blocks."""
     blocks = lambda df, n: df.groupBy(f"l{n}").agg(F.ceil(F.count("*") / block).alias(f"n{n}"))
-    # similarity is rounded to 6 digits
-    near = F.abs(F.col("la") - F.col("lb")) <= F.greatest("la", "lb") * (1 - least + 1e-6)
-    both = blocks(a, "a").join(blocks(b, "b"), near)
+    both = blocks(a, "a").join(blocks(b, "b"), _near(least))
     numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     both = both.withColumn("ba", numbers("na")).withColumn("bb", numbers("nb"))
     deal = lambda n: both.select("la", "lb", "ba", "bb", f"n{n}")
     left = a.join(deal("a"), "la").where(F.pmod(F.xxhash64("a"), "na") == F.col("ba")).drop("na")
     right = b.join(deal("b"), "lb").where(F.pmod(F.xxhash64("b"), "nb") == F.col("bb")).drop("nb")
-    score = 1 - F.levenshtein("a", "b") / F.nullif(F.greatest("la", "lb"), F.lit(0))
-    s = left.join(right, ["la", "lb", "ba", "bb"]).withColumn("similarity", F.round(score, 6)).where(F.col("similarity") >= least)
-    best = s.groupBy("a").agg(F.min(F.struct((-F.col("similarity")).alias("order"), "b", "similarity")).alias("best"))
-    return best.select(F.col("a").alias("label"), F.col("best.b").alias("suggested"), "best.similarity")
+    return left.join(right, ["la", "lb", "ba", "bb"])
 
 
 def gap_ranking(used: DataFrame, covered: DataFrame, code: str, boundary: Column | None = None) -> DataFrame:

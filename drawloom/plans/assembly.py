@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from drawloom.operators import composition, history, stitch, systems, topology
+from drawloom.operators import composition, history, naming, stitch, systems, topology
 from drawloom.plans.change import t
 from drawloom.tables import cut
 
@@ -237,3 +237,14 @@ def r14m(spark, d):
     """Runs of two hundred documents as trees about as deep; every thirty-seventh length is a mark."""
     x = t(spark, d, "documents").selectExpr("doc_id", "CASE WHEN n_chars % 37 = 0 THEN concat('M', n_chars % 100) END AS mark", "CASE WHEN doc_id % 200 > 0 THEN doc_id - 1 - n_chars % least(doc_id % 200, 2) END AS up")
     return topology.down_tree(x, x.where("mark is not null"), "doc_id", "up", "mark")
+
+
+_WORDS = "SELECT DISTINCT lower(w) AS {n} FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{{4,}}')) AS w FROM {t})"
+
+
+@query("n16_similar_words", "WITH a AS (" + _WORDS.format(n="a", t="conversations") + "), b AS (" + _WORDS.format(n="b", t="benchmark") + """), s AS (SELECT a, b, round(1 - levenshtein(a, b) / greatest(length(a), length(b)), 6) AS similarity FROM a JOIN b ON abs(length(a) - length(b)) <= 0.51 * greatest(length(a), length(b)))
+SELECT a AS label, b AS suggested, similarity FROM s WHERE similarity >= 0.5 QUALIFY row_number() OVER (PARTITION BY a ORDER BY similarity DESC, b) = 1""")
+def n16w(spark, d):
+    """The words of all conversations against those of the benchmark's items."""
+    words = lambda n: t(spark, d, n).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{4,})"), 1)).alias("w"))
+    return naming.fuzzy_candidates(words("conversations"), "w", words("benchmark"), "w")
