@@ -114,3 +114,64 @@ def history_of(spark: SparkSession, path: str) -> DataFrame:
 def read_as_of(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The given version, or the newest."""
     return spark.read.parquet(f"{path}/v{_versions(spark, path) - 1 if version is None else version:06d}")
+
+
+def bucket(key: str, buckets: int):
+    """The bucket of a row by its key, as a column; null keys have one too."""
+    from pyspark.sql import functions as F
+
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, mode: str = "append") -> None:
+    """df into the table at path, whose files lie in one folder per bucket of the key's hash; each task writes to few of them, and a bucket may be written by several."""
+    dealt = df.withColumn("bucket", bucket(key, buckets))
+    dealt.repartition("bucket", key).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
+def read_buckets(spark: SparkSession, path: str, schema, touched: list[int] | None = None) -> DataFrame:
+    """The table at path, empty if there is none; with `touched` only those buckets' files are listed and read."""
+    from pyspark.sql.types import IntegerType, StructType
+
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], schema)
+    out = spark.read.schema(StructType([*(f for f in schema if f.name != "bucket")]).add("bucket", IntegerType())).parquet(path)
+    return (out if touched is None else out.where(out["bucket"].isin(touched))).drop("bucket")
+
+
+def _touched(batch: DataFrame, key: str, buckets: int) -> list[int]:
+    """The buckets that batch has keys in: at most `buckets` numbers."""
+    return sorted(r[0] for r in batch.select(bucket(key, buckets)).distinct().collect())
+
+
+def append_bucketed(batch: DataFrame, path: str, key: str, buckets: int = 64, order: str | None = None) -> None:
+    """Append batch's rows of keys that the table lacks (see landing.append_unseen), reading only the buckets that batch touches. Running it again adds nothing."""
+    from drawloom.operators.landing import append_unseen
+
+    known = read_buckets(batch.sparkSession, path, batch.schema, _touched(batch, key, buckets))
+    write_bucketed(append_unseen(batch, known, key, order), path, key, buckets)
+
+
+def replace_bucketed(path: str, key: str, new: DataFrame, gone: DataFrame, buckets: int = 64) -> None:
+    """The table without the rows of the keys of gone and new, and with the rows of new; only their buckets are read and written, and running it again changes nothing.
+
+    The buckets' new rows are written in full to the shared folder before they take the place of the old ones. A bucket of which nothing is left is
+    not overwritten by Spark, so its rows go by an empty folder.
+    """
+    spark = new.sparkSession
+    keys = new.select(key).unionByName(gone.select(key)).distinct()
+    with scratch() as keep:
+        keys = keep(keys, "replaced")
+        touched = _touched(keys, key, buckets)
+        if not touched:
+            return
+        old = read_buckets(spark, path, new.schema, touched)
+        known = keys.withColumnRenamed(key, "_key")
+        stays = old.join(known, old[key].eqNullSafe(known["_key"]), "left_anti")
+        rows = keep(stays.unionByName(new), "buckets")
+        write_bucketed(rows, path, key, buckets, "overwrite")
+        left = {r[0] for r in rows.select(bucket(key, buckets)).distinct().collect()}
+        for b in set(touched) - left:
+            at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/bucket={b}")
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
