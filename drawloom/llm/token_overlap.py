@@ -102,8 +102,10 @@ class Pair:
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
-        self.a, plain, _ = byte_level(path_a)
+        self.a, plain, special = byte_level(path_a)
         self.a.encode_special_tokens = True
+        self.parting, self.mark = byte_level(path_a)[0], special[0] if special else ""
+        self.parted = self.parting.token_to_id(self.mark) if special else None
         letters = byte_letters()
         self.bytes_a = [b""] * (max(self.a.get_vocab().values()) + 1)
         for token, i in self.a.get_vocab().items():
@@ -126,15 +128,38 @@ class Pair:
         self.len_a = np.fromiter(map(len, self.bytes_a), np.int64, len(self.bytes_a))
         self.len_b = np.fromiter(map(len, self.bytes_b), np.int64, len(self.bytes_b))
 
-    def ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Of each text as it stands; both empty where one side's bytes aren't the text's."""
-        a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+    def _ids_a(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids and the number of each text's. One call for many texts: the special token's string parts them before anything else is done, unless a text holds it."""
+        joined = self.mark.join([*texts, ""]) if self.mark else ""
+        if not self.mark or joined.count(self.mark) != len(texts):
+            each = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.fromiter((i for x in each for i in x), np.int64), np.fromiter(map(len, each), np.int64, len(each))
+        many = np.array(self.parting.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64)
+        return many[many != self.parted], np.diff(np.flatnonzero(many == self.parted), prepend=-1) - 1
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(A's ids, B's ids, number of each text's A ids, of its B ids) of each text as it stands; none of either where one side's bytes aren't the text's."""
+        a, n_a = map(np.concatenate, zip(*[self._ids_a(texts[i : i + 4096]) for i in range(0, len(texts), 4096)]))
         b = self.b.encode(texts, num_threads=1)
-        for k, t in enumerate(texts):
-            t = t.encode()
-            if b"".join(map(self.bytes_a.__getitem__, a[k])) != t or b"".join(map(self.bytes_b.__getitem__, b[k])) != t:
-                a[k], b[k] = [], []
-        return a, b
+        n_b = np.fromiter(map(len, b), np.int64, len(b))
+        b = np.fromiter((i for x in b for i in x), np.int64, int(n_b.sum()))
+        # where each text has as many bytes as its tokens and all bytes together are alike, each text's are
+        want = [t.encode() for t in texts]
+        size = np.fromiter(map(len, want), np.int64, len(want))
+        whole, good = b"".join(want), np.ones(len(texts), bool)
+        for ids, n, known, lens in ((a, n_a, self.bytes_a, self.len_a), (b, n_b, self.bytes_b, self.len_b)):
+            ends = np.cumsum(n)
+            if (_sums(lens[ids], n) != size).any() or b"".join(map(known.__getitem__, ids.tolist())) != whole:
+                good &= [b"".join(map(known.__getitem__, ids[e - k : e].tolist())) == t for e, k, t in zip(ends.tolist(), n.tolist(), want)]
+        if good.all():
+            return a, b, n_a, n_b
+        return a[np.repeat(good, n_a)], b[np.repeat(good, n_b)], n_a * good, n_b * good
+
+
+def _sums(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of n[0], n[1], ... values of x."""
+    y, ends = np.concatenate(([0], np.cumsum(x))), np.cumsum(n)
+    return y[ends] - y[ends - n]
 
 
 class Chunks:
@@ -142,7 +167,7 @@ class Chunks:
 
     def __init__(self, pair: Pair):
         self.pair = pair
-        self.store = Store(self._fill, self._empty)
+        self.store = Store(self._fill, self._empty, most=200_000, most_chars=6 << 20)
         self._empty()
 
     def _empty(self) -> None:
@@ -151,9 +176,7 @@ class Chunks:
 
     def _fill(self, new: list[str]) -> None:
         p = self.pair
-        a, b = p.ids(new)
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(new)) for x in (a, b))
-        a, b = (np.fromiter((i for x in y for i in x), np.int64) for y in (a, b))
+        a, b, n_a, n_b = p.ids(new)
         a_ends, b_ends = np.cumsum(p.len_a[a]), np.cumsum(p.len_b[b])
         n_bytes = int(a_ends[-1]) if len(a_ends) else 0
         left, right = incidence(a_ends, n_bytes), incidence(b_ends, n_bytes)
@@ -163,8 +186,7 @@ class Chunks:
         in_group = lambda x: np.bincount(x.cols, minlength=len(common))
         per_a = np.diff(links.edge)
         # a chunk without tokens, whose bytes differ, has none of what follows either
-        a_edge = np.concatenate(([0], np.cumsum(n_a)))
-        over = lambda x: (y := np.concatenate(([0], np.cumsum(x))))[a_edge[1:]] - y[a_edge[:-1]]
+        over = lambda x: _sums(x, n_a)
         n_links = over(per_a)
         first = np.concatenate(([True], np.diff(a_group.cols) > 0)) if len(a) else np.empty(0, bool)
         n_groups = over(first)
@@ -177,15 +199,19 @@ class Chunks:
 
 
 def _group_texts(a, b, in_a, in_b, n_groups) -> list[str]:
-    """`a1,a2|b1;a3|b2,b3` of each chunk."""
-    a, b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    at = bt = 0
-    groups = []
-    for x, y in zip(in_a.tolist(), in_b.tolist()):
-        groups.append(",".join(a[at : at + x]) + "|" + ",".join(b[bt : bt + y]))
-        at, bt = at + x, bt + y
-    edge = np.concatenate(([0], np.cumsum(n_groups))).tolist()
-    return [";".join(groups[i:j]) for i, j in zip(edge[:-1], edge[1:])]
+    """`a1,a2|b1;a3|b2,b3` of each chunk: all ids in the order of their groups, first the A ids of each, with what follows each id."""
+    both = np.cumsum(in_a + in_b)
+    place = lambda first, n: ranges(first, n) if len(n) else n
+    ids = np.empty(len(a) + len(b), np.int64)
+    ids[place(both - in_a - in_b, in_a)], ids[place(both - in_b, in_b)] = a, b
+    after = np.zeros(len(ids), np.int64)
+    after[both - in_b - 1], after[both - 1] = 1, 2
+    n_groups = np.asarray(n_groups)
+    after[both[np.cumsum(n_groups)[n_groups > 0] - 1] - 1] = 3
+    text: list[str] = [""] * (2 * len(ids))
+    text[::2], text[1::2] = map(str, ids.tolist()), map(",|;\n".__getitem__, after.tolist())
+    found = iter("".join(text).split("\n"))
+    return [next(found) if n else "" for n in n_groups.tolist()]
 
 
 def _of_process(path_a: str, path_b: str) -> Chunks:
@@ -274,7 +300,7 @@ def _documents(batches):
             yield batch(_DOC, ids, *sizes.T, of_docs(best), of_docs(n), get("sha").as_py())
 
 
-def alignment_counts(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 16 << 20) -> DataFrame:
+def alignment_counts(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 8 << 20) -> DataFrame:
     """One row per row of df: id, n_a, n_b, n_groups, n_links, n_group_links, n_best, count_sum, groups_sha256.
 
     The first tokenizer reads a space and the text, the second the text, before which it puts a
@@ -301,8 +327,8 @@ def _aligned(path_a, path_b):
         for b in pieces(batches, size=1 << 17):
             out = []
             texts = [t.decode() for t in raw(b.column("text"))]
-            for doc, a, z in zip(b.column("id").to_pylist(), *pair.ids([" " + t if t else "" for t in texts])):
-                a, z = np.array(a, np.int64), np.array(z, np.int64)
+            for doc, t in zip(b.column("id").to_pylist(), texts):
+                a, z, _, _ = pair.ids([" " + t if t else ""])
                 a_ends, b_ends = np.cumsum(pair.len_a[a]), np.cumsum(pair.len_b[z])
                 n = int(a_ends[-1]) if len(a) else 0
                 left, right = incidence(a_ends, n), incidence(b_ends, n)
