@@ -9,3 +9,7 @@ ORACLES: dict = {}
 for module in (change, structure, knowledge, streams, assembly):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES
+
+#: The names of queries that once read a part of their tables stand for the same over whole tables.
+for name in ("g03_flow_between", "j09_as_of_join", "n10_service_texts", "o02_to_from", "q07_roundtrip"):
+    QUERIES[name], ORACLES[name] = QUERIES[f"{name}_whole"], ORACLES[f"{name}_whole"]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from drawloom.functions.text import blank, full_match, template
+from drawloom.tables import cut, drop, scratch
 
 RANK = {"clean": 0, "flag": 1, "quarantine": 2, "drop": 3, "fail": 4}
 STATE = {0: "clean", 1: "flagged", 2: "quarantined", 3: "dropped", 4: "failed"}
@@ -187,3 +188,30 @@ def lineage_trace(rows: DataFrame, source: DataFrame, key: list[str], column: st
     """Rows with the value re-read from the source and whether it is the same."""
     s = source.select(*key, F.col(column).alias("source_value"))
     return rows.select(*key, F.col(column).alias("value")).join(s, key, "left").withColumn("same", F.col("value").eqNullSafe(F.col("source_value")))
+
+
+def neighbour_colours(rows: DataFrame, edges: DataFrame, id_col: str, tag: str, rounds: int, src: str = "src", dst: str = "dst") -> DataFrame:
+    """(id, colour_0, ..., colour_<rounds>): 0 stands for the tag alone, each further round for the colour before and the multiset of the neighbours' colours before.
+
+    Objects of one colour look alike as far as `rounds` steps away. A multiset is taken as its size, two sums and a checksum of its hashes,
+    which Spark adds up before it shuffles, so that an object of very many neighbours is no more work than others. Edges count both ways and
+    once each; edges to objects that rows lacks, to themselves or to null do not.
+    """
+    low = lambda c, seed: F.xxhash64(F.lit(seed), c).bitwiseAND(F.lit(0xFFFFFFFF))
+    e = edges.select(F.col(src).alias("_id"), F.col(dst).alias("_other")).where("_id <> _other")
+    with scratch() as keep:
+        e = keep(e.unionByName(e.select(F.col("_other").alias("_id"), F.col("_id").alias("_other"))).distinct(), "both-ways")
+        out = keep(rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.xxhash64(F.col(tag).cast("string")).alias("colour_0")).dropDuplicates(["_id"]), "colours")
+        for r in range(rounds):
+            now = f"colour_{r}"
+            near = e.join(out.select(F.col("_id").alias("_other"), F.col(now).alias("_c")), "_other").groupBy("_id").agg(F.count("*").alias("_n"), F.sum(low(F.col("_c"), 1)).alias("_a"), F.sum(low(F.col("_c"), 2)).alias("_b"), F.bit_xor(F.xxhash64(F.lit(3), "_c")).alias("_x"))
+            before, out = out, keep(out.join(near, "_id", "left").select(*out.columns, F.xxhash64(now, *[F.coalesce(c, F.lit(0)) for c in ("_n", "_a", "_b", "_x")]).alias(f"colour_{r + 1}")), "colours")
+            drop(before)
+        return cut(out.withColumnRenamed("_id", id_col), "colours")
+
+
+def collider_diagnostics(rows: DataFrame, edges: DataFrame, anchor: list[str], id_col: str, attrs: list[str], tag: str, rounds: tuple[int, ...] = (1, 3)) -> DataFrame:
+    """Of each anchor that several ids share: n_ids, n_attrs (different attributes) and n_colours_<r> (ids that their neighbourhood tells apart after r rounds)."""
+    colours = neighbour_colours(rows, edges, id_col, tag, max(rounds)).select(F.col(id_col), *[f"colour_{r}" for r in rounds])
+    x = rows.join(colours, id_col, "left").withColumn("_attrs", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in attrs]))
+    return x.groupBy(*anchor).agg(F.countDistinct(id_col).alias("n_ids"), F.countDistinct("_attrs").alias("n_attrs"), *[F.countDistinct(f"colour_{r}").alias(f"n_colours_{r}") for r in rounds]).where("n_ids > 1")

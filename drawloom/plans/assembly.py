@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from drawloom.operators import composition, history, naming, stitch, systems, topology
+from drawloom.operators import composition, conventions, history, naming, quality, stitch, systems, topology
+from drawloom.plans import streams
 from drawloom.plans.change import t
 from drawloom.tables import cut
 
@@ -248,3 +249,65 @@ def n16w(spark, d):
     """The words of all conversations against those of the benchmark's items."""
     words = lambda n: t(spark, d, n).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{4,})"), 1)).alias("w"))
     return naming.fuzzy_candidates(words("conversations"), "w", words("benchmark"), "w")
+
+
+_FIELDS = """WITH f AS (SELECT doc_id, upper(lang) AS fluid, lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') AS system, lpad(CAST(n_chars % 100 AS VARCHAR), 2, '0') AS unit, lpad(CAST(n_chars % 1000 AS VARCHAR), 3, '0') AS seq,
+  CASE WHEN n_chars % 3 = 0 THEN CAST(n_chars % 40 + 1 AS VARCHAR) || '"' END AS diameter, CASE WHEN n_chars % 4 = 0 THEN 'D' || CAST(n_chars % 500 AS VARCHAR) || 'H' END AS class, CASE WHEN n_chars % 5 < 2 THEN 'S' END AS kind, CASE WHEN n_chars % 7 = 0 THEN 'H' END AS purpose, CASE WHEN n_chars % 5 = 0 THEN CAST(n_chars % 90 AS VARCHAR) END AS thick FROM documents) """
+
+
+def tag_fields(spark, d):
+    n = F.col("n_chars")
+    two = lambda c, w=2: F.lpad(c.cast("string"), w, "0")
+    return t(spark, d, "documents").select("doc_id", F.upper("lang").alias("fluid"), two(F.col("doc_id") % 100).alias("system"), two(n % 100).alias("unit"), two(n % 1000, 3).alias("sequence"), F.when(n % 3 == 0, F.concat((n % 40 + 1).cast("string"), F.lit('"'))).alias("diameter"), F.when(n % 4 == 0, F.concat(F.lit("D"), (n % 500).cast("string"), F.lit("H"))).alias("piping_class"), F.when(n % 5 < 2, "S").alias("insul_type"), F.when(n % 7 == 0, "H").alias("insul_purpose"), F.when(n % 5 == 0, (n % 90).cast("string")).alias("insul_thick"))
+
+
+def there_and_back(spark, d, rows, template):
+    """Tags by the convention's template, and the fields that decoding them gives."""
+    layout = conventions.load(spark.createDataFrame(rows, conventions.CONVENTION))[template]
+    x = tag_fields(spark, d)
+    x = x.withColumn("tag", conventions.compose_tag(layout, {c: F.col(c) for c in x.columns if c != "doc_id"}))
+    names = [f[3] for g in layout for f in g]
+    back = x.withColumn("back", conventions.decode_tag(layout, F.col("tag")))
+    return back.select("doc_id", "tag", F.when(F.col("back").isNotNull(), F.concat_ws("|", *[F.coalesce(F.col("back")[n], F.lit("")) for n in names])).alias("fields"))
+
+
+@query("r12_packed_tags", _FIELDS + """SELECT doc_id, CASE WHEN diameter IS NOT NULL THEN fluid || system || unit || seq || '-' || diameter || coalesce('(' || class || ')', '') || CASE WHEN kind IS NULL AND purpose IS NULL AND thick IS NULL THEN '' ELSE '-' || coalesce(kind, '') || coalesce('(' || purpose || ')', '') || coalesce('(' || thick || ')', '') END END AS tag,
+CASE WHEN diameter IS NOT NULL THEN concat_ws('|', fluid, system, unit, seq, diameter, coalesce(class, ''), coalesce(kind, ''), coalesce(purpose, CASE WHEN thick IS NOT NULL THEN thick END, ''), CASE WHEN purpose IS NULL THEN '' ELSE coalesce(thick, '') END) END AS fields FROM f""")
+def r12p(spark, d):
+    """The packed convention: a single bracket after the insulation type is read as the purpose, the first of the two."""
+    return there_and_back(spark, d, conventions.PACKED, "segment")
+
+
+@query("r12_dashed_tags", _FIELDS + "SELECT doc_id, concat_ws('-', diameter, fluid, unit || seq, class, purpose) AS tag, concat_ws('|', coalesce(diameter, ''), fluid, unit, seq, '', coalesce(class, ''), coalesce(purpose, '')) AS fields FROM f")
+def r12d(spark, d):
+    return there_and_back(spark, d, conventions.DASHED, "segment")
+
+
+_STEP = "c{r} AS (SELECT c.id, md5(c.c || '|' || coalesce(s.near, '')) AS c FROM c{q} c LEFT JOIN (SELECT u.a AS id, string_agg(n.c, ',' ORDER BY n.c) AS near FROM u JOIN c{q} n ON n.id = u.b GROUP BY 1) s USING (id))"
+
+
+@query("q19_colliders", """WITH n AS (SELECT doc_id AS id, lang || '-' || CAST(n_chars % 300 AS VARCHAR) AS anchor, source FROM documents), e AS (SELECT doc_id AS a, doc_id + 1 AS b FROM documents WHERE doc_id % 5 <> 4 UNION SELECT doc_id, doc_id - n_chars % 7 FROM documents WHERE n_chars % 2 = 0),
+u AS (SELECT DISTINCT a, b FROM (SELECT a, b FROM e UNION ALL SELECT b, a FROM e) WHERE a <> b AND a IN (SELECT id FROM n) AND b IN (SELECT id FROM n)), c0 AS (SELECT id, anchor AS c FROM n), """ + ", ".join(_STEP.format(r=r, q=r - 1) for r in (1, 2, 3)) + """
+SELECT anchor, count(*) AS n_ids, count(DISTINCT source) AS n_attrs, count(DISTINCT c1.c) AS n_colours_1, count(DISTINCT c3.c) AS n_colours_3 FROM n JOIN c1 USING (id) JOIN c3 USING (id) GROUP BY anchor HAVING count(*) > 1""")
+def q19c(spark, d):
+    """Documents that share an anchor, and how far their neighbours tell them apart."""
+    x = t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.concat_ws("-", "lang", (F.col("n_chars") % 300).cast("string")).alias("anchor"), "source", "n_chars")
+    e = x.where("id % 5 <> 4").select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst")).unionByName(x.where("n_chars % 2 = 0").select(F.col("id").alias("src"), (F.col("id") - F.col("n_chars") % 7).alias("dst")))
+    return quality.collider_diagnostics(x, e, ["anchor"], "id", ["source"], "anchor")
+
+
+ORACLES["t04_deletions_and_collisions"] = streams.ORACLES["st2_whole_history"]
+
+
+def t04d(spark, d):
+    """The turns of conversations with deletions and collisions, folded in one batch: rows and anomalies."""
+    n = F.char_length("text")
+    kind = F.when(n % 5 == 0, "Deleted").when(n % 5 == 1, "New").otherwise("Modified")
+    e = t(spark, d, "conversations").select("conv_id", kind.alias("change_type"), F.concat("role", (n % 4).cast("string")).alias("attrs"), F.expr("date_add(DATE'2024-01-01', int(turn div 2 * 10))").alias("valid_from"), F.timestamp_seconds(F.lit(1704067200) + F.col("turn") * 86400).alias("tx"), F.lpad(F.col("turn").cast("string"), 6, "0").alias("delta_id"))
+    rows, odd = history.apply_events(e, ["conv_id"])
+    told = rows.select(F.col("conv_id").alias("key"), F.lit("row").alias("what"), "attrs", "valid_from", "valid_to", F.unix_micros("tx_from").alias("tx_from_us"), F.unix_micros("tx_to").alias("tx_to_us"))
+    none = lambda kind: F.lit(None).cast(kind)
+    return told.unionByName(odd.select(F.col("conv_id").alias("key"), F.col("reason").alias("what"), none("string").alias("attrs"), none("date").alias("valid_from"), none("date").alias("valid_to"), F.unix_micros("tx").alias("tx_from_us"), none("long").alias("tx_to_us")))
+
+
+QUERIES["t04_deletions_and_collisions"] = t04d

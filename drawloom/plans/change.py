@@ -190,13 +190,6 @@ def t09(spark, d):
     return history.first_version(rows, ["user_id"]).select("user_id", "attrs", "valid_from")
 
 
-@query("j09_as_of_join", _FOLD + "SELECT o_orderkey, user_id, attrs FROM orders JOIN (SELECT * FROM h) h ON h.user_id = o_custkey % 100 AND h.valid_from <= DATE '2024-01-10' AND (h.valid_to IS NULL OR DATE '2024-01-10' < h.valid_to) WHERE o_orderkey % 10 = 0")
-def j09(spark, d):
-    rows, _ = history.apply_events(event_stream(spark, d), ["user_id"])
-    o = t(spark, d, "orders").where("o_orderkey % 10 = 0").select("o_orderkey", (F.col("o_custkey") % 100).cast("long").alias("user_id"), F.lit("2024-01-10").cast("date").alias("at"))
-    return history.as_of(o, rows, "user_id", "at").where("as_of_attrs is not null").select("o_orderkey", "user_id", F.col("as_of_attrs").alias("attrs"))
-
-
 @query("j09_as_of_join_whole", _FOLD + """, o AS (SELECT o_orderkey, o_custkey % 2000 AS user_id, make_date(2024, 1, day(o_orderdate)) AS day FROM orders),
 g AS (SELECT p.user_id, p.day, attrs, valid_to FROM (SELECT DISTINCT user_id, day FROM o) p JOIN h ON h.user_id = p.user_id AND valid_from <= p.day QUALIFY row_number() OVER (PARTITION BY p.user_id, p.day ORDER BY valid_from DESC, tx_from DESC, tx_to DESC NULLS FIRST) = 1)
 SELECT o_orderkey, o.user_id, CASE WHEN valid_to IS NULL OR o.day < valid_to THEN attrs END AS attrs FROM o LEFT JOIN g ON g.user_id = o.user_id AND g.day = o.day""")

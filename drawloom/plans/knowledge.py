@@ -425,13 +425,6 @@ def n14(spark, d):
     return naming.naming_report(named(spark, d), "name", "members")
 
 
-@query("n10_service_texts", "WITH o AS (SELECT o_orderkey, o_orderstatus AS seg, c_mktsegment AS txt FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 50 = 0) SELECT object_id, array_to_string(list_sort(list(DISTINCT txt)), ',') AS texts FROM (SELECT seg AS object_id, txt FROM o UNION ALL SELECT l_returnflag, txt FROM o JOIN (SELECT DISTINCT l_linestatus, l_returnflag FROM lineitem) ON seg = l_linestatus) GROUP BY object_id")
-def n10(spark, d):
-    o = t(spark, d, "orders").where("o_orderkey % 50 = 0").join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderstatus").alias("on_segment"), F.col("c_mktsegment").alias("description"))
-    c = t(spark, d, "lineitem").select(F.col("l_linestatus").alias("segment_id"), F.col("l_returnflag").alias("component_id")).distinct()
-    return naming.service_texts(o, c).select("object_id", F.array_join("texts", ",").alias("texts"))
-
-
 @query("n10_service_texts_whole", "WITH o AS (SELECT o_orderkey, o_orderstatus AS seg, c_mktsegment AS txt FROM orders JOIN customer ON o_custkey = c_custkey) SELECT object_id, array_to_string(list_sort(list(DISTINCT txt)), ',') AS texts FROM (SELECT seg AS object_id, txt FROM o UNION ALL SELECT l_returnflag, txt FROM o JOIN (SELECT DISTINCT l_linestatus, l_returnflag FROM lineitem) ON seg = l_linestatus) GROUP BY object_id")
 def n10w(spark, d):
     o = t(spark, d, "orders").join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderstatus").alias("on_segment"), F.col("c_mktsegment").alias("description"))

@@ -217,13 +217,6 @@ def g03(spark, d):
     return graph.neighbours(t(spark, d, "lineitem"), "l_partkey", "l_suppkey")
 
 
-@query("g03_flow_between", """WITH e AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem), p AS (SELECT DISTINCT l_suppkey AS a, l_partkey AS b FROM lineitem WHERE l_orderkey % 3 = 0)
-SELECT a, b, CASE WHEN f AND r THEN 'both' WHEN f THEN 'forward' WHEN r THEN 'reverse' ELSE 'none' END AS flow FROM (SELECT a, b, EXISTS (SELECT 1 FROM e WHERE e.a = p.a AND e.b = p.b) AS f, EXISTS (SELECT 1 FROM e WHERE e.a = p.b AND e.b = p.a) AS r FROM p)""")
-def g03f(spark, d):
-    e = t(spark, d, "lineitem")
-    return graph.flow_between(e, e.where("l_orderkey % 3 = 0").select(F.col("l_suppkey").alias("a"), F.col("l_partkey").alias("b")).distinct(), "l_partkey", "l_suppkey")
-
-
 @query("g03_flow_between_whole", """WITH e AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem), p AS (SELECT DISTINCT l_suppkey AS a, l_partkey AS b FROM lineitem)
 SELECT a, b, CASE WHEN f AND r THEN 'both' WHEN f THEN 'forward' WHEN r THEN 'reverse' ELSE 'none' END AS flow FROM (SELECT a, b, EXISTS (SELECT 1 FROM e WHERE e.a = p.a AND e.b = p.b) AS f, EXISTS (SELECT 1 FROM e WHERE e.a = p.b AND e.b = p.a) AS r FROM p)""")
 def g03fw(spark, d):
@@ -304,13 +297,6 @@ def o09(spark, d):
     return s.select(*[F.col(c).cast("long").alias(c) for c in ("n_total", "n_pairs", "n_open")], "conserved")
 
 
-@query("o02_to_from", "SELECT doc_id, nullif(upper(regexp_extract(s, '(?i)^\\s*(to|from)\\b', 1)), '') AS dir, nullif(trim(regexp_replace(s, '(?i)^\\s*(to|from)\\b[\\s:]*', '')), '') AS rest FROM (SELECT doc_id, split_part(text, ',', 1) AS s FROM documents) WHERE NOT contains(s, chr(10)) AND ascii(right(s, 1)) < 128 AND regexp_full_match(s, '[ -~]+')")
-def o02(spark, d):
-    x = t(spark, d, "documents").select("doc_id", F.split_part("text", F.lit(","), F.lit(1)).alias("s")).where(r"s rlike '\\A[ -~]+\\z'")
-    x = x.select("doc_id", stitch.to_from(F.col("s")).alias("x"))
-    return x.select("doc_id", "x.dir", F.col("x.text").alias("rest"))
-
-
 @query("o02_to_from_whole", """WITH x AS (SELECT doc_id, text, upper(nullif(regexp_extract(text, '(?i)\\A[{S}]*(to|from)([^\\p{L}\\p{M}\\p{N}_]|\\z)', 1), '')) AS dir FROM documents)
 SELECT doc_id, dir, nullif(regexp_replace(regexp_replace(CASE WHEN dir IS NULL THEN text ELSE regexp_replace(text, '(?i)\\A[{S}]*(to|from)[{S}:]*', '') END, '\\A[{S}]+', ''), '[{S}]+\\z', ''), '') AS rest FROM x""".replace("{S}", stitch.SPACE))
 def o02w(spark, d):
@@ -403,12 +389,6 @@ def q02(spark, d):
     return quality.violations(quality.Expectation("x", "c", "all_null", columns=("seg", "nat")), s, {}).select("c_custkey")
 
 
-@query("q07_roundtrip", "SELECT c_custkey FROM customer WHERE length(regexp_extract(c_name, '#(.*)$', 1)) < 11 AND c_custkey % 2 = 0")
-def q07(spark, d):
-    s = quality.Subject(t(spark, d, "customer").where("c_custkey % 2 = 0"), "c_custkey", "customer")
-    return quality.violations(quality.Expectation("x", "c", "roundtrip", column="c_name"), s, {}, decode=lambda c: tags.decode(c, F.lit("x"), 2, 9, separator="#")).select("c_custkey")
-
-
 @query("q07_roundtrip_whole", "SELECT c_custkey FROM customer WHERE length(regexp_extract(c_name, '#(.*)$', 1)) < 11")
 def q07w(spark, d):
     s = quality.Subject(t(spark, d, "customer"), "c_custkey", "customer")
