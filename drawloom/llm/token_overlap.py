@@ -218,6 +218,17 @@ def _of_process(path_a: str, path_b: str) -> Chunks:
     return once(("overlap", path_a, path_b), lambda: Chunks(Pair(path_a, path_b)))
 
 
+def _by_bytes(chunk: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same with numbers of a byte: a chunk that occurs more often stands more than once."""
+    if len(times) and times.max() > 255:
+        n = -(-times // 255)
+        last = np.cumsum(n) - 1
+        chunk, rest = np.repeat(chunk, n), times - 255 * (n - 1)
+        times = np.full(len(chunk), 255, np.int64)
+        times[last] = rest
+    return chunk, times
+
+
 class _Bucket:
     """Documents and their distinct chunks, until they are one row of _BUCKET."""
 
@@ -234,7 +245,7 @@ class _Bucket:
         np.add.at(n, pair, np.repeat(np.bincount(chunk, times, len(held)).astype(np.int64), n_links))
         u4 = lambda x: np.asarray(x, "<u4").tobytes()
         return batch(
-            _BUCKET, [bucket], [self.ids], [np.array(self.sizes, "<i8").tobytes()], [self.sha], [u4(self.n_chunks)], [u4(chunk)], [u4(times)],
+            _BUCKET, [bucket], [self.ids], [np.array(self.sizes, "<i8").tobytes()], [self.sha], [u4(self.n_chunks)], [u4(chunk)], [times.astype(np.uint8).tobytes()],
             [u4(n_links)], [u4(pair)], [(kinds >> 32).astype(np.int32)], [(kinds & (2**32 - 1)).astype(np.int32)], [n],
         )
 
@@ -243,7 +254,7 @@ def _buckets(path_a, path_b, bucket_bytes):
     def run(batches):
         known = _of_process(path_a, path_b)
         number, held = TaskContext.get().partitionId() << 32, _Bucket()
-        for b in pieces(batches, size=1 << 19):
+        for b in pieces(batches, size=1 << 18):
             if len(known.store.place) > known.store.most or known.store.chars > known.store.most_chars:
                 if held.ids:  # its chunks' numbers end here
                     yield held.row(number, known.links)
@@ -260,7 +271,7 @@ def _buckets(path_a, path_b, bucket_bytes):
                 held.ids.append(doc)
                 held.sizes.append([int(x[a:z].sum()) if good else 0 for x in numbers])
                 held.sha.append(hashlib.sha256(";".join(map(known.text.__getitem__, mine.tolist())).encode()).hexdigest() if good else "")
-                chunk, times = np.unique(mine, return_counts=True) if good else (mine[:0], mine[:0])
+                chunk, times = _by_bytes(*np.unique(mine, return_counts=True)) if good else (mine[:0], mine[:0])
                 held.n_chunks.append(len(chunk))
                 held.chunk.append(chunk)
                 held.times.append(times)
@@ -288,7 +299,7 @@ def _documents(batches):
                 at = back.field("at").to_numpy()
                 n[at], best[at] = back.field("times").to_numpy(), back.field("best").to_numpy(zero_copy_only=False)
             pair, edge = u4("pair"), np.concatenate(([0], np.cumsum(u4("chunk_links"))))
-            chunk, times, docs = u4("chunk"), u4("times"), np.concatenate(([0], np.cumsum(u4("doc_chunks"))))
+            chunk, times, docs = u4("chunk"), np.frombuffer(get("times").as_buffer(), np.uint8).astype(np.int64), np.concatenate(([0], np.cumsum(u4("doc_chunks"))))
 
             def of_docs(x):
                 """Sums over the links of each document."""
@@ -300,7 +311,7 @@ def _documents(batches):
             yield batch(_DOC, ids, *sizes.T, of_docs(best), of_docs(n), get("sha").as_py())
 
 
-def alignment_counts(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 8 << 20) -> DataFrame:
+def alignment_counts(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 4 << 20) -> DataFrame:
     """One row per row of df: id, n_a, n_b, n_groups, n_links, n_group_links, n_best, count_sum, groups_sha256.
 
     The first tokenizer reads a space and the text, the second the text, before which it puts a

@@ -75,7 +75,7 @@ def test_products_equal_dense_ones():
 
 
 def test_equals_loops_on_odd_texts(spark):
-    rows = list(enumerate([*odd_texts(300, 8), "a\r\n\nb c;\r d", "x" * 300, "plain words, twice. plain words, twice.", None, "", " ", "naïve 日本語 text"])) + [(None, "null id"), (1, "again"), (1, "again")]
+    rows = list(enumerate([*odd_texts(300, 8), "a\r\n\nb c;\r d", "x" * 300, "plain words, twice. plain words, twice.", "many " * 700, None, "", " ", "naïve 日本語 text"])) + [(None, "null id"), (1, "again"), (1, "again")]
     df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, bucket int, a string").repartition(3)
     got = alignment_counts(df, *tokenizer_paths(), bucket_bytes=2000).select("doc_id", *SIZES).collect()
     assert short(map(tuple, got)) == short(plain(rows))
@@ -86,6 +86,8 @@ def test_long_text_and_empty_table(spark):
     df = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
     got = {r["doc_id"]: r for r in alignment_counts(df, *tokenizer_paths()).collect()}
     a = Tokenizer.from_file(tokenizer_paths()[0])
+    # a chunk that occurs 20,000 times in one text
+    assert got[1]["count_sum"] > 4 * 20_000**2
     assert got[1]["n_a"] == len(a.encode(" " + text, add_special_tokens=False).ids) and got[2]["n_a"] > 0
     assert alignment_counts(df.limit(0), *tokenizer_paths()).count() == 0
 
