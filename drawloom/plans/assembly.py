@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from drawloom.operators import composition, conventions, history, naming, quality, stitch, systems, topology
+from drawloom.operators.naming_rules import Link, Rule, resolve_fields
 from drawloom.plans import streams
 from drawloom.plans.change import t
 from drawloom.tables import cut
@@ -311,3 +312,40 @@ def t04d(spark, d):
 
 
 QUERIES["t04_deletions_and_collisions"] = t04d
+
+
+_AREAS = [("0", "A1"), ("01", "A2"), ("2", "A3"), ("2", "A4"), ("3", ""), ("4", "A1")]
+_FUNCTIONS = [("0", "F1", "HP", "A1"), ("0", "F2", "LP", "A9"), ("1", "F3", "ACID", "A2"), ("00", "F4", "TRIM", "A1"), ("4", "F5", "ONLY", ""), ("3", "F6", "X", "A1"), ("3", "F7", "Y", "A2")]
+_LINKS = [("F1", "0", "AG;FG"), ("F2", "", "AG, LF"), ("F3", "", "AG"), ("F4", "0", "LF"), ("F6", "", "FG"), ("F7", "3", "FG,AG")]
+
+
+def _rows_sql(rows):
+    return ", ".join("(" + ", ".join(f"'{c}'" for c in r) + ")" for r in rows)
+
+
+@query("n03_naming_rules", f"""WITH m AS (SELECT conv_id, CAST(length(text) % 6 AS VARCHAR) AS unit, ['AG', 'FG', 'LF'][length(text) % 3 + 1] AS fluid FROM conversations),
+u AS (SELECT conv_id, unit FROM m GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY count(*) DESC, unit) = 1), l AS (SELECT conv_id, fluid FROM m GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY count(*) DESC, fluid) = 1),
+areas AS (SELECT regexp_replace(c0, '^0+(.)', '\\1') AS unit, c1 AS area FROM (VALUES {_rows_sql(_AREAS)}) v(c0, c1)), functions AS (SELECT regexp_replace(c0, '^0+(.)', '\\1') AS unit, c1 AS code, c2 AS what, c3 AS area FROM (VALUES {_rows_sql(_FUNCTIONS)}) v(c0, c1, c2, c3)),
+links AS (SELECT c0 AS code, c1 AS unit, string_split(replace(replace(c2, ' ', ''), ';', ','), ',') AS fluids FROM (VALUES {_rows_sql(_LINKS)}) v(c0, c1, c2)),
+a AS (SELECT u.conv_id, u.unit, l.fluid, count(area) AS n_rows, count(DISTINCT nullif(area, '')) AS n_areas, min(nullif(area, '')) AS area FROM u JOIN l USING (conv_id) LEFT JOIN areas ON areas.unit = u.unit GROUP BY 1, 2, 3),
+b AS (SELECT conv_id, unit, fluid, n_rows, n_areas, CASE WHEN n_areas = 1 THEN area END AS area FROM a),
+f AS (SELECT b.conv_id, g.code, g.what, g.area IS NOT DISTINCT FROM b.area AND b.area IS NOT NULL AS same, EXISTS (SELECT 1 FROM links k WHERE k.code = g.code AND k.unit IN ('', g.unit) AND list_contains(k.fluids, b.fluid)) AS hit, NOT EXISTS (SELECT 1 FROM links k WHERE k.code = g.code AND k.unit IN ('', g.unit)) AS bare, count(*) OVER (PARTITION BY b.conv_id) AS n FROM b JOIN functions g ON g.unit = b.unit),
+h AS (SELECT *, bool_or(same) OVER (PARTITION BY conv_id) AS tied FROM f WHERE hit OR (n = 1 AND bare)), p AS (SELECT conv_id, count(*) AS n, min(code) AS code, min(what) AS what, list_sort(list(code)) AS codes FROM h WHERE same OR NOT tied GROUP BY 1),
+r AS (SELECT b.*, CASE WHEN p.n = 1 THEN p.code END AS code, CASE WHEN p.n = 1 THEN p.what END AS what, p.n AS hits, p.codes, (SELECT list_sort(list(DISTINCT code)) FROM functions g WHERE g.unit = b.unit) AS every FROM b LEFT JOIN p USING (conv_id))
+SELECT conv_id, unit, fluid, area, code, what, lpad(CAST(row_number() OVER (PARTITION BY area, code ORDER BY CAST(conv_id % 50 AS VARCHAR), conv_id) AS VARCHAR), CAST(greatest(2, length(CAST(row_number() OVER (PARTITION BY area, code ORDER BY CAST(conv_id % 50 AS VARCHAR), conv_id) AS VARCHAR))) AS INT), '0') AS number,
+  concat_ws('; ', CASE WHEN n_rows = 0 THEN 'areas has no row for unit ' || unit WHEN n_areas > 1 THEN 'areas has area more than once for unit ' || unit WHEN n_areas = 0 THEN 'areas has no area for unit ' || unit END,
+  CASE WHEN every IS NULL THEN 'functions allows nothing for unit ' || unit WHEN hits > 1 THEN 'functions has several rows that fit for unit ' || unit WHEN hits IS NULL THEN 'functions has no row that fits for unit ' || unit END) AS problems,
+  CASE WHEN code IS NULL THEN array_to_string(CASE WHEN hits > 1 THEN codes ELSE every END, ',') END AS candidates FROM r""")
+def n03r(spark, d):
+    """Each conversation as a system whose members are its turns, named by rules that are data."""
+    c = t(spark, d, "conversations").select("conv_id", F.char_length("text").alias("n"))
+    members = c.select(F.col("conv_id").alias("system"), (F.col("n") % 6).cast("string").alias("unit"), F.element_at(F.array(F.lit("AG"), F.lit("FG"), F.lit("LF")), (F.col("n") % 3 + 1).cast("int")).alias("fluid"))
+    systems_ = c.select(F.col("conv_id").alias("system")).distinct().withColumn("anchor", (F.col("system") % 50).cast("string"))
+    tables = {"areas": spark.createDataFrame(_AREAS, "unit string, area string"), "functions": spark.createDataFrame(_FUNCTIONS, "unit string, code string, what string, area string"), "links": spark.createDataFrame(_LINKS, "code string, unit string, fluids string")}
+    rules = [
+        Rule("unit", "member", column="unit"), Rule("fluid", "member", column="fluid"), Rule("area", "lookup", ("unit",), "areas", ("unit",), "area"),
+        Rule("code", "select", ("unit",), "functions", ("unit",), "code", match="fluid", link=Link("links", "code", "unit", "fluids"), prefer=(("area", "area"),), label="code"),
+        Rule("what", "column", ("code",), column="what"), Rule("number", "sequence", ("area", "code"), width=2),
+    ]
+    x = resolve_fields(systems_, members, tables, rules)
+    return x.select(F.col("system").alias("conv_id"), "unit", "fluid", "area", "code", "what", "number", F.array_join("problems", "; ").alias("problems"), F.when(F.col("code").isNull(), F.array_join(F.col("candidates")["code"], ",")).alias("candidates"))
