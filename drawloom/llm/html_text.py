@@ -29,7 +29,7 @@ from drawloom.llm.common import batch, ddl, pieces, raw, table
 _TEXT = pa.schema([("id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 _NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
 _STOP = re.compile(r"[>\"']")
-_ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
+_ATTR = re.compile(r"(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
 
 # Fixed values of HTML: elements by how they are parsed and shown.
 _RAW = {"script", "style", "textarea", "title", "xmp", "noembed", "noframes", "iframe"}
@@ -46,8 +46,16 @@ _HINTS = (
     "ad ads adv advert adverts advertisement advertisements advertising adsense sponsor sponsored sponsors promo promos promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar "
     "cookie cookies consent gdpr notice notices alert banner popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments disqus respond reviews widget widgets toolbar pagination pager skip"
 ).split()
-_HINT = re.compile(rf"^(?:{'|'.join(_HINTS)})(?:[-_].*)?$|^(?!(?:has|with|no|without)[-_]).*[-_](?:{'|'.join(_HINTS)})$")
+# these begin names of an article's own parts too ('related-work', 'social-history'), so what follows them counts
+_OFTEN_TEXT = {"related", "social"}
+# a name that ends so says how the whole page is laid out
+_LAYOUT = r"(?!.*[-_](?:layout|page|template|theme)$)"
+_LISTS = "posts articles stories links pages news items content list box bar section block area wrapper container widget media share sharing icons buttons".split()
+_HINT = re.compile(rf"^{_LAYOUT}(?:{'|'.join(x for x in _HINTS if x not in _OFTEN_TEXT)})(?:[-_].*)?$|^(?:{'|'.join(sorted(_OFTEN_TEXT))})(?:[-_](?:{'|'.join(_LISTS)}))?$|^(?!(?:has|with|no|without)[-_]).*[-_](?:{'|'.join(_HINTS)})$")
 _HOLDERS = {"div", "section", "ul", "ol", "dl", "table", "tr", "td", "details", "center", "fieldset", "figure", "header", "address"}
+_COMMENTS = {"comment", "comments"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
+_PROSE = {"p", "blockquote", "pre", "figure", "table", "ul", "ol", "dl"}
 _PLAIN_ADS = {"ad", "ads", "advert", "advertisement", "sponsored", "promo"}
 
 
@@ -61,7 +69,7 @@ def _judge(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
     for name, a, b, c, hidden in _ATTR.findall(attrs):
         value = (a or b or c).lower()
         name = name.lower()
-        if hidden or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
+        if hidden or name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
             return True, False
         if name == "role" and value in _ROLES:
             return True, False
@@ -69,7 +77,8 @@ def _judge(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
             if tag in _HOLDERS:
                 named |= any(_HINT.match(x) for x in value.split())
             elif tag in _BLOCK:
-                named |= bool(_PLAIN_ADS.intersection(value.split())) and tag not in ("html", "body", "main", "article")
+                tokens = set(value.split())
+                named |= tag not in ("html", "body", "main") and bool(_COMMENTS & tokens or tag != "article" and _PLAIN_ADS & tokens)
     return False, named
 
 
@@ -228,7 +237,10 @@ def _article(page: _Page, own: list[int], aside: list[bool]) -> tuple[list[bool]
     part = [False] * n
     for i in range(n):
         p = page.parent[i]
-        beside = p in path and p != best and i not in path and page.tag[i] in _BLOCK and chars[i] > 0 and dense[i] >= threshold
+        beside = p in path and p != best and i not in path and page.tag[i] in _BLOCK and chars[i] > 0
+        # what stands beside the densest part: headings before it and prose in its own container are the article's, however short
+        near = page.tag[i] in _HEADINGS and i < best or p == page.parent[best] != page.body and page.tag[i] in _PROSE
+        beside = beside and (dense[i] >= threshold or near and 2 * linked[i] <= chars[i])
         part[i] = not aside[i] and (i == best or beside or p >= 0 and part[p])
     return part, chars[best]
 
@@ -247,10 +259,9 @@ def main_text(source: str) -> str:
         for i in range(1, len(page.tag)):
             aside[i] = aside[page.parent[i]] or page.tag[i] in _NEVER
     part, size = _article(page, own, [x or y for x, y in zip(aside, page.named)])
-    if any(page.named) and 10 * size < sum(c for c, x in zip(own, aside) if not x):
-        other, all_of_it = _article(page, own, aside)
-        if 10 * size < all_of_it:
-            part = other
+    if any(page.named) and not size:
+        # nothing is left without the containers that names set aside
+        part, _ = _article(page, own, aside)
     blocks: dict[int, list[str]] = {}
     for node, block, s in page.texts:
         if part[node]:

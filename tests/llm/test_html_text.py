@@ -56,7 +56,21 @@ def test_line_breaks_and_names():
     assert main_text(f"<div><p>{WORDS * 3}</p><div class=cookie-notice><p>{WORDS}</p></div></div>") == (WORDS * 3).strip()
 
 
+def test_articles_shorter_than_their_comments_and_names_within_them():
+    comments = "".join(f"<div class='comment'><p>Reader {i} says: {WORDS}</p></div>" for i in range(8))
+    for holder in ("div class=comments", "section id=comments", "ul class=comment-list"):
+        tag = holder.split()[0]
+        assert main_text(f"<div class=story><p>Two sentences only.</p><p>This is one.</p></div><{holder}>{comments}</{tag}>") == "Two sentences only.\n\nThis is one."
+    assert main_text(f"<article><p>{WORDS * 9}</p></article><article class='comment'><p>Reader: {WORDS}</p></article><p class=comment>so so</p>") == (WORDS * 9).strip()
+    parts = "<section class='related-work'><h2>Related work</h2><p>Others did it.</p></section><section id='social-history'><p>A history.</p></section>"
+    assert main_text(f"<article><p>{WORDS * 9}</p>{parts}<div class='related-posts'><p>{WORDS}</p></div></article>") == f"{(WORDS * 9).strip()}\n\nRelated work\n\nOthers did it.\n\nA history."
+    around = f"<div><h1>Head</h1><p>lead</p><div class=body><p>{WORDS * 9}</p><p>{WORDS * 9}</p></div><p>last note</p><p><a href=x>more of it</a></p></div>"
+    assert main_text(around) == "\n\n".join(["Head", "lead", (WORDS * 9).strip(), (WORDS * 9).strip(), "last note"])
+    assert main_text(f"<p>{WORDS}</p><div hidden=''><p>{WORDS}</p></div>") == WORDS.strip()
+
+
 @pytest.mark.parametrize("source", [
+    f"<div {'a' * 64_000} class=1>x", f"<div a{' ' * 64_000}b class=1>x", f"<div {'hidden-' * 20_000} class=1>x",
     "<div>" * 100_000 + "x", '<a href="' * 50_000, "<a b='\">" * 50_000, "<p><b>" * 50_000 + "<h1>x" * 20_000, "<!" * 100_000, "<ul><li>x" * 30_000, "<p>" * 100_000, "</div>" * 100_000,
 ])
 def test_time_grows_with_length_only(source):
