@@ -9,9 +9,10 @@ article; the least density on its path to the body is the threshold that
 neighbours of the path must reach to count as parts of it.
 
 Density cannot tell adverts, notices and reader comments from an article: they are
-set aside by the class or id of a containing element. Names only decide if the
-article found without these containers has a tenth of the characters found with
-them; else they are ignored. Inline elements, and paragraphs but for plain adverts, are never judged by name.
+set aside by the class or id of a containing element, comments and plain adverts by that of any
+block; if no text at all is left then, names are ignored. Names that begin like those of a list of
+links but go on otherwise ('related-work'), or that tell how a page is laid out ('sidebar-layout'), say nothing.
+Beside the densest part, headings before it and prose in the same container stay, however short.
 """
 
 from __future__ import annotations
