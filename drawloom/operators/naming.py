@@ -205,7 +205,7 @@ def fuzzy_candidates(rows: DataFrame, label: str, reference: DataFrame, ref_labe
     labels. The result is that of all with all.
     """
     with scratch() as keep:
-        size = lambda df, c, n: df.select(normal_label(F.col(c)).alias(n)).distinct().withColumn(f"l{n}", F.length(n)).where(f"l{n} > 0")
+        size = lambda df, c, n: df.select(normal_label(F.col(c)).alias(n)).distinct().withColumn(f"l{n}", F.length(n))
         left, b = keep(size(rows, label, "a"), "labels"), keep(size(reference, ref_label, "b"), "reference")
         lengths = keep(b.select(F.col("lb").alias("l")).distinct(), "lengths")
         found = []
