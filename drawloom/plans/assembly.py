@@ -55,7 +55,7 @@ def plant_history(spark, d):
 _HISTORY = """WITH c AS (SELECT conv_id AS id, turn, role, CAST(length(text) AS BIGINT) AS n FROM conversations),
 k AS (SELECT *, ['GateValve', 'BallValve', 'CustomObject', '', 'Drum'][n % 5 + 1] AS class FROM c),
 v AS (SELECT *, DATE '2024-01-01' + CAST(turn // 2 * 10 + id % 7 AS INT) AS day, make_timestamp((1704067200 + turn * 864000 + id % 5 * 3600) * 1000000) AS ts,
-  CASE id % 5 WHEN 0 THEN concat_ws('|', class, n % 3, n % 50) WHEN 1 THEN concat_ws('|', n % 4 = 0, n % 3) WHEN 2 THEN concat_ws('|', n % 5 = 0, n % 11 = 0, n % 2, n % 4) WHEN 3 THEN concat_ws('|', n % 2, n % 3 = 0, n % 50, role)
+  CASE id % 5 WHEN 0 THEN concat_ws('|', class, n % 3 = 0, n % 50) WHEN 1 THEN concat_ws('|', n % 4 = 0, n % 3) WHEN 2 THEN concat_ws('|', n % 5 = 0, n % 11 = 0, n % 2, n % 4) WHEN 3 THEN concat_ws('|', n % 2, n % 3 = 0, n % 50, role)
   ELSE concat_ws('|', role, n % 4, n % 6, n % 3) END AS attrs FROM k),
 e AS (SELECT *, lag(attrs) OVER w AS before FROM v WINDOW w AS (PARTITION BY id ORDER BY ts, turn)),
 x AS (SELECT *, lead(ts) OVER w AS nts, lead(day) OVER w AS nday FROM e WHERE before IS NULL OR before <> attrs WINDOW w AS (PARTITION BY id ORDER BY ts, turn)),

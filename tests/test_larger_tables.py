@@ -31,3 +31,15 @@ def test_no_part_has_the_id_of_a_supplier(spark, tmp_path):
     assert sorted((r["anchor"], r["neighbours"], r["n_out"]) for r in out.collect()) == [
         ("Brand#0", "supplier", 1), ("Brand#1", "supplier,supplier", 2), ("Brand#2", "supplier", 1), ("supplier", "Brand#0,Brand#1,Brand#2", 0), ("supplier", "Brand#1", 0),
     ]
+
+
+def unmapped_lengths(ids):
+    """Two versions of each component that say the same, at lengths whose remainder by 3 is 1 and 2; the second is known too late."""
+    return [{"conv_id": i, "turn": turn, "role": "user", "text": "x" * n} for i in ids for turn, n in ((1, 1), (3, 101))]
+
+
+def test_versions_that_say_the_same_are_one_in_facts(spark, tmp_path):
+    d = tables(tmp_path, conversations=unmapped_lengths([25]))
+    out = catalog.QUERIES["p11_facts_of_history"](spark, d)
+    assert same(out, catalog.ORACLES["p11_facts_of_history"], d) > 5
+    assert out.where("s = 'urn:plant:component/25' and p = 'validTo'").count() == 0
