@@ -43,3 +43,10 @@ def test_versions_that_say_the_same_are_one_in_facts(spark, tmp_path):
     out = catalog.QUERIES["p11_facts_of_history"](spark, d)
     assert same(out, catalog.ORACLES["p11_facts_of_history"], d) > 5
     assert out.where("s = 'urn:plant:component/25' and p = 'validTo'").count() == 0
+
+
+def test_versions_that_say_the_same_are_one_in_rejects(spark, tmp_path):
+    d = tables(tmp_path, conversations=unmapped_lengths([15]))
+    out = catalog.QUERIES["p11_rejects"](spark, d)
+    assert same(out, catalog.ORACLES["p11_rejects"], d) == 1
+    assert [tuple(r) for r in out.select("kind", "anchor", "reason").collect()] == [("component", "15", "equipment_duplicate")]
