@@ -47,15 +47,25 @@ def decode(
     The suffix (of all rows or a column) is cut; null unless digits of at least
     the needed length are left. unit_known: whether unit_codes has the unit (false without codes).
     """
-    at = F.instr(tag, separator)
-    after = F.when(at > 0, F.substr(tag, at + len(separator))).when(F.startswith(tag, fluid), F.substr(tag, F.length(fluid) + 1)).otherwise(tag)
-    core = after
-    if suffix is not None:
-        end = F.lit(suffix) if isinstance(suffix, str) else F.coalesce(suffix, F.lit(""))
-        core = F.when(F.endswith(after, end), F.substr(after, F.lit(1), F.length(after) - F.length(end))).otherwise(after)
-    need = system_digits + unit_digits + sequence_digits
-    ok = core.rlike(r"\A[0-9]+\z") & (F.length(core) >= need)
-    s, u = system_digits, unit_digits
-    unit = F.substr(core, F.lit(s + 1), F.lit(u))
-    known = unit.isin(unit_codes) if unit_codes else F.lit(False)
-    return F.when(ok, F.struct(F.nullif(F.substr(core, F.lit(1), F.lit(s)), F.lit("")).alias("system"), unit.alias("unit"), F.substr(core, F.lit(s + u + 1), F.lit(sequence_digits)).alias("sequence"), known.alias("unit_known")))
+    need, s, u = system_digits + unit_digits + sequence_digits, system_digits, unit_digits
+    end = F.lit(suffix) if isinstance(suffix, str) else suffix if suffix is None else F.coalesce(suffix, F.lit(""))
+
+    def after(tag: Column) -> Column:
+        at = F.instr(tag, separator)
+        return F.when(at > 0, F.substr(tag, at + len(separator))).when(F.startswith(tag, fluid), F.substr(tag, F.length(fluid) + 1)).otherwise(tag)
+
+    def core(text: Column) -> Column:
+        return text if end is None else F.when(F.endswith(text, end), F.substr(text, F.lit(1), F.length(text) - F.length(end))).otherwise(text)
+
+    def parts(core: Column) -> Column:
+        ok = core.rlike(r"\A[0-9]+\z") & (F.length(core) >= need)
+        unit = F.substr(core, F.lit(s + 1), F.lit(u))
+        known = unit.isin(unit_codes) if unit_codes else F.lit(False)
+        return F.when(ok, F.struct(F.nullif(F.substr(core, F.lit(1), F.lit(s)), F.lit("")).alias("system"), unit.alias("unit"), F.substr(core, F.lit(s + u + 1), F.lit(sequence_digits)).alias("sequence"), known.alias("unit_known")))
+
+    return _once(_once(_once(tag, after), core), parts)
+
+
+def _once(value: Column, f) -> Column:
+    """f(value) with the value worked out once for each row, however often f names it."""
+    return F.element_at(F.transform(F.array(value), f), 1)

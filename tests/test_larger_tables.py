@@ -50,3 +50,20 @@ def test_versions_that_say_the_same_are_one_in_rejects(spark, tmp_path):
     out = catalog.QUERIES["p11_rejects"](spark, d)
     assert same(out, catalog.ORACLES["p11_rejects"], d) == 1
     assert [tuple(r) for r in out.select("kind", "anchor", "reason").collect()] == [("component", "15", "equipment_duplicate")]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_isolation_sets_are_not_broadcast(spark):
+    assert "Broadcast" not in plan_of(catalog.QUERIES["r08_isolation_sets"](spark, D))[1]
+
+
+def test_systems_are_not_broadcast(spark):
+    assert "Broadcast" not in plan_of(catalog.QUERIES["g07_partition_systems"](spark, D))[1]
+
+
+def test_decoding_works_a_tag_out_once(spark):
+    # at most once in the filter and once for each of the columns that are taken from it
+    assert plan_of(catalog.QUERIES["r10_decode_more"](spark, D))[0].lower().count("instr(") <= 5
