@@ -6,6 +6,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 from drawloom import catalog
+from drawloom.operators import rules, topology
 from tests.oracle import TABLES, same
 
 D = "/root/testdata/sf0.001"
@@ -67,3 +68,29 @@ def test_systems_are_not_broadcast(spark):
 def test_decoding_works_a_tag_out_once(spark):
     # at most once in the filter and once for each of the columns that are taken from it
     assert plan_of(catalog.QUERIES["r10_decode_more"](spark, D))[0].lower().count("instr(") <= 5
+
+
+def test_small_drawings_need_no_rounds_of_joins(spark, monkeypatch):
+    rows = [("d1", 1, 2), ("d1", 2, 3), ("d1", 5, 5), ("d1", 6, 7), ("d1", 7, 3), ("d2", 1, 9), ("d2", 4, 1), ("d3", 2, 8), ("d3", 4, 6), ("d3", 6, 8), ("d3", 3, None)]
+    edges = spark.createDataFrame(rows, "content_hash string, from_id long, to_id long")
+    parts = spark.createDataFrame([("d1", 1, "GateValve"), ("d2", 1, "GateValve"), ("d3", 2, "x"), ("d4", 11, "x")], "content_hash string, component_id long, component_class string")
+    given, real = [], topology.connected_components
+    monkeypatch.setattr(topology, "connected_components", lambda e, *a: (given.append(e.count()), real(e, *a))[1])
+    stats = lambda **x: sorted(tuple(r) for r in topology.drawing_stats(parts, edges, **x).select("content_hash", "n_components", "n_valves_linked", "n_edges", "n_nodes", "n_parts").collect())
+    assert stats() == [("d1", 1, 1, 5, 6, 2), ("d2", 1, 1, 2, 3, 1), ("d3", 1, 0, 4, 4, 1), ("d4", 1, 0, 0, 0, 0)]
+    assert given == [0]
+    assert stats(small=4) == stats(small=0) == stats() and given[1:3] == [5, 10]
+
+
+def test_facts_are_dealt_out_before_they_become_a_set(spark):
+    plan = plan_of(catalog.QUERIES["p13_merge_graphs"](spark, D))[0]
+    assert "RepartitionByExpression" in plan
+
+
+def test_derived_facts_become_a_set_before_they_become_texts(spark):
+    ids = spark.createDataFrame([(1, 2), (1, 2), (3, None)], "node long, neighbour long")
+    relief = spark.createDataFrame([(1, 2), (1, 2)], "valve long, protects long")
+    fluids = spark.createDataFrame([("a", "b"), ("a", "b")], "fluid_code string, fluid_class string")
+    out = rules.materialise(fluids, ids, ids, relief)
+    assert out.count() == 4
+    assert not [x for x in plan_of(out)[0].splitlines() if "Aggregate" in x and "graph#" in x]
