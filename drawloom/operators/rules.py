@@ -91,12 +91,15 @@ def fragment_key(package: Column, klass: Column, fluid: Column, anchor: Column)
 
 
 def materialise(classes: DataFrame, flare: DataFrame, supply: DataFrame, relief: DataFrame) -> DataFrame:
-    """Derived facts: fluidClass, flaresTo, suppliedBy, protects."""
+    """Derived facts as a set: fluidClass, flaresTo, suppliedBy, protects.
+
+    Rows are made distinct by their two columns before they become texts, which takes tasks far less memory; predicates keep the kinds apart.
+    """
     c = lambda n: iri("component", F.col(n))
-    out = unpivot(classes, iri("fluid", F.col("fluid_code")), [("fluidClass", F.col("fluid_class"), "string")], INFERRED)
+    out = unpivot(classes.select("fluid_code", "fluid_class").distinct(), iri("fluid", F.col("fluid_code")), [("fluidClass", F.col("fluid_class"), "string")], INFERRED)
     for rows, a, p, b in ((flare, "node", "flaresTo", "neighbour"), (supply, "node", "suppliedBy", "neighbour"), (relief, "valve", "protects", "protects")):
-        out = out.unionByName(unpivot(rows, c(a), [(p, c(b), "iri")], INFERRED))
-    return out.distinct()
+        out = out.unionByName(unpivot(rows.select(a, b).distinct(), c(a), [(p, c(b), "iri")], INFERRED))
+    return out
 
 
 def provenance(spark, run: str, inputs: dict[str, str], rules: dict[str, str]) -> DataFrame:
