@@ -159,8 +159,16 @@ def p11(spark, d):
     return quads.where(~tree & (F.col("graph") != "refdata"))
 
 
-@query("p11_rejects", _HISTORY + """SELECT 'component' AS kind, CAST(id AS VARCHAR) AS anchor, 'equipment_duplicate' AS reason FROM s WHERE id % 15 = 0 UNION ALL
-SELECT 'connection', CAST(id AS VARCHAR), 'derived_not_told' FROM s WHERE id % 5 = 2 AND n % 11 = 0 UNION ALL SELECT 'line', CAST(id AS VARCHAR), 'line_without_pieces' FROM s WHERE id % 5 = 4 AND n % 3 = 0""")
+#: What tells the attributes' texts of one anchor apart, in the order of those texts; for the kinds that can be rejected.
+_TEXT_ORDER = """CASE id % 5 WHEN 0 THEN concat('"component_class":"' || class || '",', CASE WHEN n % 3 = 0 THEN '"component_class_uri":"rds:' || class || '",' END, '"kind"', ',"segment_id":"P' || (n % 50) || '"', '}')
+  WHEN 2 THEN concat('"', CASE WHEN n % 5 = 0 THEN 'OffPage' ELSE 'Piping' END, '"', CASE WHEN n % 11 <> 0 THEN ',"derived":' || CAST(n % 2 = 0 AS VARCHAR) END, ',"flow_sense":"' || ['forward', 'reverse', 'both', 'none'][n % 4 + 1] || '"', '}')
+  ELSE concat('[', coalesce('"' || role || '"', 'null'), '],[', coalesce('"' || (n % 4) || '"', 'null'), CASE WHEN n % 4 <> n % 6 THEN ',"' || (n % 6) || '"' END, ']') END"""
+#: The history with turns of one number in the order of their attributes' texts, and those without a number first.
+_ORDERED_HISTORY = _HISTORY.replace("lag(attrs) OVER w AS before FROM v", f"lag(attrs) OVER w AS before FROM (SELECT *, {_TEXT_ORDER} AS told FROM v)").replace("ORDER BY ts, turn)", "ORDER BY ts NULLS FIRST, turn NULLS FIRST, told)")
+
+
+@query("p11_rejects", _ORDERED_HISTORY + """SELECT 'component' AS kind, CAST(id AS VARCHAR) AS anchor, 'equipment_duplicate' AS reason FROM s WHERE id % 15 = 0 UNION ALL
+SELECT 'connection', CAST(id AS VARCHAR), 'derived_not_told' FROM s WHERE id % 5 = 2 AND coalesce(n % 11 = 0, true) UNION ALL SELECT 'line', CAST(id AS VARCHAR), 'line_without_pieces' FROM s WHERE id % 5 = 4 AND coalesce(n % 3 = 0, true)""")
 def p11r(spark, d):
     return history_facts(spark, d)[1]
 

@@ -1,6 +1,7 @@
 """What showed only on larger tables than the given ones, on few rows that have it."""
 
 import os
+import random
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -53,6 +54,19 @@ def test_versions_that_say_the_same_are_one_in_rejects(spark, tmp_path):
     assert [tuple(r) for r in out.select("kind", "anchor", "reason").collect()] == [("component", "15", "equipment_duplicate")]
 
 
+def test_rejects_of_turns_with_one_number_and_without_text(spark, tmp_path):
+    r = random.Random(5)
+    one = lambda i: {"conv_id": r.choice([i, i, i, i, None]), "turn": r.choice([0, 1, 1, 2, 3, None]), "role": r.choice(["user", "assistant", None]), "text": r.choice([None, *("x" * r.randint(0, 130) for _ in range(5))])}
+    d = tables(tmp_path, conversations=[one(i) for i in range(600) for _ in range(r.randint(1, 4))])
+    out = catalog.QUERIES["p11_rejects"](spark, d)
+    assert same(out, catalog.ORACLES["p11_rejects"], d) > 50
+    # what is no length has neither a known origin nor pieces
+    (tmp_path / "empty").mkdir()
+    d = tables(tmp_path / "empty", conversations=[{"conv_id": i, "turn": 0, "role": "user", "text": None} for i in (2, 4)])
+    out = catalog.QUERIES["p11_rejects"](spark, d)
+    assert same(out, catalog.ORACLES["p11_rejects"], d) == 2
+
+
 def plan_of(df):
     return df._jdf.queryExecution().optimizedPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
 
