@@ -297,6 +297,8 @@ def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
             out.append("".join(kept))
         return pd.Series(out, dtype=object)
 
+    # once a row: where Spark may repeat it for the filter, each task runs it in a second Python process, which then stays
+    left = left.asNondeterministic()
     changed = marked.where(F.col(found).isNotNull()).withColumn(text_col, left(F.col(f"`{text_col}`"), F.col(found)))
     changed = changed.where(F.col(f"`{text_col}`").rlike(r"\S"))
     if chars_col in df.columns:

@@ -26,6 +26,12 @@ def test_cut_repeats(spark):
     assert got[3][0].split() == ["mine"]
 
 
+def test_texts_are_cut_in_one_python_process_a_task(spark):
+    df = spark.createDataFrame([(1, "a", 1)], "doc_id long, text string, n_chars int")
+    plan = suffix_dedup.cut_repeats(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_nulls_repeats_clashes_and_empty_tables(spark, tmp_path):
     prose = lambda k, n: " ".join("".join(chr(97 + int(c)) for c in str((i + k * 1000) * 7919)) for i in range(n))
     rows = [(1, prose(1, 60)), (1, prose(1, 60)), (2, prose(1, 60).upper()), (3, prose(3, 80) + " x"), (4, prose(3, 80) + " y"), (None, prose(5, 30)), (None, prose(5, 30)), (7, None), (7, None), (8, ""), (9, prose(9, 40))]
