@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 
 from drawloom import catalog
 from drawloom.operators import rules, topology
+from drawloom.sources import xml
 from tests.oracle import TABLES, same
 
 D = "/root/testdata/sf0.001"
@@ -108,3 +109,12 @@ def test_derived_facts_become_a_set_before_they_become_texts(spark):
     out = rules.materialise(fluids, ids, ids, relief)
     assert out.count() == 4
     assert not [x for x in plan_of(out)[0].splitlines() if "Aggregate" in x and "graph#" in x]
+
+
+def test_payloads_go_to_python_once_and_as_arrow(spark):
+    good, bad, worse = b'<a ID="1" k="v"><P ID="2"/></a>', b'<a ID="1">&#1;</a>', b"<a"
+    files = spark.createDataFrame([("good", good), ("bad", bad), ("worse", worse), ("none", None)], "path string, content binary")
+    out = xml.shred(files)
+    assert "MapInArrow" in plan_of(out)[1] and "MapInPandas" not in plan_of(out)[1]
+    got = sorted((r["document"], r["ord"], r["node_id"], r["attrs"], r["error"] is None) for r in out.collect())
+    assert got == [("bad", 0, "1", {"ID": "1"}, True), ("good", 0, "1", {"ID": "1", "k": "v"}, True), ("good", 1, "2", {"ID": "2"}, True), ("none", -1, None, None, False), ("worse", -1, None, None, False)]
