@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from decimal import ROUND_HALF_UP, Decimal
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +15,9 @@ from drawloom.functions.text import blank, no_leading_zeros, normal_label
 from drawloom.operators.tags import Field, compose, missing_fields
 from drawloom.tables import cut, scratch
 
+#: A block of labels is so many times one of the reference, as its labels are worked on side by side; cells of an edit table's row in one go.
+_LANES, _CELLS = 8, 1_000_000
+
 
 def member_value(members: DataFrame, system: str, value: str) -> DataFrame:
     """The most frequent filled value over a system's members; of equally frequent ones the lowest."""
@@ -190,22 +199,25 @@ def _similarity() -> Column:
 
 
 def _best_of(pairs: DataFrame, least: float) -> DataFrame:
-    s = pairs.withColumn("similarity", _similarity()).where(F.col("similarity") >= least)
+    return _best(pairs.withColumn("similarity", _similarity()).where(F.col("similarity") >= least))
+
+
+def _best(s: DataFrame) -> DataFrame:
     best = s.groupBy("a", "la").agg(F.min(F.struct((-F.col("similarity")).alias("order"), "b", "similarity")).alias("best"))
     return best.select("a", "la", "best.b", "best.similarity")
 
 
-def fuzzy_candidates(rows: DataFrame, label: str, reference: DataFrame, ref_label: str, least: float = 0.5, block: int = 1000, steps: tuple[float, ...] = (0.85, 0.7, 0.6)) -> DataFrame:
+def fuzzy_candidates(rows: DataFrame, label: str, reference: DataFrame, ref_label: str, least: float = 0.5, block: int = 1000, steps: tuple[float, ...] = (0.85,)) -> DataFrame:
     """For each distinct label the most similar reference label (1 - edits / longer length) of at least `least`, for review; of equally similar ones the lowest.
 
     Labels within k edits of each other share one of k + 1 parts at nearly the same place: each step looks up the
     labels' pieces among the reference's parts and so finds all pairs of its similarity or more, so what it finds is a label's
-    best. Labels without one go on to the next, lower step. At low similarity the parts are too short to tell labels apart:
-    what is left after the steps is compared with all reference labels of a fitting length, in blocks of about `block` by `block`
-    labels. The result is that of all with all.
+    best. Labels without one go on to the next, lower step. At low similarity the parts are too short to tell labels apart, and
+    most pairs are found several times over: what is left after the steps is compared once with all reference labels of a fitting
+    length, in blocks of about `block` of these. The result is that of all with all.
     """
     with scratch() as keep:
-        size = lambda df, c, n: df.select(normal_label(F.col(c)).alias(n)).distinct().withColumn(f"l{n}", F.length(n))
+        size = lambda df, c, n: df.select(c).distinct().select(normal_label(F.col(c)).alias(n)).distinct().withColumn(f"l{n}", F.length(n))
         left, b = keep(size(rows, label, "a"), "labels"), keep(size(reference, ref_label, "b"), "reference")
         lengths = keep(b.select(F.col("lb").alias("l")).distinct(), "lengths")
         found = []
@@ -215,23 +227,81 @@ def fuzzy_candidates(rows: DataFrame, label: str, reference: DataFrame, ref_labe
             pairs = pieces.join(parts, ["la", "lb", "part", "text"]).select("a", "b", "la", "lb")
             found.append(keep(_best_of(pairs, step), "best"))
             left = keep(left.join(found[-1], "a", "left_anti"), "labels")
-        found.append(_best_of(_in_blocks(left, b, least, block), least))
+        found.append(_best(_in_blocks(left, b, least, block, keep)))
         out = found[0]
         for f in found[1:]:
             out = out.unionByName(f)
         return cut(out.select(F.col("a").alias("label"), F.col("b").alias("suggested"), "similarity"), "similar-labels")
 
 
-def _in_blocks(a: DataFrame, b: DataFrame, least: float, block: int) -> DataFrame:
-    """All pairs (a, b) of lengths that allow `least`, dealt out in blocks."""
-    blocks = lambda df, n: df.groupBy(f"l{n}").agg(F.ceil(F.count("*") / block).alias(f"n{n}"))
-    both = blocks(a, "a").join(blocks(b, "b"), _near(least))
-    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    both = both.withColumn("ba", numbers("na")).withColumn("bb", numbers("nb"))
-    deal = lambda n: both.select("la", "lb", "ba", "bb", f"n{n}")
-    left = a.join(deal("a"), "la").where(F.pmod(F.xxhash64("a"), "na") == F.col("ba")).drop("na")
-    right = b.join(deal("b"), "lb").where(F.pmod(F.xxhash64("b"), "nb") == F.col("bb")).drop("nb")
-    return left.join(right, ["la", "lb", "ba", "bb"])
+def _in_blocks(a: DataFrame, b: DataFrame, least: float, block: int, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The best of all pairs (a, b) of lengths that allow `least`: each block of labels of one length meets each block of the reference, once."""
+    sizes = a.groupBy("la").agg(F.ceil(F.count("*") / (_LANES * block)).alias("na"))
+    sizes = keep(sizes.crossJoin(b.agg(F.greatest(F.ceil(F.count("*") / block), F.lit(1)).alias("nb"))), "blocks")  # one row per length
+    tasks = min(sizes.agg(F.sum(F.col("na") * F.col("nb"))).first()[0] or 1, 2000)  # so many tasks, however few bytes they get
+    dealt = lambda n: F.pmod(F.xxhash64(n), f"n{n}").alias(f"b{n}")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"n{n}") - 1)).alias(f"b{n}")
+    blocks = lambda df: df.repartition(tasks, "la", "ba", "bb").groupBy("la", "ba", "bb")
+    left = blocks(a.join(sizes, "la").select("la", "a", dealt("a"), every("b")))
+    right = blocks(b.join(sizes, _near(least)).select("la", "b", dealt("b"), every("a")))
+    return left.cogroup(right).applyInArrow(_most_similar(least), "a string, la int, b string, similarity double")
+
+
+def _most_similar(least: float) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
+    """Of a block of labels of one length the best among a block of the reference, if at least `least`."""
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        la, words, reference = key[0].as_py(), left["a"].to_pylist(), sorted(right["b"].to_pylist())
+        step = max(1, _CELLS // (la + 1))
+        out = [_best_edits(words[i : i + step], la, reference) for i in range(0, len(words), step)]
+        found = [(w, reference[k], x) for i, (which, like) in enumerate(out) for w, k, x in zip(words[i * step :], which.tolist(), like.tolist()) if x >= least]
+        a, b, like = zip(*found) if found else ((), (), ())
+        return pa.table([pa.array(a, pa.string()), pa.array([la] * len(a), pa.int32()), pa.array(b, pa.string()), pa.array(like, pa.float64())], ["a", "la", "b", "similarity"])
+
+    return run
+
+
+def _best_edits(words: list[str], la: int, reference: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the words, all of la code points, the number of the first most similar reference label and the similarity (-1: none); reference is sorted.
+
+    The rows of the edit table are worked out for all words at once, a cell being edits - column, and those of a prefix that the
+    label before has too are there already; what is deeper than memory allows is done again.
+    """
+    n, depth = len(words), max(map(len, reference), default=0)
+    kind = np.int8 if max(la, depth) < 120 else np.int16 if max(la, depth) < 32_000 else np.int32
+    letters, text = np.unique(np.frombuffer("".join(words).encode("utf-32-le"), "<u4"), return_inverse=True)
+    number = {chr(c): i for i, c in enumerate(letters)}
+    text = np.ascontiguousarray(text.reshape(n, la).T, np.uint8 if len(letters) < 256 else np.uint32)
+    held = max(1, min(depth + 1, 32 * _CELLS // ((la + 1) * n)))
+    table = np.zeros((held + 2, la + 1, n), kind)
+    rows = [list(t) for t in table]
+    equal, cost = np.empty((la, n), bool), np.empty((la, n), kind)
+    which, best, before = np.zeros(n, np.int64), np.full(n, -1.0), ""
+    for k, b in enumerate(reference):
+        shared = next((i for i, (x, y) in enumerate(zip(before, b)) if x != y), min(len(before), len(b)))
+        at = min(shared, held - 1)
+        for i in range(at, len(b)):
+            to = i + 1 if i + 1 < held else held + i % 2
+            old, new, lines = table[at], table[to], rows[to]
+            np.equal(text, number.get(b[i], -1), out=equal) if b[i] in number else equal.fill(False)
+            np.subtract(old[:-1], equal, out=cost)
+            new[0] = i + 1
+            np.minimum(np.add(old[1:], 1, out=new[1:]), cost, out=new[1:])
+            for x, y in zip(lines, lines[1:]):
+                np.minimum(x, y, out=y)
+            at = to
+        before = b
+        if la or b:
+            like = _similarities(max(la, len(b)))[rows[at][la].astype(np.int64) + la]
+            more = like > best
+            which[more], best[more] = k, like[more]
+    return which, best
+
+
+@lru_cache(1000)
+def _similarities(longer: int) -> np.ndarray:
+    """Of each number of edits what _similarity() says."""
+    return np.array([float(Decimal(repr(1 - d / longer)).quantize(Decimal("0.000001"), ROUND_HALF_UP)) for d in range(longer + 1)])
 
 
 def gap_ranking(used: DataFrame, covered: DataFrame, code: str, boundary: Column | None = None) -> DataFrame:

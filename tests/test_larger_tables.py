@@ -7,9 +7,10 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 from drawloom import catalog
-from drawloom.operators import rules, topology
+from drawloom.operators import naming, rules, topology
 from drawloom.sources import xml
 from tests.oracle import TABLES, same
+from tests.test_scenarios import edits
 
 D = "/root/testdata/sf0.001"
 
@@ -118,3 +119,42 @@ def test_payloads_go_to_python_once_and_as_arrow(spark):
     assert "MapInArrow" in plan_of(out)[1] and "MapInPandas" not in plan_of(out)[1]
     got = sorted((r["document"], r["ord"], r["node_id"], r["attrs"], r["error"] is None) for r in out.collect())
     assert got == [("bad", 0, "1", {"ID": "1"}, True), ("good", 0, "1", {"ID": "1", "k": "v"}, True), ("good", 1, "2", {"ID": "2"}, True), ("none", -1, None, None, False), ("worse", -1, None, None, False)]
+
+
+def most_similar(labels, reference, least):
+    alike = lambda a, b: round(1 - edits(a, b) / max(len(a), len(b)), 6)
+    best = {a: min((-alike(a, b), b) for b in reference if a or b) for a in labels}
+    return {a: (b, -x) for a, (x, b) in best.items() if -x >= least}
+
+
+def random_labels(r, n, letters, longest):
+    return sorted({"".join(r.choice(letters) for _ in range(r.randint(1, longest))) for _ in range(n)})
+
+
+def test_labels_of_low_similarity_meet_each_reference_label_once(spark, monkeypatch):
+    r = random.Random(11)
+    labels, reference = random_labels(r, 60, "abcdef", 12) + ["x" * 40], random_labels(r, 30, "abcdef", 9)
+    asked, real = [], naming._segments
+    monkeypatch.setattr(naming, "_segments", lambda b, lengths, least: (asked.append(least), real(b, lengths, least))[1])
+    frame = lambda words: spark.createDataFrame([(w,) for w in words], "w string")
+    out = naming.fuzzy_candidates(frame(labels), "w", frame(reference), "w", 0.5, 4)
+    assert {x["label"]: (x["suggested"], x["similarity"]) for x in out.collect()} == most_similar(labels, reference, 0.5)
+    # parts of labels are looked up only where they are long enough to tell labels apart
+    assert asked == [0.85]
+
+
+def test_edits_of_long_labels_in_little_memory(monkeypatch):
+    r = random.Random(12)
+    for cells in (1, 60, 1_000_000):
+        monkeypatch.setattr(naming, "_CELLS", cells)
+        for size in (0, 1, 9, 130):
+            labels, reference = sorted({"".join(r.choice("aé漢😀") for _ in range(size)) for _ in range(5)}), ["", *random_labels(r, 12, "aé漢😀z", 20)]
+            which, best = naming._best_edits(labels, size, reference)
+            want = most_similar(labels, reference, 0)
+            assert {a: (reference[k], x) for a, k, x in zip(labels, which.tolist(), best.tolist())} == want
+
+
+def test_similarities_are_rounded_as_spark_does(spark):
+    pairs = [(d, m) for m in (1, 3, 7, 64, 128, 320, 640) for d in range(m + 1)]
+    got = spark.createDataFrame(pairs, "d int, m int").selectExpr("d", "m", "round(1 - d / m, 6) AS x").collect()
+    assert all(naming._similarities(g["m"])[g["d"]] == g["x"] for g in got)
