@@ -11,8 +11,9 @@ Texts are cut where white space begins, which is where both tokenizers end a tok
 so the matrices have a diagonal block for each chunk, and the products of a chunk
 are made once however often it occurs. How often two ids are linked in the
 corpus is counted in buckets: a bucket is the documents of about `bucket_bytes` of text,
-one row that holds its documents' chunks, its chunks' id pairs and their
+with its documents' chunks, its chunks' id pairs and their
 counts. The counts are added up by pair and go back to the buckets that hold the pair.
+A bucket has megabytes: it lies in rows of 64 KB, and Python gets one bucket at a time.
 """
 
 from __future__ import annotations
@@ -31,10 +32,12 @@ from drawloom.llm.common import batch, cut, ddl, once, pieces, raw, scratch, tab
 from drawloom.llm.names import ranges
 
 _LONGS, _INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
-_BUCKET = pa.schema([
-    ("bucket", pa.int64()), ("doc_id", _LONGS), ("sizes", pa.binary()), ("sha", pa.list_(pa.string())), ("doc_chunks", pa.binary()), ("chunk", pa.binary()), ("times", pa.binary()),
-    ("chunk_links", pa.binary()), ("pair", pa.binary()), ("a", _INTS), ("b", _INTS), ("n", _LONGS),
+_HELD = pa.schema([
+    ("doc_id", _LONGS), ("sizes", pa.binary()), ("sha", pa.list_(pa.string())), ("doc_chunks", pa.binary()), ("chunk", pa.binary()), ("times", pa.binary()), ("chunk_links", pa.binary()), ("pair", pa.binary()), ("n_pairs", pa.int64()),
 ])
+_BUCKET = pa.schema([("bucket", pa.int64()), ("part", pa.int32()), ("held", pa.binary()), ("a", _INTS), ("b", _INTS), ("n", _LONGS)])
+#: Bytes of `held` in a row, and of a row group of their table: what Spark's readers, sorts and batches hold at once counts rows, not bytes.
+_PART_BYTES, _GROUP_BYTES = 64 << 10, 16 << 20
 _DOC = pa.schema([
     ("id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("n_group_links", pa.int64()), ("n_best", pa.int64()), ("count_sum", pa.int64()), ("groups_sha256", pa.string()),
 ])
@@ -230,12 +233,12 @@ def _by_bytes(chunk: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 class _Bucket:
-    """Documents and their distinct chunks, until they are one row of _BUCKET."""
+    """Documents and their distinct chunks, until they are rows of _BUCKET."""
 
     def __init__(self):
         self.ids, self.sizes, self.sha, self.n_chunks, self.chunk, self.times, self.bytes = [], [], [], [], [], [], 0
 
-    def row(self, bucket: int, links: Lists) -> pa.RecordBatch:
+    def rows(self, bucket: int, links: Lists) -> pa.RecordBatch:
         chunk = np.concatenate(self.chunk) if self.chunk else np.empty(0, np.int64)
         times = np.concatenate(self.times) if self.times else np.empty(0, np.int64)
         held, chunk = np.unique(chunk, return_inverse=True)
@@ -244,10 +247,18 @@ class _Bucket:
         n = np.zeros(len(kinds), np.int64)
         np.add.at(n, pair, np.repeat(np.bincount(chunk, times, len(held)).astype(np.int64), n_links))
         u4 = lambda x: np.asarray(x, "<u4").tobytes()
-        return batch(
-            _BUCKET, [bucket], [self.ids], [np.array(self.sizes, "<i8").tobytes()], [self.sha], [u4(self.n_chunks)], [u4(chunk)], [times.astype(np.uint8).tobytes()],
-            [u4(n_links)], [u4(pair)], [(kinds >> 32).astype(np.int32)], [(kinds & (2**32 - 1)).astype(np.int32)], [n],
+        whole = batch(
+            _HELD, [self.ids], [np.array(self.sizes, "<i8").tobytes()], [self.sha], [u4(self.n_chunks)], [u4(chunk)], [times.astype(np.uint8).tobytes()], [u4(n_links)], [u4(pair)], [len(kinds)],
         )
+        return _parts(bucket, whole, (kinds >> 32).astype(np.int32), (kinds & (2**32 - 1)).astype(np.int32), n)
+
+
+def _parts(bucket: int, whole: pa.RecordBatch, a, b, n) -> pa.RecordBatch:
+    """The rows of a bucket; its pairs stand in the first."""
+    sent = whole.serialize().to_pybytes()
+    held = [sent[i : i + _PART_BYTES] for i in range(0, len(sent), _PART_BYTES)]
+    none = [None] * (len(held) - 1)
+    return batch(_BUCKET, [bucket] * len(held), range(len(held)), held, [a, *none], [b, *none], [n, *none])
 
 
 def _buckets(path_a, path_b, bucket_bytes):
@@ -257,7 +268,7 @@ def _buckets(path_a, path_b, bucket_bytes):
         for b in pieces(batches, size=1 << 18):
             if len(known.store.place) > known.store.most or known.store.chars > known.store.most_chars:
                 if held.ids:  # its chunks' numbers end here
-                    yield held.row(number, known.links)
+                    yield held.rows(number, known.links)
                     number, held = number + 1, _Bucket()
                 known.store.trim()
             texts = [t.decode() for t in raw(b.column("text"))]
@@ -278,37 +289,35 @@ def _buckets(path_a, path_b, bucket_bytes):
                 a = z
             held.bytes += b.nbytes
             if held.bytes >= bucket_bytes:
-                yield held.row(number, known.links)
+                yield held.rows(number, known.links)
                 number, held = number + 1, _Bucket()
         if held.ids:
-            yield held.row(number, known.links)
+            yield held.rows(number, known.links)
 
     return run
 
 
-def _documents(batches):
-    for rows in batches:
-        for r in range(rows.num_rows):
-            get = lambda c: rows.column(c)[r]
-            u4 = lambda c: np.frombuffer(get(c).as_buffer(), "<u4").astype(np.int64)
-            ids = get("doc_id").as_py()
-            sizes = np.frombuffer(get("sizes").as_buffer(), "<i8").reshape(len(ids), -1)
-            n, best = np.zeros(len(get("a")), np.int64), np.zeros(len(get("a")), np.int64)
-            if get("known").is_valid:
-                back = get("known").values
-                at = back.field("at").to_numpy()
-                n[at], best[at] = back.field("times").to_numpy(), back.field("best").to_numpy(zero_copy_only=False)
-            pair, edge = u4("pair"), np.concatenate(([0], np.cumsum(u4("chunk_links"))))
-            chunk, times, docs = u4("chunk"), np.frombuffer(get("times").as_buffer(), np.uint8).astype(np.int64), np.concatenate(([0], np.cumsum(u4("doc_chunks"))))
+def _documents(parts: pa.Table, back: pa.Table) -> pa.Table:
+    """The rows of _DOC of one bucket; back has its pairs' counts in the corpus."""
+    bucket = pa.ipc.read_record_batch(pa.py_buffer(b"".join(parts.sort_by("part").column("held").to_pylist())), _HELD)
+    get = lambda c: bucket.column(c)[0]
+    u4 = lambda c: np.frombuffer(get(c).as_buffer(), "<u4").astype(np.int64)
+    ids = get("doc_id").as_py()
+    sizes = np.frombuffer(get("sizes").as_buffer(), "<i8").reshape(len(ids), -1)
+    n, best = np.zeros(get("n_pairs").as_py(), np.int64), np.zeros(get("n_pairs").as_py(), np.int64)
+    at = back.column("at").to_numpy()
+    n[at], best[at] = back.column("times").to_numpy(), back.column("best").to_numpy()
+    pair, edge = u4("pair"), np.concatenate(([0], np.cumsum(u4("chunk_links"))))
+    chunk, times, docs = u4("chunk"), np.frombuffer(get("times").as_buffer(), np.uint8).astype(np.int64), np.concatenate(([0], np.cumsum(u4("doc_chunks"))))
 
-            def of_docs(x):
-                """Sums over the links of each document."""
-                y = np.concatenate(([0], np.cumsum(x[pair])))
-                per_chunk = y[edge[1:]] - y[edge[:-1]]
-                y = np.concatenate(([0], np.cumsum(per_chunk[chunk] * times)))
-                return y[docs[1:]] - y[docs[:-1]]
+    def of_docs(x):
+        """Sums over the links of each document."""
+        y = np.concatenate(([0], np.cumsum(x[pair])))
+        per_chunk = y[edge[1:]] - y[edge[:-1]]
+        y = np.concatenate(([0], np.cumsum(per_chunk[chunk] * times)))
+        return y[docs[1:]] - y[docs[:-1]]
 
-            yield batch(_DOC, ids, *sizes.T, of_docs(best), of_docs(n), get("sha").as_py())
+    return pa.Table.from_batches([batch(_DOC, ids, *sizes.T, of_docs(best), of_docs(n), get("sha").as_py())])
 
 
 def alignment_counts(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 4 << 20) -> DataFrame:
@@ -322,14 +331,15 @@ def alignment_counts(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc
     """
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     with scratch() as keep:
-        rows = keep(docs.mapInArrow(_buckets(path_a, path_b, bucket_bytes), ddl(_BUCKET)), "token-buckets")
+        rows = keep(docs.mapInArrow(_buckets(path_a, path_b, bucket_bytes), ddl(_BUCKET)), "token-buckets", **{"parquet.block.size": _GROUP_BYTES})
         pairs = rows.select("bucket", F.posexplode(F.arrays_zip("a", "b", "n")).alias("at", "x")).select("bucket", "at", "x.a", "x.b", "x.n")
         totals = keep(pairs.groupBy("a", "b").agg(F.sum("n").alias("times")), "pair-counts")
         most = totals.groupBy("b").agg(F.max("times").alias("most"))
         known = totals.join(most, "b").select("a", "b", "times", (F.col("times") == F.col("most")).alias("best"))
-        back = pairs.select("bucket", "at", "a", "b").join(known, ["a", "b"]).groupBy("bucket").agg(F.collect_list(F.struct("at", "times", "best")).alias("known"))
-        full = rows.drop("b", "n").join(back, "bucket", "left")
-        return cut(full.mapInArrow(_documents, ddl(_DOC)), "alignments").withColumnRenamed("id", id_col)
+        back = pairs.select("bucket", "at", "a", "b").join(known, ["a", "b"]).select(F.col("bucket").alias("of"), "at", "times", "best")
+        # a cogroup sends one bucket at a time to Python; a batch of a join's rows would hold all buckets of its partition
+        full = rows.drop("a", "b", "n").groupBy("bucket").cogroup(back.groupBy("of"))
+        return cut(full.applyInArrow(_documents, ddl(_DOC)), "alignments").withColumnRenamed("id", id_col)
 
 
 def _aligned(path_a, path_b):

@@ -1,12 +1,16 @@
+import glob
 import hashlib
 from collections import Counter
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow.parquet as pq
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from drawloom.llm.chunk_store import byte_letters
+from drawloom.llm import token_overlap
 from drawloom.llm.token_overlap import Csr, alignment_counts, alignments, query, tokenizer_paths
 from tests.llm.test_token_files import odd_texts
 
@@ -112,3 +116,40 @@ def test_query_over_whole_table(spark):
     df = spark.createDataFrame(few, "doc_id long, text string")
     assert short(map(tuple, alignment_counts(df, *tokenizer_paths()).select("doc_id", *SIZES).collect())) == short(plain(few))
     assert query(spark, d).count() == len(t)
+
+
+def test_buckets_go_in_small_rows_and_one_by_one(spark, monkeypatch):
+    """No step holds all buckets of its task: 40 buckets of one task lie in small rows of several row groups, and Python's batches are single buckets; one without pairs is a bucket too."""
+    groups, sizes, plans, real, cut = [], [], [], token_overlap.scratch, token_overlap.cut
+
+    @contextmanager
+    def seen():
+        with real() as keep:
+
+            def spy(df, name, **options):
+                out = keep(df, name, **options)
+                if name == "token-buckets":
+                    for f in glob.glob(f"{out._cut_path.removeprefix('file:')}/*.parquet"):
+                        m = pq.ParquetFile(f).metadata
+                        groups.extend((m.row_group(i).num_rows, m.row_group(i).total_byte_size) for i in range(m.num_row_groups))
+                    sizes.extend(r[0] for r in out.select(F.length("held")).collect())
+                return out
+
+            yield spy
+
+    def last(df, name, **options):
+        plans.append(df._jdf.queryExecution().toString())
+        return cut(df, name, **options)
+
+    monkeypatch.setattr(token_overlap, "scratch", seen)
+    monkeypatch.setattr(token_overlap, "cut", last)
+    words = [hashlib.md5(str(i).encode()).hexdigest()[:8] for i in range(80_000)]
+    df = spark.createDataFrame([(i, " ".join(words[1000 * i : 1000 * i + 40_000])) for i in range(40)], "doc_id long, text string").coalesce(1)
+    got = alignment_counts(df, *tokenizer_paths(), bucket_bytes=1).collect()
+    assert sum(n for n, _ in groups) == len(sizes) > len(got) == 40
+    assert len(groups) > 1 and max(size for _, size in groups) < 40 << 20 and max(sizes) <= 64 << 10
+    assert "CoGroups" in plans[0] and "collect_list" not in plans[0]
+    monkeypatch.undo()
+    assert short(map(tuple, got)) == short(map(tuple, alignment_counts(df, *tokenizer_paths(), bucket_bytes=64 << 20).collect()))
+    none = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
+    assert short(map(tuple, alignment_counts(none, *tokenizer_paths()).select("doc_id", *SIZES).collect())) == short(plain([(1, None), (2, "")]))
